@@ -165,14 +165,14 @@ def _from(days: int, last: Column) -> Column:
     return F.col(DATE) >= F.date_sub(last, days)
 
 
-def in_last_days(table: DataFrame, days: int) -> DataFrame:
-    """Rows of the trailing span, its first day included."""
-    return table.filter(_from(days, latest(table, DATE)))
+def in_last_days(table: DataFrame, days: int, as_of: Column | None = None) -> DataFrame:
+    """Rows of the trailing span, its first day included. `as_of` defaults to the
+    table's latest date."""
+    return table.filter(_from(days, latest(table, DATE) if as_of is None else as_of))
 
 
-def period_aggregates(table: DataFrame, t: Thresholds = DEFAULTS) -> tuple[list[Column], list[Column], list[Column]]:
+def period_aggregates(last: Column, t: Thresholds = DEFAULTS) -> tuple[list[Column], list[Column], list[Column]]:
     """Highest ratio, spike count and net foreign flow of each horizon."""
-    last = latest(table, DATE)
     ratio, spike = F.col("aov_ratio_ma20"), (F.col("aov_ratio_ma20") >= t.spike_ratio) & (F.col("value") >= t.whale_value)
     peaks = [F.max(ratio).alias("aov_max")]
     peaks += [F.max(F.when(_from(d, last), ratio)).alias(f"aov_max_{d}d") for d in HORIZONS]
@@ -189,10 +189,11 @@ def period_aggregates(table: DataFrame, t: Thresholds = DEFAULTS) -> tuple[list[
     return peaks, spikes, flow
 
 
-def screener_period(table: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+def screener_period(table: DataFrame, t: Thresholds = DEFAULTS, as_of: Column | None = None) -> DataFrame:
     """One row per stock seen in the last 90 days, all horizons in one aggregate."""
-    peaks, spikes, flow = period_aggregates(table, t)
-    return in_last_days(table, max(HORIZONS)).groupBy(STOCK).agg(*peaks, *spikes, *flow)
+    last = latest(table, DATE) if as_of is None else as_of
+    peaks, spikes, flow = period_aggregates(last, t)
+    return in_last_days(table, max(HORIZONS), last).groupBy(STOCK).agg(*peaks, *spikes, *flow)
 
 
 def false_positives(table: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:

@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "array<string>": T.ArrayType(T.StringType()),
+}
+
+
 def struct(spec: str) -> T.StructType:
-    """Schema from a DDL text."""
-    return T.StructType.fromDDL(spec)
+    """Schema of a flat table from "name type" pairs; needs no session."""
+    pairs = [part.split() for part in spec.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 SHEET_ROWS = struct("file_name string, page_idx int, row_idx bigint, load_seq bigint, cells array<string>")
@@ -51,7 +58,7 @@ DAILY_TABLE = struct(
 # ---- broker and insider ----------------------------------------------------
 
 BROKER_ITEM = "struct<date:string,stock_code:string,value:string,lot:string,avg_price:string,freq:string>"
-BROKER_PAGE = struct(
+BROKER_PAGE = (
     "broker_code string, broker_name string, target_date date, load_seq bigint, "
     f"data struct<broker_activity_transaction:struct<brokers_buy:array<{BROKER_ITEM}>,brokers_sell:array<{BROKER_ITEM}>>>"
 )
@@ -66,7 +73,7 @@ INSIDER_ITEM = (
     f"previous:{INSIDER_AMOUNT},current:{INSIDER_AMOUNT},changes:{INSIDER_AMOUNT},price_formatted:string,"
     "data_source:struct<label:string,type:string>,broker_detail:struct<code:string,group:string>,badges:array<string>>"
 )
-INSIDER_PAGE = struct(
+INSIDER_PAGE = (
     f"target_date date, load_seq bigint, data struct<is_more:boolean,movement:array<{INSIDER_ITEM}>>"
 )
 INSIDER_TABLE = struct(

@@ -34,7 +34,7 @@ def sheet_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(schemas.SHEET_ROWS).format(fmt).load(path)
 
 
-def json_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def json_pages(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Landed JSON documents, one per line."""
     return spark.read.schema(schema).json(path)
 
