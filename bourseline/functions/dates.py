@@ -1,7 +1,13 @@
-"""Date parsing; what cannot be read gives null."""
+"""Date parsing; what cannot be read gives null.
+
+Texts are rewritten to yyyy-m-d by anchored patterns and cast once. That stays in
+generated code and, unlike trying one format after another, raises nothing per row.
+"""
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,57 +26,82 @@ MONTHLY_MONTHS = {
     "okt": "10", "oct": "10", "nov": "11", "des": "12", "dec": "12",
 }
 
-# Patterns of the general parser, first match wins; month before day when both fit.
-GENERAL_FORMATS = (
-    "yyyy-M-d",
-    "yyyy-M-d H:mm:ss",
-    "yyyy-M-d'T'H:mm:ss",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "M-d-yyyy",
-    "d-M-yyyy",
-    "d MMM yyyy",
-    "d-MMM-yyyy",
-    "d MMMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
+ENGLISH = ["january", "february", "march", "april", "may", "june", "july", "august",
+           "september", "october", "november", "december"]
+ENGLISH_MONTHS = {n: str(i) for i, n in enumerate(ENGLISH, 1)} | {n[:3]: str(i) for i, n in enumerate(ENGLISH, 1)}
+
+# Number-only spellings of the general parser and how each becomes year-month-day,
+# in order: month before day wherever both readings fit.
+NUMBER_FORMS = (
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(0?[1-9]|1[0-2])[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$2-$1"),
 )
+ISO = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$"
+MONTH_FIRST = r"^([a-z]{3,9}) (\d{1,2}),? (\d{4})$"
+DAY_MONTH_YEAR = r"^(\d{1,2})[ -]([a-z]{3,9})[ -](\d{4})$"
+
+
+def _lookup(table: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())]), key)
+
+
+def _date(year: Column, month: Column, day: Column) -> Column:
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
+
+
+def _iso_date(c: Column) -> Column:
+    return F.regexp_extract(c, ISO, 1).try_cast("date")
+
+
+def _one_blank(c: Column) -> Column:
+    return F.regexp_replace(strip(c), r"\s+", " ")
+
+
+def general_date(c: Column) -> Column:
+    """ISO, slashed, dashed, packed and English month-name dates; month first."""
+    t = _one_blank(c)
+    numeric = t
+    for pattern, target in NUMBER_FORMS:
+        numeric = F.regexp_replace(numeric, pattern, target)
+    named = F.regexp_replace(F.lower(t), MONTH_FIRST, "$2 $1 $3")
+    day, month, year = (F.regexp_extract(named, DAY_MONTH_YEAR, i) for i in (1, 2, 3))
+    return F.coalesce(_iso_date(numeric), _date(year, _lookup(ENGLISH_MONTHS, month), day))
 
 
-def general_date(c: Column, formats: tuple[str, ...] = GENERAL_FORMATS) -> Column:
-    t = strip(c)
-    return F.coalesce(*[F.try_to_date(t, f) for f in formats])
+def _numbered(t: Column, months: dict[str, str]) -> Column:
+    """Text with its month name replaced by the number. A text with letters beyond
+    that one name gives an empty text: replacing its first month would leave them."""
+    only = rf"^[^A-Za-z]*({'|'.join(months)})(?:[^A-Za-z]|\1)*$"
+    name = F.regexp_extract(t, only, 1)
+    return F.coalesce(F.replace(t, name, _lookup(months, name)), F.lit(""))
 
 
-def _with_month_number(c: Column, months: dict[str, str], otherwise: Column | None) -> Column:
-    """Replace the first month name found, in look-up order, by its number."""
-    expr = None
-    for name, number in months.items():
-        value = F.replace(c, F.lit(name), F.lit(number))
-        expr = F.when(c.contains(name), value) if expr is None else expr.when(c.contains(name), value)
-    return expr if otherwise is None else expr.otherwise(otherwise)
+def _day_month_year(t: Column, separator: str) -> Column:
+    form = rf"^(\d{{1,2}}){separator}(\d{{1,2}}){separator}(\d{{4}})$"
+    return _date(*(F.regexp_extract(t, form, i) for i in (3, 2, 1)))
 
 
 def local_months_date(c: Column) -> Column:
     """"05 Mei 2024" in local months; text without a local month goes to the
     general parser. A month that leaves letters over ("Maret") is null."""
-    t = F.regexp_replace(strip(c), r"\s+", " ")
-    named = _with_month_number(t, DAILY_MONTHS, None)
-    return F.when(named.isNotNull(), F.try_to_date(named, "d MM yyyy")).otherwise(general_date(t))
+    t = _one_blank(c)
+    has_month = t.rlike("|".join(DAILY_MONTHS))
+    return F.when(has_month, _day_month_year(_numbered(t, DAILY_MONTHS), " ")).otherwise(general_date(c))
 
 
 def monthly_date(c: Column) -> Column:
-    """"31-MEI-2024", any case, local or English months."""
+    """"31-MEI-2024" or "31-05-2024", any case, local or English months."""
     t = F.lower(strip(c))
-    return F.try_to_date(_with_month_number(t, MONTHLY_MONTHS, t), "d-M-yyyy")
+    has_month = t.rlike("|".join(MONTHLY_MONTHS))
+    return _day_month_year(F.when(has_month, _numbered(t, MONTHLY_MONTHS)).otherwise(t), "-")
 
 
 def file_name_date(file_name: Column) -> Column:
     """First run of eight digits read as yyyyMMdd."""
     digits = F.regexp_extract(F.coalesce(file_name, F.lit("")), r"(\d{8})", 1)
-    return F.when(digits != "", F.try_to_date(digits, "yyyyMMdd"))
+    return F.regexp_replace(digits, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
 
 
 def cell_or_file_date(cell: Column, file_name: Column) -> Column:
@@ -79,8 +110,11 @@ def cell_or_file_date(cell: Column, file_name: Column) -> Column:
 
 def two_digit_year_date(c: Column) -> Column:
     """"05 May 24"; years 69 to 99 belong to the last century."""
-    d = F.try_to_date(F.regexp_replace(strip(c), r"\s+", " "), "d MMM yy")
-    return F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
+    form = r"^(\d{1,2}) ([a-z]{3}) (\d{2})$"
+    t = F.lower(_one_blank(c))
+    day, month, year = (F.regexp_extract(t, form, i) for i in (1, 2, 3))
+    century = F.when(year >= "69", "19").otherwise("20")
+    return _date(F.concat(century, year), _lookup(ENGLISH_MONTHS, month), day)
 
 
 def iso_prefix(c: Column, default: Column) -> Column:

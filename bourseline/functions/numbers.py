@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bourseline.functions.text import strip
-
-# A plain decimal number. Checked before any cast because a bare cast also
-# takes type suffixes ("1d") and the words NaN and Infinity.
-DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-WHOLE = r"^[+-]?\d{1,18}$"
+# A plain decimal number, cut out by its pattern: a bare cast would also take type
+# suffixes ("1d") and the words NaN and Infinity. No match gives an empty text,
+# which casts to null.
+DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?[0-2]?\d?\d)?)\s*$"
+WHOLE_PART = r"^\s*([+-]?\d{1,18})(?:\.\d*)?\s*$"
 
 
 def finite(c: Column) -> Column:
@@ -19,14 +18,17 @@ def finite(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    t = strip(c)
-    return finite(F.when(t.rlike(DECIMAL), t.try_cast("double")))
+    return F.regexp_extract(c, DECIMAL, 1).try_cast("double")
 
 
 def to_long(c: Column) -> Column:
-    """Whole text is kept exactly; decimal text is cut towards zero."""
-    t = strip(c)
-    return F.when(t.rlike(WHOLE), t.try_cast("bigint")).otherwise(to_double(t).try_cast("bigint"))
+    """Up to 18 digits are kept exactly; a fraction is cut towards zero."""
+    return F.coalesce(F.regexp_extract(c, WHOLE_PART, 1).try_cast("bigint"), to_double(c).try_cast("bigint"))
+
+
+def round_binary(c: Column, places: int) -> Column:
+    """Round the exact binary value, so 2.675 gives 2.67 (SQL round gives 2.68)."""
+    return F.replace(F.format_number(c, places), F.lit(","), F.lit("")).try_cast("double")
 
 
 def comma_number(c: Column) -> Column:

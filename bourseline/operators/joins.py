@@ -30,10 +30,10 @@ def unprocessed(df: DataFrame, processed: DataFrame, file_name: str, source: str
     without extension or its first eight characters as a match."""
     name = F.col(file_name)
     keys = [name, stem(name), F.left(name, F.lit(8))] if loose else [name]
-    files = df.select(name.alias("_name")).distinct()
     done = processed.select(F.col(source).alias("_key")).distinct()
-    seen = files.select("_name", F.explode(F.array(*keys)).alias("_key")).join(done, "_key", "left_semi")
-    return df.join(seen.select("_name").distinct(), name == F.col("_name"), "left_anti")
+    names = df.select(file_name).distinct().select(file_name, F.explode(F.array(*keys)).alias("_key"))
+    seen = names.join(done, "_key", "left_semi").select(file_name).distinct()
+    return df.join(seen, file_name, "left_anti")
 
 
 def next_dates(df: DataFrame, date: str) -> DataFrame:

@@ -43,7 +43,7 @@ def normalize_broker(items: DataFrame) -> DataFrame:
         item["stock_code"].alias("stock_code"),
         count(item["value"]).alias("value"),
         count(item["lot"]).alias("lot"),
-        F.round(price, 2).alias("avg_price"),
+        numbers.round_binary(price, 2).alias("avg_price"),
         count(item["freq"]).alias("freq"),
         "load_seq", "_side_rank", "_pos",
     )
