@@ -11,8 +11,6 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bourseline.functions.text import strip
-
 # Local month names of the daily sheets, in look-up order.
 DAILY_MONTHS = {
     "Jan": "01", "Feb": "02", "Mar": "03", "Apr": "04", "Mei": "05", "Jun": "06",
@@ -33,14 +31,14 @@ ENGLISH_MONTHS = {n: str(i) for i, n in enumerate(ENGLISH, 1)} | {n[:3]: str(i)
 # Number-only spellings of the general parser and how each becomes year-month-day,
 # in order: month before day wherever both readings fit.
 NUMBER_FORMS = (
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(0?[1-9]|1[0-2])[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"),
-    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$2-$1"),
+    (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})\s*$", "$1-$2-$3"),
+    (r"^\s*(\d{4})(\d{2})(\d{2})\s*$", "$1-$2-$3"),
+    (r"^\s*(0?[1-9]|1[0-2])[/-](\d{1,2})[/-](\d{4})\s*$", "$3-$1-$2"),
+    (r"^\s*(\d{1,2})[/-](\d{1,2})[/-](\d{4})\s*$", "$3-$2-$1"),
 )
-ISO = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$"
-MONTH_FIRST = r"^([a-z]{3,9}) (\d{1,2}),? (\d{4})$"
-DAY_MONTH_YEAR = r"^(\d{1,2})[ -]([a-z]{3,9})[ -](\d{4})$"
+ISO = r"^\s*(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$"
+MONTH_FIRST = r"^\s*([a-z]{3,9})\s+(\d{1,2}),?\s+(\d{4})\s*$"
+DAY_MONTH_YEAR = r"^\s*(\d{1,2})(?:\s+|-)([a-z]{3,9})(?:\s+|-)(\d{4})\s*$"
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
@@ -55,53 +53,52 @@ def _iso_date(c: Column) -> Column:
     return F.regexp_extract(c, ISO, 1).try_cast("date")
 
 
-def _one_blank(c: Column) -> Column:
-    return F.regexp_replace(strip(c), r"\s+", " ")
-
-
 def general_date(c: Column) -> Column:
     """ISO, slashed, dashed, packed and English month-name dates; month first."""
-    t = _one_blank(c)
-    numeric = t
+    numeric = c
     for pattern, target in NUMBER_FORMS:
         numeric = F.regexp_replace(numeric, pattern, target)
-    named = F.regexp_replace(F.lower(t), MONTH_FIRST, "$2 $1 $3")
+    named = F.regexp_replace(F.lower(c), MONTH_FIRST, "$2 $1 $3")
     day, month, year = (F.regexp_extract(named, DAY_MONTH_YEAR, i) for i in (1, 2, 3))
-    return F.coalesce(_iso_date(numeric), _date(year, _lookup(ENGLISH_MONTHS, month), day))
+    spelled = F.when(c.rlike("[A-Za-z]{3}"), _date(year, _lookup(ENGLISH_MONTHS, month), day))
+    return F.coalesce(_iso_date(c), F.when(~c.rlike("[A-Za-z]"), _iso_date(numeric)), spelled)
+
+
+def _any_month(months: dict[str, str]) -> str:
+    return "|".join(months)
 
 
-def _numbered(t: Column, months: dict[str, str]) -> Column:
-    """Text with its month name replaced by the number. A text with letters beyond
-    that one name gives an empty text: replacing its first month would leave them."""
-    only = rf"^[^A-Za-z]*({'|'.join(months)})(?:[^A-Za-z]|\1)*$"
-    name = F.regexp_extract(t, only, 1)
-    return F.coalesce(F.replace(t, name, _lookup(months, name)), F.lit(""))
+def _two_months(months: dict[str, str]) -> str:
+    names = "|".join(months)
+    return rf"({names}).*(?!\1)({names})"
 
 
-def _day_month_year(t: Column, separator: str) -> Column:
-    form = rf"^(\d{{1,2}}){separator}(\d{{1,2}}){separator}(\d{{4}})$"
-    return _date(*(F.regexp_extract(t, form, i) for i in (3, 2, 1)))
+def _numbered_date(c: Column, months: dict[str, str], separator: str) -> Column:
+    """Month names replaced by their numbers, then day, month and year. A text with
+    two different months is null: replacing the first leaves the other's letters."""
+    text = c
+    for name, number in months.items():
+        text = F.replace(text, F.lit(name), F.lit(number))
+    form = rf"(?s)^(?:\s*(\d{{1,2}}){separator}(\d{{1,2}}){separator}(\d{{4}})\s*|.*)$"
+    value = F.regexp_replace(text, form, "$3-$2-$1").try_cast("date")
+    return F.when(~c.rlike(_two_months(months)), value)
 
 
 def local_months_date(c: Column) -> Column:
     """"05 Mei 2024" in local months; text without a local month goes to the
     general parser. A month that leaves letters over ("Maret") is null."""
-    t = _one_blank(c)
-    has_month = t.rlike("|".join(DAILY_MONTHS))
-    return F.when(has_month, _day_month_year(_numbered(t, DAILY_MONTHS), " ")).otherwise(general_date(c))
+    return F.when(c.rlike(_any_month(DAILY_MONTHS)), _numbered_date(c, DAILY_MONTHS, r"\s+")).otherwise(general_date(c))
 
 
 def monthly_date(c: Column) -> Column:
     """"31-MEI-2024" or "31-05-2024", any case, local or English months."""
-    t = F.lower(strip(c))
-    has_month = t.rlike("|".join(MONTHLY_MONTHS))
-    return _day_month_year(F.when(has_month, _numbered(t, MONTHLY_MONTHS)).otherwise(t), "-")
+    return _numbered_date(F.lower(c), MONTHLY_MONTHS, "-")
 
 
 def file_name_date(file_name: Column) -> Column:
     """First run of eight digits read as yyyyMMdd."""
-    digits = F.regexp_extract(F.coalesce(file_name, F.lit("")), r"(\d{8})", 1)
-    return F.regexp_replace(digits, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
+    first = r"(?s)^(?:.*?(\d{4})(\d{2})(\d{2}).*|.*)$"
+    return F.regexp_replace(file_name, first, "$1-$2-$3").try_cast("date")
 
 
 def cell_or_file_date(cell: Column, file_name: Column) -> Column:
@@ -110,9 +107,8 @@ def cell_or_file_date(cell: Column, file_name: Column) -> Column:
 
 def two_digit_year_date(c: Column) -> Column:
     """"05 May 24"; years 69 to 99 belong to the last century."""
-    form = r"^(\d{1,2}) ([a-z]{3}) (\d{2})$"
-    t = F.lower(_one_blank(c))
-    day, month, year = (F.regexp_extract(t, form, i) for i in (1, 2, 3))
+    form = r"^\s*(\d{1,2})\s+([a-z]{3})\s+(\d{2})\s*$"
+    day, month, year = (F.regexp_extract(F.lower(c), form, i) for i in (1, 2, 3))
     century = F.when(year >= "69", "19").otherwise("20")
     return _date(F.concat(century, year), _lookup(ENGLISH_MONTHS, month), day)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_base: str | None = None
 
@@ -29,3 +29,10 @@ def shared_base(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_base(spark)}/bourseline/{label}-{uuid.uuid4().hex}"
+
+
+def land(df: DataFrame, label: str) -> str:
+    """Write `df` as a new Parquet dataset and return its path."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path

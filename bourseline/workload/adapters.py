@@ -6,16 +6,40 @@ percentages in steps of 1/1024, so sums are exact in any order.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bourseline import schemas
+from bourseline.sources.storage import land
 
 c, lit = F.col, F.lit
 
+FACTS = {"lineitem", "orders"}
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def landed(build):
+    """Raw text inputs arrive as files: write them once per session and table
+    folder, then read them as any landed file is read."""
+
+    @wraps(build)
+    def read(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, build.__name__, sf)
+        if key not in _landed:
+            _landed[key] = land(build(spark, sf), build.__name__)
+        return spark.read.parquet(_landed[key])
+
+    return read
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. One that comes as fewer splits than there are cores (a single
+    small file) is spread over them; a table of many files is left as it is."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in FACTS and df.rdd.getNumPartitions() < cores else df
 
 
 # ---- daily trading: one sheet row per line item ------------------------------
@@ -131,6 +155,7 @@ def trade_texts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
 def daily_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Sheet rows as cells: one file per ship date with a heading in row 0; rows of
     line 7 lack a cell."""
@@ -228,6 +253,7 @@ def sheet_layout(snap: Column) -> Column:
     return F.when(F.year(snap) == 1997, "C").when(F.month(snap) % 2 == 1, "A").otherwise("B")
 
 
+@landed
 def holder_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Raw holder-list cells in three layouts, with titles, blank rows and bad codes."""
     f = holder_fields()
@@ -307,6 +333,7 @@ def majors(spark: SparkSession, sf: str) -> DataFrame:
 MAJOR_HEADING = ["No", "Kode Efek", "Nama Emiten", "Nama Pemegang Rekening Efek", "Nama Pemegang Saham"] + ["-"] * 13
 
 
+@landed
 def major_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Document rows: a cover page, a page per nation with heading and footer, short
     and empty rows; pages of nation 24 start with a short row and are skipped."""
@@ -363,6 +390,7 @@ def monthly_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
 def monthly_text(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows as raw text; status P of nations without a bond list is a bond."""
     df = monthly_raw(spark, sf)

@@ -12,7 +12,7 @@ from bourseline import schemas
 from bourseline.operators import frames, joins
 from bourseline.plans import monthly as B
 from bourseline.sources import readers, writers
-from bourseline.sources.storage import fresh_path
+from bourseline.sources.storage import fresh_path, land
 from bourseline.streaming import intake
 from bourseline.workload import adapters as A
 from bourseline.workload.daily import TRADES
@@ -51,9 +51,7 @@ add(
 
 
 def src_sheet_rows(spark, sf):
-    path = fresh_path(spark, "sheets")
-    A.daily_sheets(spark, sf).write.parquet(path)
-    rows = readers.sheet_rows(spark, path)
+    rows = readers.sheet_rows(spark, land(A.daily_sheets(spark, sf), "sheets"))
     return rows.select("file_name", "row_idx", F.size("cells").alias("width"), F.element_at("cells", 1).alias("first_cell"))
 
 
