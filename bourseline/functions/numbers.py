@@ -12,6 +12,13 @@ DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?[0-2]?\d?\d)?)\s*$"
 WHOLE_PART = r"^\s*([+-]?\d{1,18})(?:\.\d*)?\s*$"
 
 
+BLANKS = " \t\r\n\f\v\u00a0"
+
+
+def _without(c: Column, characters: str) -> Column:
+    return F.translate(c, characters, "")
+
+
 def finite(c: Column) -> Column:
     """NaN and infinities become null."""
     return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
@@ -27,34 +34,36 @@ def to_long(c: Column) -> Column:
 
 
 def round_binary(c: Column, places: int) -> Column:
-    """Round the exact binary value, so 2.675 gives 2.67 (SQL round gives 2.68)."""
-    return F.replace(F.format_number(c, places), F.lit(","), F.lit("")).try_cast("double")
+    """Round the exact binary value, so 2.675 gives 2.67 (SQL round gives 2.68).
+
+    The two differ only where the decimal spelling ends in a 5 one place further
+    down; only such values take the slow way through text."""
+    maybe_tie = F.round(c, places + 1) == c
+    exact = F.replace(F.format_number(c, places), F.lit(","), F.lit("")).try_cast("double")
+    return F.when(maybe_tie, exact).otherwise(F.round(c, places))
 
 
 def comma_number(c: Column) -> Column:
-    return to_double(F.replace(c, F.lit(","), F.lit("")))
+    return to_double(_without(c, ","))
 
 
 def currency_number(c: Column) -> Column:
     """Commas, blanks and the letters R and p go; what is left must be a number."""
-    return to_double(F.regexp_replace(c, r"[,\sRp]", ""))
+    return to_double(_without(c, "," + BLANKS + "Rp"))
 
 
 def locale_float(c: Column) -> Column:
     """Percentages in either notation. With both signs present the later one is
     the decimal sign; a lone comma is a decimal comma; bad text is 0."""
-    s = F.regexp_replace(c, r"[\s%]", "")
+    s = _without(c, "%" + BLANKS)
     comma, dot = F.instr(s, ","), F.instr(s, ".")
-    no_commas = F.replace(s, F.lit(","), F.lit(""))
-    no_dots = F.replace(s, F.lit("."), F.lit(""))
-    decimal_comma = F.when(dot > 0, no_dots).otherwise(s)
     plain = (
-        F.when((comma > 0) & (dot > comma), no_commas)
-        .when(comma > 0, F.replace(decimal_comma, F.lit(","), F.lit(".")))
-        .otherwise(s)
+        F.when((comma > 0) & (dot > comma), _without(s, ","))
+        .when((comma > 0) & (dot > 0), F.translate(s, ",.", "."))
+        .when(comma > 0, F.translate(s, ",", "."))
+        .otherwise(F.regexp_replace(s, r"(?<=\d)_(?=\d)", ""))
     )
-    grouped = F.regexp_replace(plain, r"(?<=\d)_(?=\d)", "")
-    return F.coalesce(to_double(grouped), F.lit(0.0))
+    return F.coalesce(to_double(plain), F.lit(0.0))
 
 
 def locale_int(c: Column, trim_decimal: bool = False) -> Column:
@@ -62,24 +71,20 @@ def locale_int(c: Column, trim_decimal: bool = False) -> Column:
 
     So the text 1234.0 reads as 12340. `trim_decimal` cuts a trailing .0 first.
     """
-    s = F.regexp_replace(c, r"[\s%]", "")
-    if trim_decimal:
-        s = F.regexp_replace(s, r"\.0+$", "")
-    return F.coalesce(to_long(F.regexp_replace(s, r"[.,]", "")), F.lit(0).cast("bigint"))
+    s = F.regexp_replace(c, r"\.0+\s*$", "") if trim_decimal else c
+    return F.coalesce(to_long(_without(s, "%.," + BLANKS)), F.lit(0).cast("bigint"))
 
 
 def dash_zero(c: Column, history: bool = False) -> Column:
     """Holder-list counts. On new rows each dash reads as a zero digit (so -5 is
     5); rows from stored history keep their sign. Bad text is 0."""
-    s = F.regexp_replace(c, "[, ]", "")
-    if not history:
-        s = F.replace(s, F.lit("-"), F.lit("0"))
+    s = _without(c, ", ") if history else F.translate(c, "-, ", "0")
     return F.coalesce(to_long(s), F.lit(0).cast("bigint"))
 
 
 def signed_double(c: Column) -> Column:
     """+1,234.5 style text; a missing field is 0, bad text is null."""
-    return to_double(F.regexp_replace(F.coalesce(c, F.lit("0")), "[,+]", ""))
+    return to_double(_without(F.coalesce(c, F.lit("0")), ",+"))
 
 
 def signed_long(c: Column) -> Column:
@@ -88,7 +93,7 @@ def signed_long(c: Column) -> Column:
 
 def price_or_zero(c: Column) -> Column:
     """Like `signed_double`, but an empty text is 0 too."""
-    s = F.replace(F.coalesce(c, F.lit("0")), F.lit(","), F.lit(""))
+    s = _without(F.coalesce(c, F.lit("0")), ",")
     return F.when(s == "", F.lit(0.0)).otherwise(to_double(s))
 
 

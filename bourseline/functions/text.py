@@ -16,7 +16,7 @@ def strip(c: Column) -> Column:
 
 def one_line(c: Column) -> Column:
     """Line breaks inside a cell become blanks."""
-    return F.regexp_replace(c, "\n", " ")
+    return F.translate(c, "\n", " ")
 
 
 def stem(file_name: Column) -> Column:

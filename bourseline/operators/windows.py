@@ -5,7 +5,7 @@ day loaded from many files), so no window here gathers a key's copies whole:
 
 * keep-first/keep-last is ``row_number() = 1``. Spark limits each group on the map
   side (WindowGroupLimit), so a hot key sends one row per input task.
-* `thin_copies` cuts copies into chunks of at most 65,536 load positions, fills
+* `thin_copies`, used when the largest stock has over `GROUP_LIMIT` rows, cuts copies into chunks of at most 65,536 load positions, fills
   prices inside a chunk and keeps the newest rows a rolling frame can reach. After
   that a stock's rows are bounded by the trading calendar, not by the data.
 * `previous_row` takes lags inside such chunks and carries only each chunk's last
@@ -22,6 +22,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHUNK_BITS = 16
+# Rows one task can sort and walk without trouble.
+GROUP_LIMIT = 1_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent key: a counting pass over one column."""
+    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
+    return row["n"] or 0
 
 
 def chunk_of(load_seq: str) -> Column:
@@ -81,18 +89,16 @@ def stock_window(stock: str, date: str, load_seq: str):
     return W.partitionBy(stock).orderBy(date, load_seq)
 
 
-def carry_forward(df: DataFrame, w, stock: str, cols: Sequence[str], backfill: bool) -> DataFrame:
-    """Last known value per stock; leading gaps take the stock's first known value.
-
-    Expects `thin_copies` output. Rows without a stock code stay unfilled.
+def carry_forward(df: DataFrame, w, stock: str, cols: Sequence[str]) -> DataFrame:
+    """Last known value per stock; leading gaps take the stock's first known value
+    (also when `thin_copies` dropped its row). Rows without a stock code stay unfilled.
     """
     running = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
 
     def filled(c: str) -> Column:
-        known = F.last(c, ignorenulls=True).over(running)
-        if backfill:
-            known = F.coalesce(known, F.first(first_name(c), ignorenulls=True).over(whole))
+        first = first_name(c) if first_name(c) in df.columns else c
+        known = F.coalesce(F.last(c, ignorenulls=True).over(running), F.first(first, ignorenulls=True).over(whole))
         return F.when(F.col(stock).isNotNull(), known)
 
     return df.withColumns({c: filled(c) for c in cols}).drop(*[first_name(c) for c in cols])

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from bourseline import schemas
 from bourseline.functions import dates, numbers, text
 from bourseline.operators import windows
-from bourseline.operators.frames import union_by_name
 
 BROKER_KEYS = ["date", "broker_code", "side", "stock_code"]
 INSIDER_KEYS = ["insider_id", "stock_code", "transaction_date"]
@@ -17,16 +16,18 @@ TOP_BROKERS = 100
 
 
 def broker_items(pages: DataFrame) -> DataFrame:
-    """One row per transaction, buys and sells tagged by side."""
+    """One row per transaction, buys and sells tagged by side, in one pass."""
     tx = F.col("data.broker_activity_transaction")
     head = ["broker_code", "broker_name", "target_date", "load_seq"]
 
-    def one_side(items: Column, side: str, rank: int) -> DataFrame:
-        return pages.select(*head, F.posexplode(items).alias("_pos", "item")).select(
-            *head, F.lit(side).alias("side"), F.lit(rank).alias("_side_rank"), "_pos", "item"
-        )
+    def one_side(name: str, rank: int, items: Column) -> Column:
+        return F.struct(F.lit(name).alias("side"), F.lit(rank).alias("rank"), items.alias("items"))
 
-    return union_by_name(one_side(tx["brokers_buy"], "BUY", 0), one_side(tx["brokers_sell"], "SELL", 1))
+    sides = F.array(one_side("BUY", 0, tx["brokers_buy"]), one_side("SELL", 1, tx["brokers_sell"]))
+    tagged = pages.select(*head, F.explode(sides).alias("s"))
+    return tagged.select(
+        *head, F.col("s.side").alias("side"), F.col("s.rank").alias("_side_rank"), F.posexplode("s.items").alias("_pos", "item")
+    )
 
 
 def normalize_broker(items: DataFrame) -> DataFrame:

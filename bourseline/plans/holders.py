@@ -41,9 +41,11 @@ def file_headings(rows: DataFrame) -> DataFrame:
     # Found headings have a higher row number than row 0; the lowest found one wins.
     both = first.withColumn("_pick", F.lit(1)).unionByName(found.withColumn("_pick", F.lit(0)))
     best = both.groupBy("file_name").agg(F.min(F.struct("_pick", "row_idx", "cells")).alias("_h"))
-    return best.select(
+    named = best.select(
         "file_name", F.col("_h.row_idx").alias("heading_row"), _heading(F.col("_h.cells")).alias("heading")
     )
+    places = F.struct(*[F.array_position("heading", name).cast("int").alias(name) for name in schemas.HOLDER_COLUMNS])
+    return named.withColumn("place", places)
 
 
 def detect_headings(rows: DataFrame) -> DataFrame:
@@ -53,23 +55,22 @@ def detect_headings(rows: DataFrame) -> DataFrame:
 
 
 def align(records: DataFrame) -> DataFrame:
-    """The twelve expected columns as text, found by heading, with defaults for
-    columns the file lacks. Rows need a valid share code if the file has codes."""
-    heading, cells = F.col("heading"), F.col("cells")
-
-    def cell(name: str) -> Column:
-        at = F.array_position(heading, name)
-        return F.when(at > 0, F.try_element_at(cells, at.cast("int")))
-
-    has_code = F.array_contains(heading, "SHARE_CODE")
-    code = F.upper(text.strip(F.coalesce(cell("SHARE_CODE"), F.lit("nan"))))
-    values = []
-    for name, default in schemas.HOLDER_COLUMNS.items():
-        value = code if name == "SHARE_CODE" else cell(name)
-        values.append(F.when(F.array_contains(heading, name), value).otherwise(F.lit(default)).alias(name.lower()))
-    return records.filter(~has_code | valid_code(code)).select(
-        text.stem(F.col("file_name")).alias("data_source"), *values, "load_seq"
+    """The twelve expected columns as text, taken from the places their headings
+    have in the file, with defaults for columns the file lacks. Rows need a valid
+    share code if the file has codes."""
+
+    def value(name: str, default: str) -> Column:
+        at = F.col("place")[name]
+        return F.when(at > 0, F.try_element_at(F.col("cells"), at)).otherwise(F.lit(default))
+
+    texts = {name.lower(): value(name, default) for name, default in schemas.HOLDER_COLUMNS.items()}
+    texts["share_code"] = F.upper(text.strip(text.text_or(texts["share_code"], "nan")))
+    named = records.select(
+        text.stem(F.col("file_name")).alias("data_source"),
+        *[v.alias(k) for k, v in texts.items()],
+        "load_seq", (F.col("place.SHARE_CODE") == 0).alias("_no_codes"),
     )
+    return named.filter(F.col("_no_codes") | valid_code(F.col("share_code"))).drop("_no_codes")
 
 
 def valid_code(code: Column) -> Column:
@@ -80,16 +81,15 @@ def clean(df: DataFrame) -> DataFrame:
     """Types, standard values, dated rows only. A missing text reads "nan", as the
     stored table has always had it."""
     counts = ["holdings_scripless", "holdings_scrip", "total_holding_shares"]
-    texts = ["data_source", "share_code", "issuer_name", "investor_name", "nationality", "domicile"]
+    texts = ["data_source", "share_code", "issuer_name", "investor_name", "investor_type", "local_foreign", "nationality", "domicile"]
 
     def as_text(c: str) -> Column:
         return text.strip(text.one_line(text.text_or(F.col(c), "nan")))
 
-    return df.withColumns(
-        {c: as_text(c) for c in texts}
-        | {
-            "local_foreign": text.map_values(as_text("local_foreign"), schemas.LOCAL_FOREIGN),
-            "investor_type": text.map_values(as_text("investor_type"), schemas.INVESTOR_TYPES),
+    return df.withColumns({c: as_text(c) for c in texts}).withColumns(
+        {
+            "local_foreign": text.map_values(F.col("local_foreign"), schemas.LOCAL_FOREIGN),
+            "investor_type": text.map_values(F.col("investor_type"), schemas.INVESTOR_TYPES),
             "date": dates.general_date(F.col("date")),
             "percentage": numbers.locale_float(F.col("percentage")),
         }

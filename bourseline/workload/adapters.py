@@ -16,7 +16,7 @@ from bourseline.sources.storage import land
 
 c, lit = F.col, F.lit
 
-FACTS = {"lineitem", "orders"}
+_splits: dict[tuple, int] = {}
 _landed: dict[tuple[str, str, str], str] = {}
 
 
@@ -35,11 +35,17 @@ def landed(build):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A test table. One that comes as fewer splits than there are cores (a single
-    small file) is spread over them; a table of many files is left as it is."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in FACTS and df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """For costly row work: rows of fewer splits than cores (a single small file)
+    are spread over the cores; a table of many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    where = (df.sparkSession.sparkContext.applicationId, tuple(df.inputFiles()))
+    if where not in _splits:
+        _splits[where] = df.rdd.getNumPartitions()
+    return df.repartition(cores, *keys) if _splits[where] < cores else df
 
 
 # ---- daily trading: one sheet row per line item ------------------------------
@@ -108,7 +114,7 @@ def trade_texts(spark: SparkSession, sf: str) -> DataFrame:
     grouped = F.format_number(ext, 2)
     swapped = F.translate(grouped, ",.", ".,")
     whole = F.format_number(F.floor(ext), 0)
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
         by_line([
             F.concat_ws(" ", dd, month_name(day, SHORT_MONTHS), yyyy),
@@ -159,7 +165,7 @@ def trade_texts(spark: SparkSession, sf: str) -> DataFrame:
 def daily_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Sheet rows as cells: one file per ship date with a heading in row 0; rows of
     line 7 lack a cell."""
-    base = table(spark, sf, "lineitem")
+    base = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
     day = c("l_shipdate").cast("date")
     name = F.concat(lit("sheet_"), F.date_format(day, "yyyyMMdd"), lit(".xlsx")).alias("file_name")
     heads = base.select(name).distinct().select(
@@ -193,7 +199,7 @@ SHEET_HEADINGS = ["Stock Code", "Last Trading Date", "Close", "Volume", "Value",
 
 def placed(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their customer; `snap` is the month end two days back."""
-    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    orders, customer = spread(table(spark, sf, "orders"), "o_custkey"), table(spark, sf, "customer")
     return orders.join(customer, c("o_custkey") == c("c_custkey")).withColumn(
         "snap", F.last_day(F.date_sub(c("o_orderdate").cast("date"), 2))
     )
@@ -407,6 +413,7 @@ def monthly_text(spark: SparkSession, sf: str) -> DataFrame:
 # ---- broker and insider pages ----------------------------------------------------
 
 
+@landed
 def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A page per line item; its transaction comes twice, the second with another value."""
     day, ln = c("l_shipdate").cast("date"), c("l_linenumber")
@@ -427,7 +434,7 @@ def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
     none = F.filter(items, lambda _: lit(False))
     sell = c("l_returnflag") == "R"
     tx = F.struct(F.when(sell, none).otherwise(items).alias("brokers_buy"), F.when(sell, items).otherwise(none).alias("brokers_sell"))
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(
         F.concat(lit("B"), c("l_suppkey").cast("string")).alias("broker_code"),
         F.concat(lit("Broker "), c("l_suppkey").cast("string")).alias("broker_name"),
         day.alias("target_date"), (c("l_orderkey") * 8 + ln).alias("load_seq"),
@@ -435,6 +442,7 @@ def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
 def insider_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A page per order; its movement comes twice, the second under another name."""
     day, prio, status = c("o_orderdate").cast("date"), F.left(c("o_orderpriority"), lit(1)), c("o_orderstatus")
