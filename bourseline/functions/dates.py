@@ -64,30 +64,25 @@ def general_date(c: Column) -> Column:
     return F.coalesce(_iso_date(c), F.when(~c.rlike("[A-Za-z]"), _iso_date(numeric)), spelled)
 
 
-def _any_month(months: dict[str, str]) -> str:
-    return "|".join(months)
-
-
-def _two_months(months: dict[str, str]) -> str:
-    names = "|".join(months)
-    return rf"({names}).*(?!\1)({names})"
-
-
 def _numbered_date(c: Column, months: dict[str, str], separator: str) -> Column:
     """Month names replaced by their numbers, then day, month and year. A text with
     two different months is null: replacing the first leaves the other's letters."""
+    names = "|".join(months)
+    usual = rf"^\s*\d{{1,2}}{separator}(?:{names}|\d{{1,2}}){separator}\d{{4}}\s*$"
+    two = rf"({names}).*(?!\1)({names})"
     text = c
     for name, number in months.items():
         text = F.replace(text, F.lit(name), F.lit(number))
     form = rf"(?s)^(?:\s*(\d{{1,2}}){separator}(\d{{1,2}}){separator}(\d{{4}})\s*|.*)$"
     value = F.regexp_replace(text, form, "$3-$2-$1").try_cast("date")
-    return F.when(~c.rlike(_two_months(months)), value)
+    return F.when(c.rlike(usual) | ~c.rlike(two), value)
 
 
 def local_months_date(c: Column) -> Column:
     """"05 Mei 2024" in local months; text without a local month goes to the
     general parser. A month that leaves letters over ("Maret") is null."""
-    return F.when(c.rlike(_any_month(DAILY_MONTHS)), _numbered_date(c, DAILY_MONTHS, r"\s+")).otherwise(general_date(c))
+    local = _numbered_date(c, DAILY_MONTHS, r"\s+")
+    return F.when(c.rlike("|".join(DAILY_MONTHS)), local).otherwise(general_date(c))
 
 
 def monthly_date(c: Column) -> Column:

@@ -145,10 +145,6 @@ def rolling_sum(c: Column, w, rows: int) -> Column:
     return F.sum(c).over(w.rowsBetween(1 - rows, W.currentRow))
 
 
-def rolling_mean(c: Column, w, rows: int) -> Column:
-    return F.avg(c).over(w.rowsBetween(1 - rows, W.currentRow))
-
-
 def is_last_of_date(w, date: str) -> Column:
     """True on the last row of each date, in the order of `w`: the keep-last rule
     without another sort."""

@@ -104,18 +104,30 @@ def roll(df: DataFrame) -> DataFrame:
     def per_stock(value: Column) -> Column:
         return F.when(c(STOCK).isNotNull(), value)
 
-    df = df.withColumns(
+    # Volumes hold no nulls here, so a frame's mean is its sum over its row count.
+    sums = df.withColumns(
         {
-            "_sum_tpxv": per_stock(windows.rolling_sum(c("tpxv"), w, SHORT)),
-            "_sum_volume": per_stock(windows.rolling_sum(c("volume"), w, SHORT)),
-            "ma20_volume": per_stock(windows.rolling_mean(c("volume"), w, SHORT)),
-            "ma20_avg_order_volume": per_stock(windows.rolling_mean(c("avg_order_volume"), w, SHORT)),
-            "ma50_avg_order_volume": per_stock(windows.rolling_mean(c("avg_order_volume"), w, LONG)),
+            "_row": F.row_number().over(w),
+            "_tpxv": windows.rolling_sum(c("tpxv"), w, SHORT),
+            "_volume": windows.rolling_sum(c("volume"), w, SHORT),
+            "_order20": windows.rolling_sum(c("avg_order_volume"), w, SHORT),
+            "_order50": windows.rolling_sum(c("avg_order_volume"), w, LONG),
             "_last": windows.is_last_of_date(w, DATE),
         }
     )
-    vwma = F.when(c("_sum_volume") == 0, c("close")).otherwise(F.try_divide(c("_sum_tpxv"), c("_sum_volume")))
-    return df.withColumn("vwma_20d", vwma).drop("_sum_tpxv", "_sum_volume")
+
+    def mean(total: str, rows: int) -> Column:
+        return per_stock(c(total) / F.least(c("_row"), F.lit(rows)))
+
+    vwma = F.when(c("_volume") == 0, c("close")).otherwise(F.try_divide(c("_tpxv"), c("_volume")))
+    return sums.withColumns(
+        {
+            "vwma_20d": per_stock(vwma),
+            "ma20_volume": mean("_volume", SHORT),
+            "ma20_avg_order_volume": mean("_order20", SHORT),
+            "ma50_avg_order_volume": mean("_order50", LONG),
+        }
+    ).drop("_row", "_tpxv", "_volume", "_order20", "_order50")
 
 
 def flags(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:

@@ -10,7 +10,7 @@ from bourseline.functions import dates, numbers, rules, text
 from bourseline.functions.rules import CORPORATE, FINANCIAL, FOREIGN, FUND, INDIVIDUAL, ScreenerFlags
 from bourseline.operators import windows
 from bourseline.operators.frames import any_cell
-from bourseline.operators.joins import latest, previous_date
+from bourseline.operators.joins import broadcast_if_few, latest, previous_date
 
 SCAN_ROWS = 15
 TABLE = schemas.HOLDER_TABLE.fieldNames()
@@ -51,7 +51,8 @@ def file_headings(rows: DataFrame) -> DataFrame:
 def detect_headings(rows: DataFrame) -> DataFrame:
     """Filled rows below their file's heading, with that heading."""
     filled = rows.filter(any_cell(F.col("cells")) & (F.col("row_idx") > 0))
-    return filled.join(file_headings(rows), "file_name").filter(F.col("row_idx") > F.col("heading_row"))
+    headings = broadcast_if_few(file_headings(rows), rows, "file_name")
+    return filled.join(headings, "file_name").filter(F.col("row_idx") > F.col("heading_row"))
 
 
 def align(records: DataFrame) -> DataFrame:

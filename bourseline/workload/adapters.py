@@ -10,6 +10,7 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bourseline import schemas
 from bourseline.sources.storage import land
@@ -17,7 +18,8 @@ from bourseline.sources.storage import land
 c, lit = F.col, F.lit
 
 _splits: dict[tuple, int] = {}
-_landed: dict[tuple[str, str, str], str] = {}
+_schemas: dict[tuple, StructType] = {}
+_landed: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def landed(build):
@@ -28,14 +30,21 @@ def landed(build):
     def read(spark: SparkSession, sf: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, build.__name__, sf)
         if key not in _landed:
-            _landed[key] = land(build(spark, sf), build.__name__)
-        return spark.read.parquet(_landed[key])
+            df = build(spark, sf)
+            _landed[key] = land(df, build.__name__), df.schema
+        path, schema = _landed[key]
+        return spark.read.schema(schema).parquet(path)
 
     return read
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table; its schema is read from the files once per session."""
+    path = f"{sf}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
