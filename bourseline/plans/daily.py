@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourseline import schemas
-from bourseline.functions import dates, numbers, rules
+from bourseline.functions import dates, numbers, rules, text
 from bourseline.functions.rules import DEFAULTS, Thresholds
 from bourseline.operators import windows
 from bourseline.operators.frames import has_width, keep_existing, rename
@@ -169,7 +169,7 @@ def publish(df: DataFrame) -> DataFrame:
         elif kind == "double":
             columns[field.name] = numbers.fill_double(c)
         elif kind == "boolean":
-            columns[field.name] = F.coalesce(c.cast("boolean"), F.lit(False))
+            columns[field.name] = text.true_text(c)
         else:
             columns[field.name] = c.cast(kind)
     present = keep_existing(df, columns)

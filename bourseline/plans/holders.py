@@ -29,20 +29,31 @@ def _heading(cells: Column) -> Column:
 
 def file_headings(rows: DataFrame) -> DataFrame:
     """Heading of each file: the first of its first 15 filled data rows that holds
-    a key column's name, else row 0. One row per file."""
+    a key column's name, else row 0. One row per file.
+
+    Aggregates only: the first row with such a name per file, then the number of
+    filled rows before it. No file's rows are sorted or gathered.
+    """
     data = rows.filter((F.col("row_idx") > 0) & any_cell(F.col("cells")))
-    scanned = windows.top_per_group(
-        data.select("file_name", "row_idx", "cells"), ["file_name"], [F.col("row_idx").asc()], SCAN_ROWS
-    )
     marks = F.array(*[F.lit(m) for m in schemas.HOLDER_HEADING_MARKS])
     marked = F.arrays_overlap(F.transform("cells", lambda c: text.strip(F.upper(c))), marks)
-    found = scanned.filter(F.coalesce(marked, F.lit(False)))
-    first = rows.filter(F.col("row_idx") == 0).select("file_name", "row_idx", "cells")
-    # Found headings have a higher row number than row 0; the lowest found one wins.
-    both = first.withColumn("_pick", F.lit(1)).unionByName(found.withColumn("_pick", F.lit(0)))
-    best = both.groupBy("file_name").agg(F.min(F.struct("_pick", "row_idx", "cells")).alias("_h"))
-    named = best.select(
-        "file_name", F.col("_h.row_idx").alias("heading_row"), _heading(F.col("_h.cells")).alias("heading")
+    found = (
+        data.filter(F.coalesce(marked, F.lit(False)))
+        .groupBy("file_name")
+        .agg(F.min(F.struct("row_idx", "cells")).alias("_found"))
+    )
+    before = (
+        data.select("file_name", "row_idx")
+        .join(found.select("file_name", F.col("_found.row_idx").alias("_at")), "file_name")
+        .filter(F.col("row_idx") < F.col("_at"))
+        .groupBy("file_name")
+        .agg(F.count(F.lit(1)).alias("_before"))
+    )
+    near = found.join(before, "file_name", "left").filter(F.coalesce("_before", F.lit(0)) < SCAN_ROWS)
+    first = rows.filter(F.col("row_idx") == 0).select("file_name", F.struct("row_idx", "cells").alias("_first"))
+    heading = F.coalesce("_found", "_first")
+    named = first.join(near, "file_name", "left").select(
+        "file_name", heading["row_idx"].alias("heading_row"), _heading(heading["cells"]).alias("heading")
     )
     places = F.struct(*[F.array_position("heading", name).cast("int").alias(name) for name in schemas.HOLDER_COLUMNS])
     return named.withColumn("place", places)

@@ -24,10 +24,11 @@ def list_rows(rows: DataFrame) -> DataFrame:
     cells = F.col("cells")
     dated = rows.filter(F.col("file_name").rlike(r"^\d{8}") & (F.col("page_idx") > 0))
     page = ["file_name", "page_idx"]
-    tables = (
+    # The pages to skip are few, so the join below can turn into a broadcast.
+    skipped = (
         dated.groupBy(*page)
         .agg(F.min(F.struct("row_idx", F.size(cells).alias("width"))).alias("_first"))
-        .filter(F.col("_first.width") >= MIN_CELLS)
+        .filter(F.col("_first.width") < MIN_CELLS)
         .select(*page)
     )
     whole = F.lower(F.concat_ws("\n", cells))
@@ -35,7 +36,7 @@ def list_rows(rows: DataFrame) -> DataFrame:
     # What an empty cell looks like.
     blank = F.forall(F.slice(cells, 1, 4), lambda c: c.isNull() | text.strip(c).isin("", "—"))
     kept = dated.filter((F.size(cells) >= MIN_CELLS) & ~noise & ~blank)
-    return kept.join(tables, page, "left_semi")
+    return kept.join(skipped, page, "left_anti")
 
 
 def positions(rows: DataFrame) -> DataFrame:
