@@ -57,6 +57,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if _splits[where] < cores else df
 
 
+def load_position() -> Column:
+    """Where a line item stands in load order. Order and line number alone repeat;
+    the part tells rows of one supplier and day apart."""
+    return c("l_orderkey") * 256 + c("l_linenumber") * 32 + c("l_partkey") % 32
+
+
 # ---- daily trading: one sheet row per line item ------------------------------
 
 
@@ -93,7 +99,7 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
         F.when(c("l_returnflag") == "A", c("volume")).otherwise(0.0).alias("foreign_sell"),
         (c("l_partkey") * 1000).alias("tradeable_shares"),
         F.concat(lit("daily_"), F.date_format(day, "yyyyMMdd"), lit(".xlsx")).alias("source_file"),
-        (c("l_orderkey") * 8 + ln).alias("load_seq"),
+        load_position().alias("load_seq"),
     )
 
 
@@ -181,7 +187,7 @@ def daily_sheets(spark: SparkSession, sf: str) -> DataFrame:
         "file_name", lit(0).alias("page_idx"), lit(0).cast("bigint").alias("row_idx"), lit(0).cast("bigint").alias("load_seq"),
         F.array(*[lit(h) for h in SHEET_HEADINGS]).alias("cells"),
     )
-    seq = c("l_orderkey") * 8 + c("l_linenumber")
+    seq = load_position()
     body = [
         F.concat(lit("S"), c("l_suppkey").cast("string")),
         F.when(c("l_linenumber") == 5, "").otherwise(
@@ -446,7 +452,7 @@ def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(
         F.concat(lit("B"), c("l_suppkey").cast("string")).alias("broker_code"),
         F.concat(lit("Broker "), c("l_suppkey").cast("string")).alias("broker_name"),
-        day.alias("target_date"), (c("l_orderkey") * 8 + ln).alias("load_seq"),
+        day.alias("target_date"), load_position().alias("load_seq"),
         F.struct(tx.alias("broker_activity_transaction")).alias("data"),
     )
 

@@ -20,7 +20,7 @@ items AS (
     CASE WHEN l_linenumber <> 7 THEN 'P' || l_partkey END AS stock_code,
     CASE WHEN l_linenumber <> 6 THEN CAST(round(l_extendedprice * 100) AS BIGINT) + copy ELSE 0 END AS value,
     CAST(l_quantity AS BIGINT) AS lot, CAST(format('{:.2f}', l_extendedprice / l_quantity) AS DOUBLE) AS avg_price, CAST(l_linenumber AS BIGINT) AS freq,
-    l_orderkey * 8 + l_linenumber AS load_seq, copy
+    l_orderkey * 256 + l_linenumber * 32 + l_partkey % 32 AS load_seq, copy
   FROM lineitem, (SELECT unnest([0, 1]) AS copy)
 ),
 firsts AS (

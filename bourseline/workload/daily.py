@@ -38,7 +38,7 @@ trades AS (
          CASE WHEN l_returnflag = 'R' THEN vol ELSE 0 END AS foreign_buy,
          CASE WHEN l_returnflag = 'A' THEN vol ELSE 0 END AS foreign_sell,
          l_partkey * 1000 AS tradeable_shares, 'daily_' || strftime(d, '%Y%m%d') || '.xlsx' AS source_file,
-         l_orderkey * 8 + ln AS load_seq
+         l_orderkey * 256 + l_linenumber * 32 + l_partkey % 32 AS load_seq
   FROM lp
 )"""
 

@@ -74,7 +74,7 @@ def src_json_pages(spark, sf):
 add(
     "src_json_pages",
     src_json_pages,
-    """SELECT 'B' || l_suppkey AS broker_code, CAST(l_shipdate AS DATE) AS target_date, l_orderkey * 8 + l_linenumber AS load_seq,
+    """SELECT 'B' || l_suppkey AS broker_code, CAST(l_shipdate AS DATE) AS target_date, l_orderkey * 256 + l_linenumber * 32 + l_partkey % 32 AS load_seq,
   CASE WHEN l_returnflag = 'R' THEN 0 ELSE 2 END AS buys, CASE WHEN l_returnflag = 'R' THEN 2 ELSE 0 END AS sells FROM lineitem""",
     ["target_date"],
 )

@@ -119,7 +119,7 @@ SELECT {ON}, d, CAST(d - INTERVAL 14 DAYS AS DATE) AS d14, CAST(d - INTERVAL 3 M
 
 SHEET = """
 rows AS (
-  SELECT CAST(l_shipdate AS DATE) AS d, 'S' || l_suppkey AS stock_code, l_orderkey * 8 + l_linenumber AS load_seq, l_linenumber,
+  SELECT CAST(l_shipdate AS DATE) AS d, 'S' || l_suppkey AS stock_code, l_orderkey * 256 + l_linenumber * 32 + l_partkey % 32 AS load_seq, l_linenumber,
     floor(l_extendedprice / l_quantity) AS close, l_quantity * 4200 AS volume, round(l_extendedprice * 100) * 300 AS value,
     CAST(l_linenumber AS DOUBLE) AS frequency, CASE WHEN l_returnflag = 'R' THEN l_quantity * 4200 ELSE 0 END AS foreign_buy,
     CASE WHEN l_returnflag = 'A' THEN l_quantity * 4200 END AS foreign_sell, 'sheet_' || strftime(d, '%Y%m%d') || '.xlsx' AS source_file
