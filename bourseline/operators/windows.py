@@ -8,8 +8,8 @@ day loaded from many files), so no window here gathers a key's copies whole:
 * `thin_copies`, used when the largest stock has over `GROUP_LIMIT` rows, cuts copies into chunks of at most 65,536 load positions, fills
   prices inside a chunk and keeps the newest rows a rolling frame can reach. After
   that a stock's rows are bounded by the trading calendar, not by the data.
-* `previous_row` takes lags inside such chunks and carries only each chunk's last
-  row over to the next chunk.
+* `previous_row`, beyond the same limit, takes lags inside such chunks and orders only
+  each chunk's edge rows over the key.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ CHUNK_BITS = 16
 GROUP_LIMIT = 1_000_000
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key: a counting pass over one column."""
-    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
+def largest_group(df: DataFrame, *keys: str) -> int:
+    """Rows of the most frequent key: a counting pass over the key columns."""
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
     return row["n"] or 0
 
 
@@ -153,15 +153,21 @@ def is_last_of_date(w, date: str) -> Column:
 
 
 def previous_row(
-    df: DataFrame, keys: Sequence[str], date: str, load_seq: str, cols: dict[str, str]
+    df: DataFrame, keys: Sequence[str], date: str, load_seq: str, cols: dict[str, str], split: bool | None = None
 ) -> DataFrame:
     """Add the previous row's values per key (`cols`: source -> new name), in
     (date, load position) order, copies of a date included.
 
-    Copies are ordered in chunks. Inside a chunk a plain lag does; the first row of
-    a chunk needs the last row of the chunk before, so only the edge rows (at most
-    two per chunk) are ordered over the whole key.
+    A plain lag, unless the largest key (counted if `split` is None) has more than
+    `GROUP_LIMIT` rows. Then copies are ordered in chunks: inside a chunk a lag does;
+    the first row of a chunk needs the last row of the chunk before, so only the
+    edge rows (at most two per chunk) are ordered over the whole key.
     """
+    if split is None:
+        split = largest_group(df, *keys) > GROUP_LIMIT
+    if not split:
+        w = W.partitionBy(*keys).orderBy(date, load_seq)
+        return df.withColumns({n: F.lag(s).over(w) for s, n in cols.items()})
     inside = W.partitionBy(*keys, date, "_chunk").orderBy(load_seq)
     over_key = W.partitionBy(*keys).orderBy(date, load_seq)
     packed = F.struct(*[F.col(s).alias(n) for s, n in cols.items()])

@@ -12,10 +12,12 @@ from bourseline.functions import dates, numbers, rules, text
 from bourseline.operators import joins
 from bourseline.operators.frames import positional, union_by_name
 from bourseline.operators.windows import first_date
+from bourseline.sources.storage import stage
 
 DATE = "tanggal_data"
 KEYS = ["kode_efek", "nama_pemegang_saham"]
 MIN_CELLS = 6
+COLUMNS = [c for c in schemas.MAJOR_TABLE.fieldNames() if c != "perubahan_saham"]
 
 
 def list_rows(rows: DataFrame) -> DataFrame:
@@ -27,8 +29,8 @@ def list_rows(rows: DataFrame) -> DataFrame:
     # The pages to skip are few, so the join below can turn into a broadcast.
     skipped = (
         dated.groupBy(*page)
-        .agg(F.min(F.struct("row_idx", F.size(cells).alias("width"))).alias("_first"))
-        .filter(F.col("_first.width") < MIN_CELLS)
+        .agg(F.min_by(F.size(cells), "row_idx").alias("_width"))
+        .filter(F.col("_width") < MIN_CELLS)
         .select(*page)
     )
     whole = F.lower(F.concat_ws("\n", cells))
@@ -81,8 +83,11 @@ def change_log(rows: DataFrame, history: DataFrame | None = None, baseline: bool
     With `history` (earlier output) only the new dates' rows are returned; the
     history's last list is what the first new one is compared with. Dates are
     taken in calendar order, and files of one date form one list.
+
+    The typed rows are needed four times (log, exits, calendar, today's holders), so
+    they are written once to the shared folder and read back column by column.
     """
-    new = with_actions(positions(list_rows(rows)))
+    new = stage(with_actions(positions(list_rows(rows))).select(*COLUMNS, "load_seq"), "majors")
     listed = new
     if history is not None:
         last = history.filter(F.col(DATE) == joins.latest(history, DATE))

@@ -36,3 +36,10 @@ def land(df: DataFrame, label: str) -> str:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` once and go on from the written table: later steps read only the
+    columns they need, and a lost executor costs no recomputation of the steps before.
+    """
+    return df.sparkSession.read.schema(df.schema).parquet(land(df, label))

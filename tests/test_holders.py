@@ -3,6 +3,7 @@
 from datetime import date
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from bourseline import schemas
@@ -54,11 +55,12 @@ def test_individual_changes(spark):
     assert (got["down"]["action"], got["down"]["alert_level"], got["down"]["pct_point_change"]) == ("SELLING", "MEDIUM", -1.0)
 
 
-def test_previous_row_over_chunks(spark, monkeypatch):
+@pytest.mark.parametrize("split", [True, False])
+def test_previous_row_over_chunks(spark, monkeypatch, split):
     monkeypatch.setattr(windows, "CHUNK_BITS", 3)
     data = [(k % 3 if k % 7 else None, date(2024, 1, 1 + (k * 5) % 4), k, float(k)) for k in range(300)]
     df = spark.createDataFrame(data, "k int, d date, seq bigint, v double")
-    got = {r["seq"]: r["p"] for r in windows.previous_row(df, ["k"], "d", "seq", {"v": "p"}).collect()}
+    got = {r["seq"]: r["p"] for r in windows.previous_row(df, ["k"], "d", "seq", {"v": "p"}, split).collect()}
     pdf = pd.DataFrame(data, columns=["k", "d", "seq", "v"]).sort_values(["d", "seq"])
     want = pdf.assign(p=pdf.groupby("k", dropna=False)["v"].shift(1)).set_index("seq")["p"]
     assert got == {s: (None if pd.isna(p) else p) for s, p in want.items()} and len(got) == 300
