@@ -45,6 +45,16 @@ def require_columns(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     return df
 
 
+def with_date(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Set a date column and drop the rows where it is null.
+
+    An explode over the one value, not a filter: a filter would be pushed below and
+    run the costly parse a second time.
+    """
+    nothing = F.array(F.lit(None).cast("date"))
+    return df.withColumn(name, F.explode(F.array_except(F.array(value), nothing)))
+
+
 def has_width(cells: Column, width: Column | int) -> Column:
     return F.size(cells) == width
 

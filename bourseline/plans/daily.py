@@ -9,7 +9,7 @@ from bourseline import schemas
 from bourseline.functions import dates, numbers, rules, text
 from bourseline.functions.rules import DEFAULTS, Thresholds
 from bourseline.operators import windows
-from bourseline.operators.frames import has_width, keep_existing, rename
+from bourseline.operators.frames import has_width, keep_existing, rename, with_date
 from bourseline.operators.joins import latest
 
 STOCK, DATE, SEQ = "stock_code", "trading_date", "load_seq"
@@ -35,7 +35,7 @@ def parse_sheet(records: DataFrame) -> DataFrame:
     """Dates and numbers of new sheet rows. Close, volume, value and the foreign
     counts only lose their commas; a currency sign in them makes them null."""
     df = rename(records, schemas.DAILY_HEADERS)
-    df = df.withColumn(DATE, dates.cell_or_file_date(F.col(DATE), F.col("source_file"))).na.drop(subset=[DATE])
+    df = with_date(df, DATE, dates.cell_or_file_date(F.col(DATE), F.col("source_file")))
     strict = ["close", "volume", "value", "foreign_buy", "foreign_sell"]
     loose = ["high", "low", "previous", "change", "open_price", "frequency", "bid", "offer", "bid_volume", "offer_volume"]
     have = set(df.columns)

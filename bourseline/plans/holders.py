@@ -9,7 +9,7 @@ from bourseline import schemas
 from bourseline.functions import dates, numbers, rules, text
 from bourseline.functions.rules import CORPORATE, FINANCIAL, FOREIGN, FUND, INDIVIDUAL, ScreenerFlags
 from bourseline.operators import windows
-from bourseline.operators.frames import any_cell
+from bourseline.operators.frames import any_cell, with_date
 from bourseline.operators.joins import broadcast_if_few, latest, previous_date
 
 SCAN_ROWS = 15
@@ -98,15 +98,15 @@ def clean(df: DataFrame) -> DataFrame:
     def as_text(c: str) -> Column:
         return text.strip(text.one_line(text.text_or(F.col(c), "nan")))
 
-    return df.withColumns({c: as_text(c) for c in texts}).withColumns(
+    dated = with_date(df, "date", dates.general_date(F.col("date")))
+    return dated.withColumns({c: as_text(c) for c in texts}).withColumns(
         {
             "local_foreign": text.map_values(F.col("local_foreign"), schemas.LOCAL_FOREIGN),
             "investor_type": text.map_values(F.col("investor_type"), schemas.INVESTOR_TYPES),
-            "date": dates.general_date(F.col("date")),
             "percentage": numbers.locale_float(F.col("percentage")),
         }
         | {c: numbers.locale_int(F.col(c)) for c in counts}
-    ).na.drop(subset=["date"])
+    )
 
 
 def ownership(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bourseline import schemas
 from bourseline.functions import dates, numbers, rules
 from bourseline.operators import windows
-from bourseline.operators.frames import require_columns
+from bourseline.operators.frames import require_columns, with_date
 
 KEYS = ["Code", "Date"]
 
@@ -26,13 +26,9 @@ def typed(text: DataFrame) -> DataFrame:
     def whole(c: str) -> Column:
         return F.coalesce(numbers.to_long(F.replace(F.col(c), F.lit(","), F.lit(""))), zero).alias(c)
 
-    return (
-        text.filter(F.col("Type") == "EQUITY")
-        .withColumns({c: whole(c) for c in counts})
-        .withColumn("Price", F.coalesce(numbers.comma_number(F.col("Price")), F.lit(0.0)))
-        .withColumn("Date", dates.monthly_date(F.col("Date")))
-        .na.drop(subset=["Date"])
-    )
+    equity = with_date(text.filter(F.col("Type") == "EQUITY"), "Date", dates.monthly_date(F.col("Date")))
+    price = F.coalesce(numbers.comma_number(F.col("Price")), F.lit(0.0))
+    return equity.withColumns({c: whole(c) for c in counts} | {"Price": price})
 
 
 def total(cols: list[str]) -> Column:

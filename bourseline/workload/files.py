@@ -218,3 +218,59 @@ add(
     f"""WITH {HELD} SELECT strftime(tanggal_data, '%Y%m%d') || '_list.pdf' AS file_name, CAST(c_nationkey + 1 AS INTEGER) AS page_idx, load_seq + 10 AS row_idx
 FROM held WHERE year(tanggal_data) NOT IN (1995, 1996, 1997)""",
 )
+
+
+def src_file_select(spark, sf):
+    """Rows of the documents whose name holds LIST (any case), ends in .pdf and starts with a date."""
+    docs = A.major_documents(spark, sf)
+    keep = readers.file_named(F.col("file_name"), contains="LIST", extension=".pdf", dated=True)
+    return docs.filter(keep & (F.col("row_idx") >= 10)).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+add(
+    "src_file_select",
+    src_file_select,
+    f"WITH {HELD} SELECT strftime(tanggal_data, '%Y%m%d') || '_list.pdf' AS file_name, count(*) AS n FROM held GROUP BY 1",
+)
+
+
+def sink_declare_table(spark, sf):
+    """Declared twice: the second time leaves the rows written in between alone."""
+    path = fresh_path(spark, "declared")
+    writers.declare_table(spark, path, UPSERT, "date")
+    writers.upsert_by_date(share_totals(A.ownership(spark, sf), 1), path, "date")
+    writers.declare_table(spark, path, UPSERT, "date")
+    return writers.read_table(spark, path, UPSERT)
+
+
+add(
+    "sink_declare_table",
+    sink_declare_table,
+    f"WITH {OWN} SELECT date, share_code, CAST(sum(total_holding_shares) AS BIGINT) AS shares, 1 AS version FROM own GROUP BY date, share_code",
+    ["date"],
+)
+
+
+def sink_view(spark, sf):
+    """A view by name, replaced by a narrower one."""
+    own = A.ownership(spark, sf)
+    own.createOrReplaceTempView("bourseline_holdings")
+    spark.table("bourseline_holdings").filter("percentage >= 1").createOrReplaceTempView("bourseline_holdings")
+    return spark.table("bourseline_holdings").select("date", "share_code", "investor_name", "load_seq", "percentage")
+
+
+add(
+    "sink_view",
+    sink_view,
+    f"WITH {OWN} SELECT date, share_code, investor_name, load_seq, percentage FROM own WHERE percentage >= 1",
+    ["date"],
+)
+
+
+def sink_register(spark, sf):
+    """A frame queried with SQL by its registered name."""
+    history(spark, sf).createOrReplaceTempView("bourseline_daily")
+    return spark.sql("SELECT stock_code, count(*) AS n, sum(volume) AS volume FROM bourseline_daily GROUP BY stock_code")
+
+
+add("sink_register", sink_register, f"WITH {TRADES} SELECT stock_code, count(*) AS n, sum(volume) AS volume FROM trades GROUP BY stock_code")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bourseline import schemas
 from bourseline.functions.rules import DEFAULTS
 from bourseline.operators import frames
 from bourseline.operators.joins import latest
 from bourseline.plans import audit, daily as D
 from bourseline.workload import adapters as A
 from bourseline.workload.daily import PUBLISHED, TRADES, published
+from bourseline.workload.monthly import RAW
+from bourseline.workload.parsing import SHEET
 from bourseline.workload.registry import add
 
 c = F.col
@@ -129,3 +132,44 @@ work AS (SELECT day FROM days WHERE isodow(day) <= 5 ORDER BY day DESC LIMIT 30)
 SELECT day, CAST((SELECT count(*) FROM trades WHERE trading_date = day) AS BIGINT) AS n FROM work""",
     ["day"],
 )
+
+# ---- names, columns and inline lists -----------------------------------------------
+
+add(
+    "proj_normalize_headers",
+    lambda s, sf: (lambda df: df.toDF(*frames.normalize_headers(df.columns)))(
+        A.table(s, sf, "orders").select(c("o_orderkey").alias(" order key"), c("o_totalprice").alias("Total price "))),
+    'SELECT o_orderkey AS "ORDER_KEY", o_totalprice AS "TOTAL_PRICE" FROM orders',
+)
+add(
+    "proj_rename_synonyms",
+    lambda s, sf: frames.rename(D.sheet_records(A.daily_sheets(s, sf), A.SHEET_HEADINGS), schemas.DAILY_HEADERS).select(
+        "stock_code", "foreign_buy", "frequency", "source_file", "load_seq"),
+    f"""WITH {SHEET} SELECT stock_code, CASE WHEN foreign_buy > 0 THEN format('{{:,}}', CAST(foreign_buy AS BIGINT)) ELSE '0' END AS foreign_buy,
+  'Rp ' || l_linenumber AS frequency, source_file, load_seq FROM rows WHERE l_linenumber <> 7""",
+)
+add(
+    "proj_keep_existing",
+    lambda s, sf: frames.keep_existing(A.table(s, sf, "lineitem"), ["l_quantity", "no_such_column", "l_orderkey", "l_partkey"]),
+    "SELECT l_quantity, l_orderkey, l_partkey FROM lineitem",
+)
+
+
+def set_values(spark, sf):
+    """An inline list of wanted (status, priority) pairs with their order counts."""
+    wanted = spark.createDataFrame([*PAIRS, ("X", "9-NONE")], "o_orderstatus string, o_orderpriority string")
+    counts = A.table(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    return wanted.join(counts, ["o_orderstatus", "o_orderpriority"], "left")
+
+
+add(
+    "set_values",
+    set_values,
+    """SELECT w.*, (SELECT count(*) FROM orders o WHERE o.o_orderstatus = w.o_orderstatus AND o.o_orderpriority = w.o_orderpriority HAVING count(*) > 0) AS n
+FROM (VALUES ('F', '1-URGENT'), ('O', '2-HIGH'), ('P', '3-MEDIUM'), ('X', '9-NONE')) AS w(o_orderstatus, o_orderpriority)""",
+)
+add(
+    "dq_required_columns",
+    lambda s, sf: frames.require_columns(A.monthly_text(s, sf), schemas.MONTHLY_REQUIRED).groupBy("Type").agg(F.count(F.lit(1)).alias("n")),
+    f"WITH {RAW} SELECT CASE WHEN o_orderstatus = 'P' AND Code LIKE 'MA%' THEN 'CORPORATE BOND' ELSE 'EQUITY' END AS Type, count(*) AS n FROM raw GROUP BY 1",
+)
