@@ -5,9 +5,11 @@ day loaded from many files), so no window here gathers a key's copies whole:
 
 * keep-first/keep-last is ``row_number() = 1``. Spark limits each group on the map
   side (WindowGroupLimit), so a hot key sends one row per input task.
-* `thin_copies`, used when the largest stock has over `GROUP_LIMIT` rows, cuts copies into chunks of at most 65,536 load positions, fills
-  prices inside a chunk and keeps the newest rows a rolling frame can reach. After
-  that a stock's rows are bounded by the trading calendar, not by the data.
+* `thin_copies`, used when the largest stock has over `GROUP_LIMIT` rows, cuts copies
+  into chunks of load positions, fills prices inside a chunk and keeps the newest rows
+  a rolling frame can reach. It runs once with small and once with large chunks: no
+  task sees over 65,536 copies first, nor 50 x 4,096 after. What is left of a stock is
+  bounded by the trading calendar, not by the data.
 * `previous_row`, beyond the same limit, takes lags inside such chunks and orders only
   each chunk's edge rows over the key.
 """
@@ -21,7 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Chunk sizes as powers of two of load positions.
 CHUNK_BITS = 16
+CHUNK_LEVELS = (16, 28)
 # Rows one task can sort and walk without trouble.
 GROUP_LIMIT = 1_000_000
 
@@ -32,9 +36,9 @@ def largest_group(df: DataFrame, *keys: str) -> int:
     return row["n"] or 0
 
 
-def chunk_of(load_seq: str) -> Column:
-    """Number of the 65,536-position chunk a unique load position falls in."""
-    return F.shiftright(F.col(load_seq), CHUNK_BITS)
+def chunk_of(load_seq: str, bits: int) -> Column:
+    """Number of the chunk of 2^bits positions a unique load position falls in."""
+    return F.shiftright(F.col(load_seq), bits)
 
 
 def _keep_first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -63,7 +67,7 @@ def first_name(c: str) -> str:
 
 
 def thin_copies(
-    df: DataFrame, stock: str, date: str, load_seq: str, fill: Sequence[str], reach: int
+    df: DataFrame, stock: str, date: str, load_seq: str, fill: Sequence[str], reach: int, bits: int
 ) -> DataFrame:
     """Forward-fill `fill` within each (stock, date, chunk) and keep its newest
     `reach` rows, with the chunk's first known value of each column alongside.
@@ -74,14 +78,16 @@ def thin_copies(
     w = W.partitionBy(stock, date, "_chunk").orderBy(load_seq)
     running = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    rows = df.withColumn("_chunk", chunk_of(load_seq))
+    first = {c: first_name(c) if first_name(c) in df.columns else c for c in fill}  # thinned before?
+    rows = df.withColumn("_chunk", chunk_of(load_seq, bits))
     rows = rows.withColumns(
-        {first_name(c): F.first(c, ignorenulls=True).over(whole) for c in fill}
+        {first_name(c): F.first(first[c], ignorenulls=True).over(whole) for c in fill}
         | {f"_run_{c}": F.last(c, ignorenulls=True).over(running) for c in fill}
         | {"_from_end": F.count(F.lit(1)).over(whole) - F.row_number().over(w)}
     ).filter(F.col("_from_end") < reach)
-    filled = [F.col(f"_run_{c}").alias(c) if c in fill else F.col(c) for c in df.columns]
-    return rows.select(*filled, *[first_name(c) for c in fill])
+    firsts = [first_name(c) for c in fill]
+    kept = [F.col(f"_run_{c}").alias(c) if c in fill else F.col(c) for c in df.columns if c not in firsts]
+    return rows.select(*kept, *firsts)
 
 
 def stock_window(stock: str, date: str, load_seq: str):
@@ -171,7 +177,7 @@ def previous_row(
     inside = W.partitionBy(*keys, date, "_chunk").orderBy(load_seq)
     over_key = W.partitionBy(*keys).orderBy(date, load_seq)
     packed = F.struct(*[F.col(s).alias(n) for s, n in cols.items()])
-    rows = df.withColumn("_chunk", chunk_of(load_seq)).withColumns(
+    rows = df.withColumn("_chunk", chunk_of(load_seq, CHUNK_BITS)).withColumns(
         {
             "_head": F.row_number().over(inside) == 1,
             "_tail": F.lead(F.lit(1)).over(inside).isNull(),

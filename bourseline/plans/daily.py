@@ -75,7 +75,9 @@ def fill_gaps(rows: DataFrame, backfill: str = "own", split: bool | None = None)
     w = windows.stock_window(STOCK, DATE, SEQ)
     if split is None:
         split = windows.largest_group(rows, STOCK) > windows.GROUP_LIMIT
-    held = windows.thin_copies(rows, STOCK, DATE, SEQ, prices, LONG) if split else rows
+    held = rows
+    for bits in windows.CHUNK_LEVELS if split else ():
+        held = windows.thin_copies(held, STOCK, DATE, SEQ, prices, LONG, bits)
     filled = windows.carry_forward(held, w, STOCK, prices)
     if backfill == "next_stock":
         leaks = windows.next_stock_values(rows, STOCK, DATE, SEQ, prices)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,9 +30,14 @@ def landed(build):
     @wraps(build)
     def read(spark: SparkSession, sf: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, build.__name__, sf)
-        if key not in _landed:
-            df = build(spark, sf)
-            _landed[key] = land(df, build.__name__), df.schema
+        if key in _landed:
+            path, schema = _landed[key]
+            try:
+                return spark.read.schema(schema).parquet(path)
+            except AnalysisException:  # someone cleaned the folder: land again
+                pass
+        df = build(spark, sf)
+        _landed[key] = land(df, build.__name__), df.schema
         path, schema = _landed[key]
         return spark.read.schema(schema).parquet(path)
 

@@ -81,7 +81,7 @@ def model(data: list[tuple], leak: bool) -> pd.DataFrame:
 @pytest.mark.parametrize("split", [True, False])
 @pytest.mark.parametrize("backfill", ["own", "next_stock"])
 def test_indicators_match_the_model(spark, monkeypatch, split, backfill):
-    monkeypatch.setattr(windows, "CHUNK_BITS", 6)  # 64 positions: the hot day spans many chunks
+    monkeypatch.setattr(windows, "CHUNK_LEVELS", (6, 8))  # 64 positions: the hot day spans many chunks
     data = make(7)
     got = D.indicators(spark.createDataFrame(data, SCHEMA), LOW, backfill, split).toPandas()
     want = model(data, leak=backfill == "next_stock")
@@ -102,11 +102,13 @@ def test_indicators_match_the_model(spark, monkeypatch, split, backfill):
     assert (rows["signal"] == rows["signal_w"]).all()
 
 
-def test_hot_copies_are_thinned(spark, monkeypatch):
-    monkeypatch.setattr(windows, "CHUNK_BITS", 6)
+def test_hot_copies_are_thinned(spark):
     data = [("A", date(2024, 1, 2), i, *[1.0] * len(NUMBERS)) for i in range(1000)]
-    thin = windows.thin_copies(spark.createDataFrame(data, SCHEMA), "stock_code", "trading_date", "load_seq", schemas.PRICES, 5)
+    keys = ("stock_code", "trading_date", "load_seq", schemas.PRICES, 5)
+    thin = windows.thin_copies(spark.createDataFrame(data, SCHEMA), *keys, bits=6)
     assert thin.count() == (1000 // 64) * 5 + 5
+    thinner = windows.thin_copies(thin, *keys, bits=9)
+    assert sorted(r["load_seq"] for r in thinner.collect()) == [*range(507, 512), *range(995, 1000)]
 
 
 def test_split_is_chosen_by_the_largest_stock(spark, monkeypatch):
