@@ -16,6 +16,8 @@ BLANKS = " \t\r\n\f\v\u00a0"
 
 
 def _without(c: Column, characters: str) -> Column:
+    if len(characters) == 1:
+        return F.replace(c, F.lit(characters), F.lit(""))
     return F.translate(c, characters, "")
 
 

@@ -16,7 +16,7 @@ def strip(c: Column) -> Column:
 
 def one_line(c: Column) -> Column:
     """Line breaks inside a cell become blanks."""
-    return F.translate(c, "\n", " ")
+    return F.replace(c, F.lit("\n"), F.lit(" "))
 
 
 def stem(file_name: Column) -> Column:

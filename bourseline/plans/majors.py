@@ -43,7 +43,7 @@ def list_rows(rows: DataFrame) -> DataFrame:
 
 def positions(rows: DataFrame) -> DataFrame:
     """Named columns with counts; rows without a code or a holder go."""
-    day = F.try_to_date(F.left(F.col("file_name"), F.lit(8)), "yyyyMMdd").alias(DATE)
+    day = dates.file_name_date(F.col("file_name")).alias(DATE)
     named = rows.select(day, *positional(F.col("cells"), schemas.MAJOR_CELLS), "load_seq")
     return named.na.drop(subset=KEYS).withColumns(
         {

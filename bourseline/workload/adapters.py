@@ -53,14 +53,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[key]).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """For costly row work: rows of fewer splits than cores (a single small file)
-    are spread over the cores; a table of many files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    where = (df.sparkSession.sparkContext.applicationId, tuple(df.inputFiles()))
-    if where not in _splits:
-        _splits[where] = df.rdd.getNumPartitions()
-    return df.repartition(cores, *keys) if _splits[where] < cores else df
+def spread(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
+    """A table for costly row work: rows of fewer splits than cores (a single small
+    file) are spread over the cores; a table of many files is left as it is."""
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _splits:
+        _splits[key] = df.rdd.getNumPartitions()
+    return df.repartition(cores, *keys) if _splits[key] < cores else df
 
 
 def load_position() -> Column:
@@ -135,7 +136,7 @@ def trade_texts(spark: SparkSession, sf: str) -> DataFrame:
     grouped = F.format_number(ext, 2)
     swapped = F.translate(grouped, ",.", ".,")
     whole = F.format_number(F.floor(ext), 0)
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(
+    return spread(spark, sf, "lineitem", "l_orderkey", "l_partkey").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
         by_line([
             F.concat_ws(" ", dd, month_name(day, SHORT_MONTHS), yyyy),
@@ -186,7 +187,7 @@ def trade_texts(spark: SparkSession, sf: str) -> DataFrame:
 def daily_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Sheet rows as cells: one file per ship date with a heading in row 0; rows of
     line 7 lack a cell."""
-    base = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
+    base = spread(spark, sf, "lineitem", "l_orderkey", "l_partkey")
     day = c("l_shipdate").cast("date")
     name = F.concat(lit("sheet_"), F.date_format(day, "yyyyMMdd"), lit(".xlsx")).alias("file_name")
     heads = base.select(name).distinct().select(
@@ -220,7 +221,7 @@ SHEET_HEADINGS = ["Stock Code", "Last Trading Date", "Close", "Volume", "Value",
 
 def placed(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their customer; `snap` is the month end two days back."""
-    orders, customer = spread(table(spark, sf, "orders"), "o_custkey"), table(spark, sf, "customer")
+    orders, customer = spread(spark, sf, "orders", "o_custkey"), table(spark, sf, "customer")
     return orders.join(customer, c("o_custkey") == c("c_custkey")).withColumn(
         "snap", F.last_day(F.date_sub(c("o_orderdate").cast("date"), 2))
     )
@@ -455,7 +456,7 @@ def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
     none = F.filter(items, lambda _: lit(False))
     sell = c("l_returnflag") == "R"
     tx = F.struct(F.when(sell, none).otherwise(items).alias("brokers_buy"), F.when(sell, items).otherwise(none).alias("brokers_sell"))
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey").select(
+    return spread(spark, sf, "lineitem", "l_orderkey", "l_partkey").select(
         F.concat(lit("B"), c("l_suppkey").cast("string")).alias("broker_code"),
         F.concat(lit("Broker "), c("l_suppkey").cast("string")).alias("broker_name"),
         day.alias("target_date"), load_position().alias("load_seq"),

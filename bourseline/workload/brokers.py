@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bourseline import schemas
-from bourseline.functions import text
 from bourseline.operators import windows
 from bourseline.plans import brokers as B
 from bourseline.workload import adapters as A

@@ -1,6 +1,5 @@
 """Monthly balances, broker and insider pages, files and tables."""
 
-import io
 import zipfile
 from datetime import date
 
