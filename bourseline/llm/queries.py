@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import byte_bpe, packing
+from bourseline.llm import byte_bpe, minhash, packing
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -30,5 +30,9 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_byte_bpe)}
+def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op7_byte_bpe, op10_minhash)}
 SQL: dict[str, str] = {}
