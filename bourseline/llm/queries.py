@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import byte_bpe, minhash, packing
+from bourseline.llm import byte_bpe, minhash, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.assign(pieces)
 
 
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, sf, "documents"), path), path)
@@ -34,5 +38,5 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_byte_bpe, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op6_quality_rules, op7_byte_bpe, op10_minhash)}
 SQL: dict[str, str] = {}
