@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import byte_bpe, minhash, packing, quality_rules
+from bourseline.llm import byte_bpe, minhash, packing, quality_cnn, quality_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.assign(pieces)
 
 
+def op2_quality_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    network = quality_cnn.train(docs, labels.where(~held_out))
+    scored = quality_cnn.score(docs, network)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -38,5 +46,5 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op6_quality_rules, op7_byte_bpe, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op6_quality_rules, op7_byte_bpe, op10_minhash)}
 SQL: dict[str, str] = {}
