@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import byte_bpe, minhash, packing, quality_cnn, quality_rules
+from bourseline.llm import byte_bpe, language, minhash, packing, quality_cnn, quality_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,6 +27,16 @@ def op2_quality_cnn(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document and every page: a document has its text and, as its host, its source; a page has all evidence."""
+    docs = _table(spark, sf, "documents")
+    pages = language.page_evidence(_table(spark, sf, "pages"))
+    rows = docs.select("doc_id", F.lit(None).cast("long").alias("page_id"), "text", F.col("source").alias("host")).unionByName(
+        pages.select("page_id", "text", "host", "domain", "suffix", "declared"), allowMissingColumns=True
+    )
+    return language.identify(rows, language.train(docs), ["doc_id", "page_id"])
+
+
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -46,5 +56,5 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op6_quality_rules, op7_byte_bpe, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op5_language, op6_quality_rules, op7_byte_bpe, op10_minhash)}
 SQL: dict[str, str] = {}
