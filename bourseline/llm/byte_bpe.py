@@ -26,8 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-BLOCK = 1 << 20  # code points scanned at a time
-CACHED = 400_000  # slices a worker keeps before it starts anew
+BLOCK = 1 << 18  # code points scanned at a time
+CACHED = 150_000  # slices a worker keeps before it starts anew
 LONGEST_CACHED = 64  # code points
 
 # The white space of Unicode, as the published split pattern means it.
@@ -353,7 +353,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encoded.select(key, "ids", "offsets").mapInArrow(run, f"`{key}` {kind}, ids binary, offsets binary, bytes binary")
 
 
-def sliced(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts whose values of one column hold about `most` bytes, or one longer value."""
     import pyarrow.compute as pc
 
