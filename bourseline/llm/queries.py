@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import byte_bpe, language, minhash, packing, pseudonyms, quality_cnn, quality_rules
+from bourseline.llm import ann, byte_bpe, language, minhash, packing, pseudonyms, quality_cnn, quality_rules
 
 
 PSEUDONYM_KEY = "a key of the test tables"  # a real corpus takes its own from where secrets are kept
@@ -35,6 +35,10 @@ def op3_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY).select("doc_id", "text", F.size("pii").alias("n_replaced"), F.transform("pii", lambda x: x["kind"]).alias("kinds"))
 
 
+def op4_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.search(ann.usable(_table(spark, sf, "embeddings"), "vec_id", "embedding"), F.col("id") % 20 == 0, k=20)
+
+
 def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     """Every document and every page: a document has its text and, as its host, its source; a page has all evidence."""
     docs = _table(spark, sf, "documents")
@@ -64,5 +68,5 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op3_pseudonyms, op5_language, op6_quality_rules, op7_byte_bpe, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op10_minhash)}
 SQL: dict[str, str] = {}
