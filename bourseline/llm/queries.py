@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import ann, byte_bpe, language, minhash, packing, pseudonyms, quality_cnn, quality_rules
+from bourseline.llm import ann, byte_bpe, fixity, language, minhash, packing, pseudonyms, quality_cnn, quality_rules
 
 
 PSEUDONYM_KEY = "a key of the test tables"  # a real corpus takes its own from where secrets are kept
@@ -64,9 +64,36 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_fixity(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit of a replica of all pages in which some records are damaged, shortened, lost or written twice."""
+    pages = _table(spark, sf, "pages")
+    n = F.col("page_id")
+    html = F.when(n % 97 == 1, F.concat(F.lit("?"), F.substring("html", 2, 2**31 - 1))).when(n % 2500 == 60, F.substring("html", 1, 100)).otherwise(F.col("html"))
+    replica = pages.where(n % 2500 != 125).withColumn("html", html)
+    replica = replica.unionByName(pages.where(n % 2500 == 30))
+    return fixity.audit(fixity.records(pages), fixity.records(replica))
+
+
 def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op10_minhash)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op9_fixity, op10_minhash)}
+_RECORDS = """SELECT page_id // 1000 AS file, page_id AS key, strlen(record) AS length, sha256(record) AS hash
+  FROM (SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:sha256:'
+    || sha256(page_id::VARCHAR || chr(10) || url) || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10)
+    || html || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM {source})"""
+_PLACED = """SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY key, hash ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+  row_number() OVER (PARTITION BY file, key ORDER BY hash) AS copy FROM ({records})"""
+_REPLICA = """(SELECT page_id, url, CASE WHEN page_id % 97 = 1 THEN '?' || substr(html, 2) WHEN page_id % 2500 = 60 THEN substr(html, 1, 100) ELSE html END AS html
+  FROM pages WHERE page_id % 2500 <> 125 UNION ALL SELECT page_id, url, html FROM pages WHERE page_id % 2500 = 30)"""
+
+SQL: dict[str, str] = {
+    "op9_fixity": f"""WITH a AS ({_PLACED.format(records=_RECORDS.format(source="pages"))}), b AS ({_PLACED.format(records=_RECORDS.format(source=_REPLICA))})
+SELECT coalesce(a.file, b.file) AS file, coalesce(a.key, b.key) AS key, CAST(coalesce(a.copy, b.copy) AS INTEGER) AS copy,
+  CASE WHEN b.hash IS NULL THEN 'missing' WHEN a.hash IS NULL THEN 'extra' WHEN a.hash = b.hash THEN 'moved' ELSE 'changed' END AS state,
+  a."offset" AS "offset", a.length AS length, a.hash AS hash, b."offset" AS other_offset, b.length AS other_length, b.hash AS other_hash
+FROM a FULL JOIN b ON a.file = b.file AND a.key = b.key AND a.copy = b.copy
+WHERE a.hash IS NULL OR b.hash IS NULL OR a.hash <> b.hash OR a."offset" <> b."offset" """,
+}
