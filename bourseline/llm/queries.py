@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import ann, byte_bpe, fixity, language, minhash, packing, pseudonyms, quality_cnn, quality_rules
+from bourseline.llm import ann, byte_bpe, fixity, language, licences, minhash, packing, pseudonyms, quality_cnn, quality_rules
 
 
 PSEUDONYM_KEY = "a key of the test tables"  # a real corpus takes its own from where secrets are kept
@@ -64,6 +64,13 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_licences(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    found = licences.scan(docs, licences.train(docs))
+    families = F.array_sort(F.array_distinct(F.transform("licences", lambda x: x["family"])))
+    return found.select("doc_id", "n_paragraphs", "licences", families.alias("families"))
+
+
 def op9_fixity(spark: SparkSession, sf: str) -> DataFrame:
     """The audit of a replica of all pages in which some records are damaged, shortened, lost or written twice."""
     pages = _table(spark, sf, "pages")
@@ -78,7 +85,7 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op9_fixity, op10_minhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op8_licences, op9_fixity, op10_minhash)}
 _RECORDS = """SELECT page_id // 1000 AS file, page_id AS key, strlen(record) AS length, sha256(record) AS hash
   FROM (SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:sha256:'
     || sha256(page_id::VARCHAR || chr(10) || url) || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
