@@ -132,14 +132,24 @@ def threshold(docs: DataFrame, fitted: DataFrame, good: DataFrame, bad: DataFram
 
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = TRUSTED) -> DataFrame:
     """One row per row of `docs`: `key`, `n_words`, the four base counts, `base_failed`, `score`, `threshold`, `kept`."""
-    docs = docs.select(key, text)
+    return _judged(docs.select(key, text), labels, key, text, most).drop(text)
+
+
+def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = TRUSTED) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns."""
+    whole = docs.select(key, text, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return _judged(whole, labels, key, text, most).where("kept").select("_row.*")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, key: str, text: str, most: int) -> DataFrame:
     good, bad = (sample_of(labels, q, most, key) for q in (1, 0))
-    fitted = stage(weights(docs, good, key, text), "weights")
-    limit = stage(threshold(docs, fitted, good, bad, key, text), "threshold")
+    plain = docs.select(key, text)
+    fitted = stage(weights(plain, good, key, text), "weights")
+    limit = stage(threshold(plain, fitted, good, bad, key, text), "threshold")
     rows = scored(docs, fitted, text, word_chars=lambda w: F.length(F.array_join(w, "")), n_repeat_words=repeated_words)
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select(
-        key, "n_words", "word_chars",
+        *docs.columns, "n_words", "word_chars",
         F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         _one(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         "n_repeat_words", "score",
