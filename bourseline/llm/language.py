@@ -18,8 +18,8 @@ that shrinks with the root of the length) below the tenth percentile of the fitt
 documents of that language.
 
 Cases: a null text, or one without a letter, has no text evidence and is not kept; nulls in
-any other column are missing evidence; rows may repeat; an empty table gives an empty
-result; only the named columns are read, so extra columns cannot clash; whole texts of any
+any other column are missing evidence; rows may repeat; without a labelled document there
+is no model, and no row has a language; an empty table gives an empty result; only the named columns are read, so extra columns cannot clash; whole texts of any
 length are read.
 """
 
@@ -113,6 +113,9 @@ def text_evidence(rows: DataFrame, model, text: str = "text") -> DataFrame:
 def identify(rows: DataFrame, model, key: list[str], text: str = "text") -> DataFrame:
     """One row per row of `rows`: the columns of `key`, `language`, `probability`, `kept`.
     Optional evidence columns of `rows`: `declared`, `suffix`, `host`, `domain` (strings)."""
+    if model is None:
+        nothing = [F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("probability"), F.lit(False).alias("kept")]
+        return rows.select(*key, *nothing)
     size = len(model[0])
     names = F.array(*[F.lit(n) for n in model[0]])
     lowest = F.array(*[F.lit(float(x) - SLACK) for x in model[2]])
