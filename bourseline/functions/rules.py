@@ -108,20 +108,6 @@ def position_delta(now: Column, prev: Column, adjusted: Column) -> Column:
     return F.when(prev.isNull() | adjusted, zero).otherwise(F.coalesce(now, zero) - prev)
 
 
-def best_and_worst(deltas: Sequence[tuple[str, Column]], price: Column) -> tuple[Column, Column]:
-    """The largest and the smallest change as structs (v, rank, t, val).
-
-    Structs compare field by field, so the rank makes the first category win ties.
-    """
-    best, worst = [], []
-    for i, (name, d) in enumerate(deltas):
-        v = d.cast("double").alias("v")
-        rest = [F.lit(name).alias("t"), (d * price).cast("double").alias("val")]
-        best.append(F.struct(v, F.lit(-i).alias("rank"), *rest))
-        worst.append(F.struct(v, F.lit(i).alias("rank"), *rest))
-    return F.greatest(*best), F.least(*worst)
-
-
 @dataclass(frozen=True)
 class ScreenerFlags:
     """The six conditions of the ownership screener, over group changes."""

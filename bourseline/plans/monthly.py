@@ -47,70 +47,57 @@ def deduplicate(df: DataFrame, order_by: list[str]) -> DataFrame:
     return windows.keep_last(df, KEYS, order_by)
 
 
-def lagged(df: DataFrame) -> DataFrame:
-    """Previous month's share count and positions. After de-duplication a code has
-    one row per month, so a partition is bounded by the calendar."""
-    w = W.partitionBy("Code").orderBy("Date")
-    return df.withColumns(
-        {"_sec_prev": F.lag("Sec_Num").over(w)} | {f"_p_{c}": F.lag(c).over(w) for c in schemas.POSITIONS}
-    )
-
-
-def flagged(df: DataFrame) -> DataFrame:
-    now, prev = F.col("Sec_Num"), F.col("_sec_prev")
-    return df.withColumns({"is_split_suspect": rules.is_split(now, prev), "is_reverse_suspect": rules.is_reverse(now, prev)})
-
-
-def deltas(df: DataFrame) -> DataFrame:
+def compared(df: DataFrame) -> DataFrame:
+    """Each month beside the code's month before: `before` (share count and positions, null for
+    the first), the split flags, and `moves`, the change of every position in table order.
+
+    After de-duplication a code has one row per month, so a window is bounded by the calendar.
+    """
+    held = F.array(*schemas.POSITIONS)
+    month = F.struct(F.col("Sec_Num").alias("shares"), held.alias("held"))
+    df = df.withColumn("before", F.lag(month).over(W.partitionBy("Code").orderBy("Date")))
+    split, reverse = (rule(F.col("Sec_Num"), F.col("before.shares")) for rule in (rules.is_split, rules.is_reverse))
+    df = df.withColumns({"is_split_suspect": split, "is_reverse_suspect": reverse})
     adjusted = F.col("is_split_suspect") | F.col("is_reverse_suspect")
-    return df.withColumns(
-        {f"_d_{c}": rules.position_delta(F.col(c), F.col(f"_p_{c}"), adjusted) for c in schemas.POSITIONS}
-    )
+    known = F.coalesce("before.held", F.array_repeat(F.lit(None).cast("bigint"), len(schemas.POSITIONS)))
+    return df.withColumn("moves", F.zip_with(held, known, lambda now, old: rules.position_delta(now, old, adjusted)))
 
 
-def picks(df: DataFrame) -> DataFrame:
-    changes = [(c, F.col(f"_d_{c}")) for c in schemas.POSITIONS]
-    best, worst = rules.best_and_worst(changes, F.col("Price"))
-    return df.withColumns({"_best": best, "_worst": worst})
+def extreme(largest: bool) -> tuple[Column, Column, Column]:
+    """Category, change and value of the row's largest or smallest move; the first category wins ties."""
+    change = F.array_max("moves") if largest else F.array_min("moves")
+    category = F.element_at(F.array(*[F.lit(p) for p in schemas.POSITIONS]), F.array_position("moves", change).cast("int"))
+    return category, change.cast("double"), (change * F.col("Price")).cast("double")
 
 
 def top_movers() -> list[Column]:
-    best, worst = F.col("_best"), F.col("_worst")
-    buyer, seller = best["v"] > 0, worst["v"] < 0
-    return [
-        F.when(buyer, best["t"]).alias("top_buyer"),
-        F.when(buyer, best["v"]).alias("top_buyer_vol"),
-        F.when(seller, worst["t"]).alias("top_seller"),
-        F.when(seller, worst["v"]).alias("top_seller_vol"),
-        F.when(buyer, best["val"]).alias("top_buyer_val"),
-        F.when(seller, worst["val"]).alias("top_seller_val"),
-    ]
+    """The buyer of the month, if any position grew, and its seller, if any shrank."""
+    sides = {"buyer": extreme(True), "seller": extreme(False)}
+    moved = {"buyer": sides["buyer"][1] > 0, "seller": sides["seller"][1] < 0}
+    named = [(f"top_{who}{suffix}", who, part) for suffix, part in (("", 0), ("_vol", 1), ("_val", 2)) for who in sides]
+    return [F.when(moved[who], sides[who][part]).alias(name) for name, who, part in named]
 
 
 def wide(df: DataFrame) -> DataFrame:
     """The 88 published columns, lower-case."""
-    c = F.col
+    places = list(enumerate(schemas.POSITIONS))
     zero = F.lit(0).cast("bigint")
-    changes = []
-    for p in schemas.POSITIONS:
-        changes.append(c(f"_d_{p}").alias(f"{p}_chg_vol".lower()))
-        changes.append((c(f"_d_{p}") * c("Price")).alias(f"{p}_chg_val".lower()))
-    return df.select(
-        c("Date").alias("date"), c("Code").alias("code"), c("Type").alias("type"), c("Sec_Num").alias("sec_num"),
-        c("Price").alias("price"),
-        *[c(p).alias(p.lower()) for p in schemas.LOCALS], c("Total_Local").alias("total_local"),
-        *[c(p).alias(p.lower()) for p in schemas.FOREIGNS], c("Total_Foreign").alias("total_foreign"),
-        *[F.coalesce(c(f"_p_{p}"), zero).alias(f"{p}_1".lower()) for p in schemas.POSITIONS],
-        total(schemas.POSITIONS).alias("total_shares"),
-        "is_split_suspect", "is_reverse_suspect",
-        *top_movers(),
-        *changes,
-    )
+    out = {c.lower(): F.col(c) for c in ("Date", "Code", "Type", "Sec_Num", "Price")}
+    for side, sum_of_side in ((schemas.LOCALS, "Total_Local"), (schemas.FOREIGNS, "Total_Foreign")):
+        out |= {c.lower(): F.col(c) for c in (*side, sum_of_side)}
+    out |= {f"{p}_1".lower(): F.coalesce(F.get("before.held", F.lit(i)), zero) for i, p in places}
+    out |= {"total_shares": total(schemas.POSITIONS), "is_split_suspect": F.col("is_split_suspect"), "is_reverse_suspect": F.col("is_reverse_suspect")}
+    movers = top_movers()
+    changes = {}
+    for i, p in places:
+        move = F.get("moves", F.lit(i))
+        changes |= {f"{p}_chg_vol".lower(): move, f"{p}_chg_val".lower(): move * F.col("Price")}
+    return df.select(*[c.alias(n) for n, c in out.items()], *movers, *[c.alias(n) for n, c in changes.items()])
 
 
 def snapshot(raw: DataFrame, order_by: list[str]) -> DataFrame:
     """Typed rows of all files in, the monthly snapshot table out."""
-    return wide(picks(deltas(flagged(lagged(deduplicate(raw, order_by))))))
+    return wide(compared(deduplicate(raw, order_by)))
 
 
 def change_report(table: DataFrame) -> DataFrame:
