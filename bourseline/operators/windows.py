@@ -1,17 +1,15 @@
 """Row-ordered operators: fills, rolling frames, lags and de-duplication.
 
 How skew is handled. A (stock, date) pair may hold any number of copies (the same
-day loaded from many files), so no window here gathers a key's copies whole:
+day loaded from many files), and one plan serves every size:
 
 * keep-first/keep-last is ``row_number() = 1``. Spark limits each group on the map
   side (WindowGroupLimit), so a hot key sends one row per input task.
-* `thin_copies`, used when the largest stock has over `GROUP_LIMIT` rows, cuts copies
-  into chunks of load positions, fills prices inside a chunk and keeps the newest rows
-  a rolling frame can reach. It runs once with small and once with large chunks: no
-  task sees over 65,536 copies first, nor 50 x 4,096 after. What is left of a stock is
-  bounded by the trading calendar, not by the data.
-* `previous_row`, beyond the same limit, takes lags inside such chunks and orders only
-  each chunk's edge rows over the key.
+* `recent_copies` keeps the newest rows of a (stock, date) that a rolling frame can
+  reach, limited in the same way, and adds what older copies knew by an aggregate.
+  What is left of a stock is bounded by the trading calendar, not by the data.
+* `previous_row` orders rows by ranges that split hot keys, takes lags inside a range,
+  and orders only the edge rows of ranges over their key.
 """
 
 from __future__ import annotations
@@ -23,23 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Chunk sizes as powers of two of load positions.
-CHUNK_BITS = 16
-CHUNK_LEVELS = (16, 28)
-# Rows one task can sort and walk without trouble.
-GROUP_LIMIT = 1_000_000
-
-
-def largest_group(df: DataFrame, *keys: str) -> int:
-    """Rows of the most frequent key: a counting pass over the key columns."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
-    return row["n"] or 0
-
-
-def chunk_of(load_seq: str, bits: int) -> Column:
-    """Number of the chunk of 2^bits positions a unique load position falls in."""
-    return F.shiftright(F.col(load_seq), bits)
-
 
 def _keep_first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     w = W.partitionBy(*keys).orderBy(*order)
@@ -66,28 +47,27 @@ def first_name(c: str) -> str:
     return f"_first_{c}"
 
 
-def thin_copies(
-    df: DataFrame, stock: str, date: str, load_seq: str, fill: Sequence[str], reach: int, bits: int
-) -> DataFrame:
-    """Forward-fill `fill` within each (stock, date, chunk) and keep its newest
-    `reach` rows, with the chunk's first known value of each column alongside.
+def recent_copies(df: DataFrame, stock: str, date: str, load_seq: str, fill: Sequence[str], reach: int) -> DataFrame:
+    """The newest `reach` rows of each (stock, date). The oldest of them stands in for all older ones:
+    it takes the last value these knew for each column of `fill`, and `_first_<column>` the first.
 
-    Exact for frames of up to `reach` rows that end at a date's last row: a frame
-    never sees an older copy, and whatever older copies knew is filled in.
+    Exact for frames of up to `reach` rows that end at a date's last row, and for prices carried
+    forward or backward: a frame never sees an older copy, and whatever older copies knew is filled in.
     """
-    w = W.partitionBy(stock, date, "_chunk").orderBy(load_seq)
-    running = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    first = {c: first_name(c) if first_name(c) in df.columns else c for c in fill}  # thinned before?
-    rows = df.withColumn("_chunk", chunk_of(load_seq, bits))
-    rows = rows.withColumns(
-        {first_name(c): F.first(first[c], ignorenulls=True).over(whole) for c in fill}
-        | {f"_run_{c}": F.last(c, ignorenulls=True).over(running) for c in fill}
-        | {"_from_end": F.count(F.lit(1)).over(whole) - F.row_number().over(w)}
-    ).filter(F.col("_from_end") < reach)
-    firsts = [first_name(c) for c in fill]
-    kept = [F.col(f"_run_{c}").alias(c) if c in fill else F.col(c) for c in df.columns if c not in firsts]
-    return rows.select(*kept, *firsts)
+    newest = top_per_group(df, [stock, date], [F.col(load_seq).desc()], reach)
+    cut = newest.groupBy(stock, date).agg(F.min(load_seq).alias("_cut"), F.count(F.lit(1)).alias("_n"))
+    cut = cut.filter(F.col("_n") == reach).select(F.col(stock).alias("_s"), F.col(date).alias("_d"), "_cut")
+    older = df.join(cut, F.col(stock).eqNullSafe(F.col("_s")) & F.col(date).eqNullSafe(F.col("_d")) & (F.col(load_seq) < F.col("_cut")))
+
+    def known(pick, c: str) -> Column:
+        return pick(F.when(F.col(c).isNotNull(), F.struct(load_seq, c)))[c]
+
+    sums = [known(F.max, c).alias(f"_last_{c}") for c in fill] + [known(F.min, c).alias(f"_old_{c}") for c in fill]
+    knew = older.groupBy("_s", "_d", "_cut").agg(*sums)
+    same = F.col(stock).eqNullSafe(F.col("_s")) & F.col(date).eqNullSafe(F.col("_d")) & (F.col(load_seq) == F.col("_cut"))
+    joined = newest.join(knew, same, "left")
+    firsts = [F.coalesce(f"_old_{c}", c).alias(first_name(c)) for c in fill]
+    return joined.select(*[F.coalesce(c, f"_last_{c}").alias(c) if c in fill else F.col(c) for c in df.columns], *firsts)
 
 
 def stock_window(stock: str, date: str, load_seq: str):
@@ -97,7 +77,7 @@ def stock_window(stock: str, date: str, load_seq: str):
 
 def carry_forward(df: DataFrame, w, stock: str, cols: Sequence[str]) -> DataFrame:
     """Last known value per stock; leading gaps take the stock's first known value
-    (also when `thin_copies` dropped its row). Rows without a stock code stay unfilled.
+    (also when `recent_copies` dropped its row). Rows without a stock code stay unfilled.
     """
     running = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
@@ -158,26 +138,21 @@ def is_last_of_date(w, date: str) -> Column:
     return following.isNull() | (following != F.col(date))
 
 
-def previous_row(
-    df: DataFrame, keys: Sequence[str], date: str, load_seq: str, cols: dict[str, str], split: bool | None = None
-) -> DataFrame:
+def previous_row(df: DataFrame, keys: Sequence[str], date: str, load_seq: str, cols: dict[str, str]) -> DataFrame:
     """Add the previous row's values per key (`cols`: source -> new name), in
     (date, load position) order, copies of a date included.
 
-    A plain lag, unless the largest key (counted if `split` is None) has more than
-    `GROUP_LIMIT` rows. Then copies are ordered in chunks: inside a chunk a lag does;
-    the first row of a chunk needs the last row of the chunk before, so only the
-    edge rows (at most two per chunk) are ordered over the whole key.
+    Rows are dealt by ranges of (key, date, load position), which split a hot key however its
+    positions lie. Inside a range a lag does; a range's first row of a key needs the last row of the
+    range before, so only edge rows, at most two per range and key, are ordered over the whole key.
     """
-    if split is None:
-        split = largest_group(df, *keys) > GROUP_LIMIT
-    if not split:
-        w = W.partitionBy(*keys).orderBy(date, load_seq)
-        return df.withColumns({n: F.lag(s).over(w) for s, n in cols.items()})
-    inside = W.partitionBy(*keys, date, "_chunk").orderBy(load_seq)
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(ranges, *keys, date, load_seq).withColumn("_range", F.spark_partition_id())
+    inside = W.partitionBy("_range", *keys).orderBy(date, load_seq)
     over_key = W.partitionBy(*keys).orderBy(date, load_seq)
     packed = F.struct(*[F.col(s).alias(n) for s, n in cols.items()])
-    rows = df.withColumn("_chunk", chunk_of(load_seq, CHUNK_BITS)).withColumns(
+    rows = rows.withColumns(
         {
             "_head": F.row_number().over(inside) == 1,
             "_tail": F.lead(F.lit(1)).over(inside).isNull(),

@@ -61,24 +61,21 @@ def foreign_values(df: DataFrame) -> DataFrame:
 # ---- indicators ------------------------------------------------------------
 
 
-def fill_gaps(rows: DataFrame, backfill: str = "own", split: bool | None = None) -> DataFrame:
-    """Prices carried forward per stock, then backward; missing volumes are 0.
+def fill_gaps(rows: DataFrame, backfill: str = "own") -> DataFrame:
+    """Prices carried forward per stock, then backward; missing volumes are 0. All dated rows stay.
 
     `backfill`: "own" uses the stock's own first price; "next_stock" also lets a
     stock without any price take the next stock's, as an ungrouped back fill does.
-    `split`: thin out copies in chunks first, for stocks too large for one task.
-    None measures the largest stock (one counting job) and decides by that.
     """
     rows = rows.na.drop(subset=[DATE])
+    return _filled(rows, rows, backfill)
+
+
+def _filled(held: DataFrame, rows: DataFrame, backfill: str) -> DataFrame:
+    """Fill the rows that are held; `rows` are all, for what stocks without a price take."""
     prices = [c for c in schemas.PRICES if c in rows.columns]
     volumes = [c for c in schemas.VOLUMES if c in rows.columns]
-    w = windows.stock_window(STOCK, DATE, SEQ)
-    if split is None:
-        split = windows.largest_group(rows, STOCK) > windows.GROUP_LIMIT
-    held = rows
-    for bits in windows.CHUNK_LEVELS if split else ():
-        held = windows.thin_copies(held, STOCK, DATE, SEQ, prices, LONG, bits)
-    filled = windows.carry_forward(held, w, STOCK, prices)
+    filled = windows.carry_forward(held, windows.stock_window(STOCK, DATE, SEQ), STOCK, prices)
     if backfill == "next_stock":
         leaks = windows.next_stock_values(rows, STOCK, DATE, SEQ, prices)
         filled = windows.fill_from_next_stock(filled, leaks, STOCK, prices)
@@ -150,12 +147,13 @@ def flags(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
-def indicators(
-    rows: DataFrame, t: Thresholds = DEFAULTS, backfill: str = "own", split: bool | None = None
-) -> DataFrame:
+def indicators(rows: DataFrame, t: Thresholds = DEFAULTS, backfill: str = "own") -> DataFrame:
     """All rows in, one row per (stock, date) out: the last loaded copy wins, but
-    the copies before it do count inside the rolling frames."""
-    df = roll(derive(fill_gaps(rows, backfill, split)))
+    the copies before it do count inside the rolling frames, as far as these reach."""
+    rows = rows.na.drop(subset=[DATE])
+    prices = [c for c in schemas.PRICES if c in rows.columns]
+    held = windows.recent_copies(rows, STOCK, DATE, SEQ, prices, LONG)
+    df = roll(derive(_filled(held, rows, backfill)))
     if "foreign_buy_value" not in df.columns:
         df = foreign_values(df)
     return flags(df, t).filter("_last").drop("_last")

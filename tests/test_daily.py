@@ -78,12 +78,11 @@ def model(data: list[tuple], leak: bool) -> pd.DataFrame:
     return df.drop_duplicates(["stock_code", "trading_date"], keep="last")
 
 
-@pytest.mark.parametrize("split", [True, False])
+@pytest.mark.parametrize("sparse", [1, 1 << 28])
 @pytest.mark.parametrize("backfill", ["own", "next_stock"])
-def test_indicators_match_the_model(spark, monkeypatch, split, backfill):
-    monkeypatch.setattr(windows, "CHUNK_LEVELS", (6, 8))  # 64 positions: the hot day spans many chunks
-    data = make(7)
-    got = D.indicators(spark.createDataFrame(data, SCHEMA), LOW, backfill, split).toPandas()
+def test_indicators_match_the_model(spark, sparse, backfill):
+    data = [(*r[:2], r[2] * sparse, *r[3:]) for r in make(7)]
+    got = D.indicators(spark.createDataFrame(data, SCHEMA), LOW, backfill).toPandas()
     want = model(data, leak=backfill == "next_stock")
     key = ["stock_code", "trading_date"]
     both = got.merge(want, on=key, how="outer", suffixes=("", "_w"), indicator=True)
@@ -102,21 +101,28 @@ def test_indicators_match_the_model(spark, monkeypatch, split, backfill):
     assert (rows["signal"] == rows["signal_w"]).all()
 
 
-def test_hot_copies_are_thinned(spark):
-    data = [("A", date(2024, 1, 2), i, *[1.0] * len(NUMBERS)) for i in range(1000)]
-    keys = ("stock_code", "trading_date", "load_seq", schemas.PRICES, 5)
-    thin = windows.thin_copies(spark.createDataFrame(data, SCHEMA), *keys, bits=6)
-    assert thin.count() == (1000 // 64) * 5 + 5
-    thinner = windows.thin_copies(thin, *keys, bits=9)
-    assert sorted(r["load_seq"] for r in thinner.collect()) == [*range(507, 512), *range(995, 1000)]
+@pytest.mark.parametrize("step", [1, 1 << 28])
+def test_copies_beyond_the_reach_leave_what_they_knew(spark, step):
+    data = [("A", date(2024, 1, 2), i * step, *[None if i > 2 else float(i)] * len(NUMBERS)) for i in range(1000)]
+    keys = ("stock_code", "trading_date", "load_seq", ["close"], 5)
+    rows = windows.recent_copies(spark.createDataFrame(data, SCHEMA), *keys).orderBy("load_seq").collect()
+    assert [r["load_seq"] for r in rows] == [i * step for i in range(995, 1000)]
+    assert [(r["close"], r["_first_close"]) for r in rows] == [(2.0, 0.0)] + [(None, None)] * 4
 
 
-def test_split_is_chosen_by_the_largest_stock(spark, monkeypatch):
-    df = spark.createDataFrame(make(1, hot=30), SCHEMA)
-    assert windows.largest_group(df, "stock_code") > 40
-    monkeypatch.setattr(windows, "GROUP_LIMIT", 40)
-    plan = D.fill_gaps(df)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_chunk" in plan
+def test_fill_gaps_keeps_all_rows(spark):
+    data = [("A", date(2024, 1, 2), i << 28, *[1.0 if i == 3 else None] * len(NUMBERS)) for i in range(1000)]
+    rows = D.fill_gaps(spark.createDataFrame(data, SCHEMA))
+    assert rows.count() == 1000 and rows.filter("close = 1").count() == 1000
+
+
+@pytest.mark.parametrize("step", [1, 1 << 28])
+def test_previous_row_of_a_hot_key(spark, step):
+    data = [("A", date(2024, 1, 1 + i // 300), i * step, i) for i in range(900)] + [("B", date(2024, 1, 2), 5, 7), (None, date(2024, 1, 2), 6, 8), (None, date(2024, 1, 3), 4, 9)]
+    rows = spark.createDataFrame(data, "k string, d date, s bigint, v int").repartition(7)
+    got = {(r["k"], r["v"]): r["p"] for r in windows.previous_row(rows, ["k"], "d", "s", {"v": "p"}).collect()}
+    assert len(got) == 903 and got["A", 0] is None and all(got["A", i] == i - 1 for i in range(1, 900))
+    assert (got["B", 7], got[None, 8], got[None, 9]) == (None, None, 8)
 
 
 def test_thresholds_are_inclusive(spark):
