@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bourseline.functions.text import BLANKS
+
 # A plain decimal number, cut out by its pattern: a bare cast would also take type
 # suffixes ("1d") and the words NaN and Infinity. No match gives an empty text,
 # which casts to null.
-DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?[0-2]?\d?\d)?)\s*$"
-WHOLE_PART = r"^\s*([+-]?\d{1,18})(?:\.\d*)?\s*$"
-
-
-BLANKS = " \t\r\n\f\v\u00a0"
+DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE](?:[+-]?[0-2]?\d?\d|[+-]?30[0-7]))?)\s*$"
+WHOLE_PART = r"^\s*([+-]?\d{1,38})(?:\.\d*)?\s*$"
 
 
 def _without(c: Column, characters: str) -> Column:
@@ -31,8 +30,10 @@ def to_double(c: Column) -> Column:
 
 
 def to_long(c: Column) -> Column:
-    """Up to 18 digits are kept exactly; a fraction is cut towards zero."""
-    return F.coalesce(F.regexp_extract(c, WHOLE_PART, 1).try_cast("bigint"), to_double(c).try_cast("bigint"))
+    """Digits are kept exactly, a fraction is cut towards zero; what no bigint can hold is null.
+    Only a number with an exponent goes through double."""
+    whole = F.regexp_extract(c, WHOLE_PART, 1)
+    return F.when(whole != "", whole.try_cast("bigint")).otherwise(to_double(c).try_cast("bigint"))
 
 
 def round_binary(c: Column, places: int) -> Column:

@@ -1,7 +1,7 @@
 """Joins: left joins on aggregates, exits, processed-set anti joins.
 
-A side is broadcast by hint only if its size is bounded by the calendar or has just
-been counted; otherwise Spark picks by measured size at run time (AQE) and splits
+A side is broadcast by hint only if its size is bounded by the calendar (a date
+column holds at most one value a day); otherwise Spark picks by measured size at run time (AQE) and splits
 skewed sides.
 """
 
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from bourseline.functions.text import stem
 
-# Rows of about 1 KB each that may be broadcast: some 20 MB.
-BROADCAST_KEYS = 20_000
-
-
 def latest(df: DataFrame, date: str) -> Column:
     """The greatest date as a scalar subquery, usable in any filter on `df`."""
     return df.select(F.max(date)).scalar()
@@ -29,13 +25,6 @@ def previous_date(df: DataFrame, date: str) -> Column:
     return df.filter(F.col(date) < latest(df, date)).select(F.max(date)).scalar()
 
 
-def broadcast_if_few(side: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Broadcast a side with one row per `key` of `source` if the keys, counted in
-    one pass over that column, are few; else leave the join to Spark."""
-    keys = source.select(key).distinct().count()
-    return F.broadcast(side) if keys <= BROADCAST_KEYS else side
-
-
 def unprocessed(df: DataFrame, processed: DataFrame, file_name: str, source: str, loose: bool = False) -> DataFrame:
     """Rows of files not in the processed list. `loose` also takes the name
     without extension or its first eight characters as a match."""

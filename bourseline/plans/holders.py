@@ -10,7 +10,7 @@ from bourseline.functions import dates, numbers, rules, text
 from bourseline.functions.rules import CORPORATE, FINANCIAL, FOREIGN, FUND, INDIVIDUAL, ScreenerFlags
 from bourseline.operators import windows
 from bourseline.operators.frames import any_cell, with_date
-from bourseline.operators.joins import broadcast_if_few, latest, previous_date
+from bourseline.operators.joins import latest, previous_date
 
 SCAN_ROWS = 15
 TABLE = schemas.HOLDER_TABLE.fieldNames()
@@ -31,56 +31,55 @@ def file_headings(rows: DataFrame) -> DataFrame:
     """Heading of each file: the first of its first 15 filled data rows that holds
     a key column's name, else row 0. One row per file.
 
-    Aggregates only: the first row with such a name per file, then the number of
-    filled rows before it. No file's rows are sorted or gathered.
+    The first rows of a file are found by rank, which Spark limits on the map side.
     """
     data = rows.filter((F.col("row_idx") > 0) & any_cell(F.col("cells")))
     marks = F.array(*[F.lit(m) for m in schemas.HOLDER_HEADING_MARKS])
     marked = F.arrays_overlap(F.transform("cells", lambda c: text.strip(F.upper(c))), marks)
-    found = (
-        data.filter(F.coalesce(marked, F.lit(False)))
+    near = (
+        windows.top_per_group(data, ["file_name"], [F.col("row_idx")], SCAN_ROWS)
+        .filter(F.coalesce(marked, F.lit(False)))
         .groupBy("file_name")
         .agg(F.min(F.struct("row_idx", "cells")).alias("_found"))
     )
-    before = (
-        data.select("file_name", "row_idx")
-        .join(found.select("file_name", F.col("_found.row_idx").alias("_at")), "file_name")
-        .filter(F.col("row_idx") < F.col("_at"))
-        .groupBy("file_name")
-        .agg(F.count(F.lit(1)).alias("_before"))
-    )
-    near = found.join(before, "file_name", "left").filter(F.coalesce("_before", F.lit(0)) < SCAN_ROWS)
     first = rows.filter(F.col("row_idx") == 0).select("file_name", F.struct("row_idx", "cells").alias("_first"))
     heading = F.coalesce("_found", "_first")
     named = first.join(near, "file_name", "left").select(
         "file_name", heading["row_idx"].alias("heading_row"), _heading(heading["cells"]).alias("heading")
     )
-    places = F.struct(*[F.array_position("heading", name).cast("int").alias(name) for name in schemas.HOLDER_COLUMNS])
-    return named.withColumn("place", places)
+    every = F.sequence(F.lit(1), F.size("heading"))
+
+    def of(name: str) -> Column:
+        """All places of a name: a file may have several spellings of one column."""
+        places = F.filter(every, lambda i: F.try_element_at(F.col("heading"), i) == name)
+        return F.when(F.size("heading") > 0, places).otherwise(F.array().cast("array<int>"))
+
+    return named.withColumn("place", F.struct(*[of(name).alias(name) for name in schemas.HOLDER_COLUMNS]))
 
 
 def detect_headings(rows: DataFrame) -> DataFrame:
     """Filled rows below their file's heading, with that heading."""
     filled = rows.filter(any_cell(F.col("cells")) & (F.col("row_idx") > 0))
-    headings = broadcast_if_few(file_headings(rows), rows, "file_name")
-    return filled.join(headings, "file_name").filter(F.col("row_idx") > F.col("heading_row"))
+    return filled.join(file_headings(rows), "file_name").filter(F.col("row_idx") > F.col("heading_row"))
 
 
 def align(records: DataFrame) -> DataFrame:
     """The twelve expected columns as text, taken from the places their headings
-    have in the file, with defaults for columns the file lacks. Rows need a valid
+    have in the file (the first that is filled in the row), with defaults for columns the file lacks. Rows need a valid
     share code if the file has codes."""
 
     def value(name: str, default: str) -> Column:
         at = F.col("place")[name]
-        return F.when(at > 0, F.try_element_at(F.col("cells"), at)).otherwise(F.lit(default))
+        found = F.transform(at, lambda i: F.try_element_at(F.col("cells"), i))
+        filled = F.filter(found, lambda c: text.strip(c) != "")
+        return F.when(F.size(at) > 0, F.coalesce(F.get(filled, F.lit(0)), F.get(found, F.lit(0)))).otherwise(F.lit(default))
 
     texts = {name.lower(): value(name, default) for name, default in schemas.HOLDER_COLUMNS.items()}
     texts["share_code"] = F.upper(text.strip(text.text_or(texts["share_code"], "nan")))
     named = records.select(
         text.stem(F.col("file_name")).alias("data_source"),
         *[v.alias(k) for k, v in texts.items()],
-        "load_seq", (F.col("place.SHARE_CODE") == 0).alias("_no_codes"),
+        "load_seq", (F.col("heading_row") == 0).alias("plain_heading"), (F.size("place.SHARE_CODE") == 0).alias("_no_codes"),
     )
     return named.filter(F.col("_no_codes") | valid_code(F.col("share_code"))).drop("_no_codes")
 
@@ -91,7 +90,8 @@ def valid_code(code: Column) -> Column:
 
 def clean(df: DataFrame) -> DataFrame:
     """Types, standard values, dated rows only. A missing text reads "nan", as the
-    stored table has always had it."""
+    stored table has always had it. Below a heading in row 0 counts are numeric cells, and
+    their text may end in .0; elsewhere each dot is a grouping sign."""
     counts = ["holdings_scripless", "holdings_scrip", "total_holding_shares"]
     texts = ["data_source", "share_code", "issuer_name", "investor_name", "investor_type", "local_foreign", "nationality", "domicile"]
 
@@ -105,7 +105,7 @@ def clean(df: DataFrame) -> DataFrame:
             "investor_type": text.map_values(F.col("investor_type"), schemas.INVESTOR_TYPES),
             "percentage": numbers.locale_float(F.col("percentage")),
         }
-        | {c: numbers.locale_int(F.col(c)) for c in counts}
+        | {c: numbers.locale_int(F.when(F.col("plain_heading"), F.regexp_replace(c, r"(?<=\d)\.0\s*$", "")).otherwise(F.col(c))) for c in counts}
     )
 
 

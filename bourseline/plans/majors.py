@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bourseline import schemas
@@ -58,6 +59,11 @@ def with_actions(df: DataFrame) -> DataFrame:
     return df.withColumn("aksi", action).filter(F.col("aksi") != "Skip")
 
 
+def listing(rows: DataFrame) -> DataFrame:
+    """Typed rows of the lists as sent, with their actions: what a job stores as history."""
+    return with_actions(positions(list_rows(rows))).select(*COLUMNS, "load_seq")
+
+
 def exits(active_rows: DataFrame) -> DataFrame:
     """Rows for holders that vanished since the list before: their last count
     becomes the previous one, the current one is 0."""
@@ -71,29 +77,42 @@ def exits(active_rows: DataFrame) -> DataFrame:
     )
 
 
-def baseline_only(df: DataFrame) -> DataFrame:
-    """Optional: keep a Holding row only on the holder's first date."""
-    rows = first_date(df, KEYS, DATE, "_first")
+def baseline_only(df: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """Optional: keep a Holding row only on the holder's first date (of `lists`, if given)."""
+    if lists is None:
+        rows = first_date(df, KEYS, DATE, "_first")
+    else:
+        firsts = lists.groupBy(*KEYS).agg(F.min(DATE).alias("_first"))
+        rows = df.join(firsts, KEYS, "left")
     return rows.filter((F.col("aksi") != "Holding") | (F.col(DATE) == F.col("_first"))).drop("_first")
 
 
-def change_log(rows: DataFrame, history: DataFrame | None = None, baseline: bool = False) -> DataFrame:
-    """All dates at once: actions, exits between neighbouring dates, share change.
+def full_log(lists: DataFrame) -> DataFrame:
+    """Listed rows and exits between neighbouring dates, with the share change."""
+    log = union_by_name(lists, exits(lists))
+    return log.withColumn("perubahan_saham", F.col("jumlah_saham_curr") - F.col("jumlah_saham_prev"))
 
-    With `history` (earlier output) only the new dates' rows are returned; the
-    history's last list is what the first new one is compared with. Dates are
-    taken in calendar order, and files of one date form one list.
 
-    The typed rows are needed four times (log, exits, calendar, today's holders), so
-    they are written once to the shared folder and read back column by column.
+def change_log(rows: DataFrame, history: DataFrame | None = None, baseline: bool = False) -> DataFrame:
+    """The log of all dates at once or, with `history` (rows from `listing` of earlier files), of the
+    dates that the new files change: a date they hold, and the one after it, each as a whole, to be
+    upserted by date. A date that is sent again replaces its list; late dates find their neighbours
+    on both sides. Dates are taken in calendar order, and files of one date form one list.
+
+    The typed rows are needed four times (log, exits, calendar, today's holders), so they are
+    written once to the shared folder and read back column by column.
     """
-    new = stage(with_actions(positions(list_rows(rows))).select(*COLUMNS, "load_seq"), "majors")
-    listed = new
-    if history is not None:
-        last = history.filter(F.col(DATE) == joins.latest(history, DATE))
-        listed = union_by_name(last, new)
-    log = union_by_name(new, exits(listed))
-    log = log.withColumn("perubahan_saham", F.col("jumlah_saham_curr") - F.col("jumlah_saham_prev"))
-    if baseline:
-        log = baseline_only(log)
-    return log.select(*schemas.MAJOR_TABLE.fieldNames())
+    new = stage(listing(rows), "majors")
+    if history is None:
+        log = full_log(new)
+        return (baseline_only(log) if baseline else log).select(*schemas.MAJOR_TABLE.fieldNames())
+    sent = new.select(DATE).distinct()
+    lists = union_by_name(history.join(F.broadcast(sent), DATE, "left_anti"), new)  # dates: bounded by the calendar
+    near = joins.next_dates(lists, DATE).join(sent.withColumn("_sent", F.lit(True)), DATE, "left")
+    days = W.orderBy(DATE)
+    near = near.withColumn("_touched", F.coalesce("_sent", F.lag("_sent").over(days), F.lit(False)))
+    near = near.withColumn("_needed", F.col("_touched") | F.coalesce(F.lead("_touched").over(days), F.lit(False)))
+    near = stage(near.select(DATE, "_touched", "_needed"), "dates")
+    needed = lists.join(F.broadcast(near.filter("_needed").select(DATE)), DATE, "left_semi")
+    log = full_log(needed).join(F.broadcast(near.filter("_touched").select(DATE)), DATE, "left_semi")
+    return (baseline_only(log, lists) if baseline else log).select(*schemas.MAJOR_TABLE.fieldNames())

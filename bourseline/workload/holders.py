@@ -254,7 +254,7 @@ add(
 )
 add(
     "proj_align_defaults",
-    lambda s, sf: H.align(H.detect_headings(A.holder_sheets(s, sf))),
+    lambda s, sf: H.align(H.detect_headings(A.holder_sheets(s, sf))).drop("plain_heading"),
     f"WITH {SHEETS} SELECT data_source, date, share_code, * EXCLUDE (data_source, date, share_code) FROM lists",
 )
 add(

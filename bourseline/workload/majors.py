@@ -110,6 +110,19 @@ add(
     f"WITH {LISTED_EXITS} SELECT * FROM log",
     ["tanggal_data"],
 )
+
+
+def history_log(spark, sf):
+    """Odd months first, the lists of 1996 only in part; then the even months, late, and 1996 again in full."""
+    docs = A.major_documents(spark, sf)
+    year, odd = F.left("file_name", F.lit(4)), F.substring("file_name", 5, 2).cast("int") % 2 == 1
+    first = docs.filter(odd & ((year != "1996") | (F.col("page_idx") <= 10)))
+    second = docs.filter(~odd | (year == "1996"))
+    before, after = M.change_log(first), M.change_log(second, M.listing(first))
+    return before.join(after.select(M.DATE).distinct(), M.DATE, "left_anti").unionByName(after)
+
+
+add("pipe_ownership_5pct_history", history_log, f"WITH {LISTED_EXITS} SELECT * FROM log", ["tanggal_data"])
 add(
     "sort_keys",
     lambda s, sf: acted(s, sf).select("tanggal_data", "kode_efek", "nama_pemegang_saham", "load_seq").orderBy(

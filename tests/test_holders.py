@@ -107,8 +107,41 @@ def test_change_log(spark):
 
 def test_change_log_continues_history(spark):
     first = spark.createDataFrame([doc("20240501", 1, 1, 1, "AA", "leaves", "5", "9"), doc("20240501", 1, 2, 2, "AA", "stays", "1", "2")], schemas.SHEET_ROWS)
-    history = M.change_log(first)
+    history = M.listing(first)
     second = spark.createDataFrame([doc("20240502", 1, 1, 3, "AA", "stays", "2", "2")], schemas.SHEET_ROWS)
     got = {(str(r["tanggal_data"]), r["nama_pemegang_saham"], r["aksi"]) for r in M.change_log(second, history).collect()}
     assert got == {("2024-05-02", "stays", "Holding"), ("2024-05-02", "leaves", "Reduction")}
-    assert M.change_log(second, history, baseline=True).filter(F.col("aksi") == "Holding").count() == 1
+    # The holder's first date is in the history.
+    assert M.change_log(second, history, baseline=True).filter(F.col("aksi") == "Holding").count() == 0
+
+
+def log_rows(log):
+    return sorted((str(r["tanggal_data"]), r["nama_pemegang_saham"], r["aksi"], r["jumlah_saham_prev"], r["jumlah_saham_curr"]) for r in log.collect())
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_late_and_resent_lists(spark, late):
+    """Whatever the order of arrival, the log is that of all lists in one go."""
+    lists = {
+        "20240430": [("x", "0", "4"), ("y", "0", "7")], "20240502": [("x", "4", "4")], "20240503": [("z", "0", "1")], "20240601": [("x", "0", "2")],
+    }
+    stale = {"20240502": [("x", "4", "4"), ("y", "7", "9")]}
+
+    def frame(some):
+        return spark.createDataFrame([doc(d, 1, i, int(d) * 10 + i, "AA", *h) for d, rows in some.items() for i, h in enumerate(rows)], schemas.SHEET_ROWS)
+
+    first = {d: rows for d, rows in lists.items() if d != "20240430"} if late else {**{"20240430": lists["20240430"]}, **stale}
+    second = {"20240430": lists["20240430"]} if late else {d: rows for d, rows in lists.items() if d != "20240430"}
+    before, after = M.change_log(frame(first)), M.change_log(frame(second), M.listing(frame(first)))
+    assert ("2024-05-03" in {r[0] for r in log_rows(after)}) == (not late)
+    merged = before.join(after.select("tanggal_data").distinct(), "tanggal_data", "left_anti").unionByName(after)
+    assert log_rows(merged) == log_rows(M.change_log(frame(lists)))
+
+
+def test_numeric_cells_blanks_and_several_spellings(spark):
+    data = [
+        ("a.xlsx", 0, 0, 0, ["DATE", "SHARE_CODE", "INVESTOR_NAME", "InvestorName", "TOTAL_HOLDING_SHARES"]),
+        ("a.xlsx", 0, 1, 1, ["2024-05-31", "ABCD\u00a0", "", "second", "1234.0"]), ("a.xlsx", 0, 2, 2, ["2024-05-31", "EFGH", "first", "second", "1.000"]),
+    ]
+    got = H.ownership(spark.createDataFrame(data, schemas.SHEET_ROWS)).orderBy("share_code").collect()
+    assert [(r["share_code"], r["investor_name"], r["total_holding_shares"]) for r in got] == [("ABCD", "second", 1234), ("EFGH", "first", 1000)]
