@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bourseline import schemas
+from bourseline.operators.frames import require_columns
 
 
 def history_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The accumulated history; a path that does not exist yet is an empty one."""
+    """The accumulated history: columns by the names in its header, in any order, cast to the schema's
+    types (bad text is null); a missing column is an error. A path that does not exist yet is an empty history."""
     try:
-        return spark.read.schema(schema).option("header", True).csv(path)
+        text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+        require_columns(text, schema.fieldNames())
+        return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

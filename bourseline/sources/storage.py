@@ -1,30 +1,38 @@
 """Where intermediate and published data goes.
 
 Everything is written below the shared folder the cluster names in
-``spark.checkpoint.dir``. Only a local session without that setting gets a
-folder of its own.
+``spark.checkpoint.dir`` or, if that is not set, below the warehouse, which all
+executors share as well. No machine's own temporary folder is used.
+
+Stages live in a folder of the application, which is deleted when the application
+ends. Published data stays.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_base: str | None = None
+_marked: set[str] = set()
 
 
 def shared_base(spark: SparkSession) -> str:
-    global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_base is None:
-        _local_base = tempfile.mkdtemp(prefix="bourseline-")
-    return _local_base
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return base.rstrip("/")
+
+
+def stage_path(spark: SparkSession, label: str) -> str:
+    """A new path in the application's own folder, which goes when the application ends."""
+    context = spark.sparkContext
+    folder = f"{shared_base(spark)}/bourseline/stages-{context.applicationId}"
+    if folder not in _marked:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _marked.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -32,8 +40,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def land(df: DataFrame, label: str) -> str:
-    """Write `df` as a new Parquet dataset and return its path."""
-    path = fresh_path(df.sparkSession, label)
+    """Write `df` as a new Parquet dataset of this application and return its path."""
+    path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return path
 

@@ -1,7 +1,7 @@
 """Writers: replace, upsert by date, exports.
 
 A table that is being read is never overwritten in place: `replace_table` writes a
-new folder and moves the name over to it once the write is complete.
+new folder and moves the catalog's name over to it once the write is complete.
 """
 
 from __future__ import annotations
@@ -23,15 +23,23 @@ def sorted_export(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to a new folder, then point the view `name` at it."""
+    """Write `df` to a new folder, then let the catalog's table `name` be that folder. Readers of the
+    version before keep theirs; its folder goes when its owner removes it."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
-    table.createOrReplaceTempView(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path, "parquet", df.schema)
     return table
 
 
+def define_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """A view of the catalog over its tables, new or in place of the one before."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
+
+
 def snapshot_view(spark: SparkSession, view: str, name: str) -> DataFrame:
     """Store the present contents of a view under another name."""
     return replace_table(spark.table(view), name)

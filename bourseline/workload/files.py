@@ -32,19 +32,27 @@ def history(spark, sf):
 
 def landed_csv(spark, sf):
     path = fresh_path(spark, "history")
-    writers.write_csv(history(spark, sf), path)
+    writers.write_csv(history(spark, sf).select(*HISTORY.fieldNames()[::-1]), path)
     return path
 
 
 def src_history_csv(spark, sf):
+    """A history whose columns stand in another order, without the rows of sources loaded before 1998."""
     rows = readers.history_csv(spark, landed_csv(spark, sf), HISTORY)
-    return rows.join(readers.processed_sources(rows, "source_file"), "source_file", "left_semi").select(*HISTORY.fieldNames())
+    done = readers.processed_sources(rows.filter(F.col("trading_date") < "1998-01-01"), "source_file")
+    return rows.join(done, "source_file", "left_anti").select(*HISTORY.fieldNames())
 
 
-add("src_history_csv", src_history_csv, f"WITH {TRADES} SELECT {H} FROM trades", ["trading_date"])
+add(
+    "src_history_csv",
+    src_history_csv,
+    f"""WITH {TRADES} SELECT {H} FROM trades
+WHERE source_file NOT IN (SELECT source_file FROM trades WHERE trading_date < DATE '1998-01-01' AND source_file IS NOT NULL) OR source_file IS NULL""",
+    ["trading_date"],
+)
 add(
     "sink_csv",
-    lambda s, sf: s.read.schema(HISTORY).option("header", True).csv(landed_csv(s, sf)).groupBy("stock_code").agg(
+    lambda s, sf: readers.history_csv(s, landed_csv(s, sf), HISTORY).groupBy("stock_code").agg(
         F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"), F.count("close").alias("n_close")),
     f"WITH {TRADES} SELECT stock_code, count(*) AS n, sum(volume) AS volume, count(close) AS n_close FROM trades GROUP BY stock_code",
 )
@@ -117,7 +125,7 @@ def sink_sorted_export(spark, sf):
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
 
-add("sink_sorted_export", sink_sorted_export, f"WITH {CHAIN} SELECT {WIDE} FROM picks", ["date"])
+add("sink_sorted_export", sink_sorted_export, f"WITH {CHAIN} SELECT {WIDE} FROM done", ["date"])
 
 
 def sink_replace_table(spark, sf):
@@ -158,23 +166,35 @@ add("sink_upsert_by_date", sink_upsert_by_date, TOTALS, ["date"])
 
 
 def stream_upsert_by_date(spark, sf):
-    """Two landings of holder rows, each taken in by a run that stops when it is
-    done; the second run sees only the new files."""
-    landing, path, checkpoint = (fresh_path(spark, x) for x in ("landing", "totals", "progress"))
-    own = A.ownership(spark, sf)
-    for version, since in ((1, "1900-01-01"), (2, "2000-01-01")):
-        own.filter(F.col("date") >= since).write.mode("append").parquet(landing)
+    """Two landings of holder rows, each date in two pieces. Each run stops when it is done; the
+    second sees only the new files, and the totals of a date are those of both pieces."""
+    landing, kept, path, checkpoint = (fresh_path(spark, x) for x in ("landing", "intake", "totals", "progress"))
+    own = A.ownership(spark, sf).withColumn("version", (F.col("load_seq") % 2 + 1).cast("int"))
+
+    def totals(rows):
+        sums = rows.groupBy("date", "share_code").agg(F.sum("total_holding_shares").alias("shares"), F.max("version").alias("version"))
+        return sums.select(*UPSERT.fieldNames())
+
+    for version in (1, 2):
+        own.filter(F.col("version") == version).write.mode("append").parquet(landing)
         stream = intake.landed(spark, landing, own.schema, "parquet")
-        intake.upsert_new_files(stream, lambda batch, v=version: share_totals(batch, v), path, "date", checkpoint)
+        intake.upsert_new_files(stream, lambda batch: batch, totals, kept, path, "date", checkpoint)
     return writers.read_table(spark, path, UPSERT)
 
 
-add("stream_upsert_by_date", stream_upsert_by_date, TOTALS, ["date"])
+add(
+    "stream_upsert_by_date",
+    stream_upsert_by_date,
+    f"""WITH {OWN} SELECT date, share_code, CAST(sum(total_holding_shares) AS BIGINT) AS shares,
+  CAST(max(load_seq % 2 + 1) AS INTEGER) AS version FROM own GROUP BY date, share_code""",
+    ["date"],
+)
 
 
 def sink_view_snapshot(spark, sf):
     own = A.ownership(spark, sf)
-    own.groupBy("date", "share_code").agg(F.sum("total_holding_shares").alias("shares")).createOrReplaceTempView("bourseline_totals")
+    writers.replace_table(own, "bourseline_holdings")
+    writers.define_view(spark, "bourseline_totals", "SELECT date, share_code, sum(total_holding_shares) AS shares FROM bourseline_holdings GROUP BY date, share_code")
     return writers.snapshot_view(spark, "bourseline_totals", "bourseline_totals_snapshot")
 
 
@@ -252,11 +272,10 @@ add(
 
 
 def sink_view(spark, sf):
-    """A view by name, replaced by a narrower one."""
-    own = A.ownership(spark, sf)
-    own.createOrReplaceTempView("bourseline_holdings")
-    spark.table("bourseline_holdings").filter("percentage >= 1").createOrReplaceTempView("bourseline_holdings")
-    return spark.table("bourseline_holdings").select("date", "share_code", "investor_name", "load_seq", "percentage")
+    """A view over a stored table, replaced by a narrower one."""
+    writers.replace_table(A.ownership(spark, sf), "bourseline_holdings")
+    writers.define_view(spark, "bourseline_large_holdings", "SELECT * FROM bourseline_holdings")
+    return writers.define_view(spark, "bourseline_large_holdings", "SELECT date, share_code, investor_name, load_seq, percentage FROM bourseline_holdings WHERE percentage >= 1")
 
 
 add(

@@ -148,6 +148,15 @@ def test_history_and_processed(spark):
     assert [r[0] for r in readers.processed_sources(rows, "source_file").collect()] == ["f1"]
 
 
+def test_history_is_read_by_name(spark):
+    path = fresh_path(spark, "history")
+    schema = schemas.struct("code string, close double, volume bigint")
+    spark.createDataFrame([("AA", "7", "1.5"), ("BB", "x", "2")], "code string, volume string, close string").coalesce(1).write.option("header", True).csv(path)
+    assert [tuple(r) for r in readers.history_csv(spark, path, schema).orderBy("code").collect()] == [("AA", 1.5, 7), ("BB", 2.0, None)]
+    with pytest.raises(frames.MissingColumns, match="gone"):
+        readers.history_csv(spark, path, schemas.struct("code string, gone int"))
+
+
 def test_unprocessed(spark):
     files = spark.createDataFrame([("20240101_a.xlsx",), ("b.c.xlsx",), ("d.xlsx",), ("e.xlsx",)], "file_name string")
     done = spark.createDataFrame([("20240101",), ("b.c",), ("d.xlsx",)], "s string")
@@ -175,20 +184,20 @@ def test_replace_while_reading(spark):
 
 def test_stream_takes_only_new_files(spark):
     schema = schemas.struct("v bigint, date date")
-    source, target, progress = (fresh_path(spark, x) for x in ("in", "out", "progress"))
+    source, kept, target, progress = (fresh_path(spark, x) for x in ("in", "kept", "out", "progress"))
     day = date(2024, 1, 1)
     seen = []
 
     def run():
         stream = intake.landed(spark, source, schema, "parquet")
-        intake.upsert_new_files(stream, lambda b: (seen.append(b.count()), b)[1], target, "date", progress)
+        intake.upsert_new_files(stream, lambda b: (seen.append(b.count()), b)[1], lambda b: b, kept, target, "date", progress)
 
     spark.createDataFrame([(1, day), (2, date(2024, 1, 2))], schema).coalesce(1).write.parquet(source)
     run()
     spark.createDataFrame([(5, day)], schema).coalesce(1).write.mode("append").parquet(source)
     run()
     assert seen == [2, 1]
-    assert sorted(r["v"] for r in writers.read_table(spark, target, schema).collect()) == [2, 5]
+    assert sorted(r["v"] for r in writers.read_table(spark, target, schema).collect()) == [1, 2, 5]  # both files of the day
 
 
 def test_frames(spark):
