@@ -1,6 +1,6 @@
 """Date parsing; what cannot be read gives null.
 
-Texts are rewritten to yyyy-m-d by anchored patterns and cast once. That stays in
+Texts are taken apart by one anchored pattern per form and cast once. That stays in
 generated code and, unlike trying one format after another, raises nothing per row.
 """
 
@@ -36,7 +36,8 @@ NUMBER_FORMS = (
     (r"^\s*(0?[1-9]|1[0-2])[/-](\d{1,2})[/-](\d{4})\s*$", "$3-$1-$2"),
     (r"^\s*(\d{1,2})[/-](\d{1,2})[/-](\d{4})\s*$", "$3-$2-$1"),
 )
-ISO = r"^\s*(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$"
+# A time may follow, other text may not.
+ISO = r"^\s*(\d{4}-\d{1,2}-\d{1,2})(?:[ T]\d{1,2}(?::\d{2}){0,2}(?:[.,]\d+)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
 MONTH_FIRST = r"^\s*([a-z]{3,9})\s+(\d{1,2}),?\s+(\d{4})\s*$"
 DAY_MONTH_YEAR = r"^\s*(\d{1,2})(?:\s+|-)([a-z]{3,9})(?:\s+|-)(\d{4})\s*$"
 
@@ -65,17 +66,14 @@ def general_date(c: Column) -> Column:
 
 
 def _numbered_date(c: Column, months: dict[str, str], separator: str) -> Column:
-    """Month names replaced by their numbers, then day, month and year. A text with
-    two different months is null: replacing the first leaves the other's letters."""
-    names = "|".join(months)
-    usual = rf"^\s*\d{{1,2}}{separator}(?:{names}|\d{{1,2}}){separator}\d{{4}}\s*$"
-    two = rf"({names}).*(?!\1)({names})"
-    text = c
-    for name, number in months.items():
-        text = F.replace(text, F.lit(name), F.lit(number))
-    form = rf"(?s)^(?:\s*(\d{{1,2}}){separator}(\d{{1,2}}){separator}(\d{{4}})\s*|.*)$"
-    value = F.regexp_replace(text, form, "$3-$2-$1").try_cast("date")
-    return F.when(c.rlike(usual) | ~c.rlike(two), value)
+    """Day, month and year, where a month's name stands for its number. Two different names are null."""
+    part = rf"({'|'.join(months)}|\d{{1,2}})"
+    form = rf"(?s)^(?:\s*{part}{separator}{part}{separator}(\d{{4}})\s*|.*)$"
+    found = F.split(F.regexp_replace(c, form, "$1|$2|$3"), r"\|")
+    day, month, year = (F.get(found, F.lit(i)) for i in range(3))
+    named = [_lookup(months, x) for x in (day, month)]
+    value = _date(year, F.coalesce(named[1], month), F.coalesce(named[0], day))
+    return F.when(named[0].isNull() | named[1].isNull() | (day == month), value)
 
 
 def local_months_date(c: Column) -> Column:

@@ -2,13 +2,10 @@
 
 from importlib import import_module
 
-AREAS = ["daily", "holders", "majors", "monthly", "brokers", "parsing", "files", "general"]
+AREAS = ["daily", "holders", "majors", "monthly", "brokers", "parsing", "files", "general", "jobs"]
 
 
 def load() -> None:
     """Import every area, which registers its queries."""
-    from pathlib import Path
-
     for area in AREAS:
-        if (Path(__file__).parent / f"{area}.py").exists():
-            import_module(f"bourseline.workload.{area}")
+        import_module(f"bourseline.workload.{area}")
