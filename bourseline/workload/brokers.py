@@ -110,8 +110,19 @@ add(
     lambda s, sf: from_json_text(s, sf).select("load_seq", "insider_name", *_paths),
     f"WITH {INSIDERS} SELECT load_seq, insider_name, {', '.join(_paths)} FROM moves",
 )
+
+
+def with_bad_numbers(spark, sf):
+    """The movements, with a price in every tenth page and a count in every seventh that are no numbers."""
+    n, item = F.col("load_seq"), F.col("item")
+    price = F.when(n % 10 == 0, "n/a").otherwise(item["price_formatted"])
+    count = F.when(n % 7 == 0, "1.2.3").otherwise(item["current"]["value"])
+    bad = item.withField("price_formatted", price).withField("current.value", count)
+    return B.normalize_insider(B.insider_items(A.insider_pages(spark, sf)).withColumn("item", bad))
+
+
 add(
     "dq_rejects",
-    lambda s, sf: B.rejects(moves(s, sf), ["shares_previous", "shares_current", "shares_change", "price_formatted"]),
-    f"WITH {INSIDERS} SELECT count(*) AS n, CAST(0 AS BIGINT) AS rejected FROM moves",
+    lambda s, sf: B.rejects(with_bad_numbers(s, sf), ["shares_previous", "shares_current", "shares_change", "price_formatted"]),
+    f"WITH {INSIDERS} SELECT count(*) AS n, count(*) FILTER (WHERE load_seq % 10 = 0 OR load_seq % 7 = 0) AS rejected FROM moves",
 )

@@ -65,8 +65,9 @@ add(
 
 # ---- audit ---------------------------------------------------------------------
 
-DATASETS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "events": "event_id"}
+DATASETS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
+        "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id"}
 
 
 def datasets(spark, sf):
@@ -75,13 +76,19 @@ def datasets(spark, sf):
 
 _counts = " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS n FROM {d}" for d in DATASETS)
 add("set_union_counts", lambda s, sf: frames.named_counts(datasets(s, sf)), _counts)
-WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6}
+WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6, "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
 add(
     "dq_dataset_audit",
     lambda s, sf: audit.audit(s, [*DATASETS, "missing_view"], datasets(s, sf)),
     "SELECT dataset, 'TABLE' AS object_type, CAST(CASE dataset " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WIDTHS.items())
     + f" END AS BIGINT) AS n_columns, n AS n_rows FROM ({_counts}) UNION ALL SELECT 'missing_view', 'MISSING', NULL, NULL",
 )
+add(
+    "dq_dataset_columns",
+    lambda s, sf: audit.columns(s, datasets(s, sf)).select("dataset", "column_name", "ordinal_position"),
+    "SELECT table_name AS dataset, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position FROM information_schema.columns WHERE table_name IN ("
+    + ", ".join(f"'{d}'" for d in DATASETS) + ")",
+)
 
 
 def limit_sample(spark, sf):
