@@ -11,9 +11,10 @@ become candidates in two rounds that lose no link and never form all pairs of a
    differs from bucket to bucket), and links are joined to components;
 2. in buckets that still hold several components, pairs across components are checked.
 
-Before the sets are compared, a pair must pass bounds on the set sizes (exact) and on
-the share of equal signature coordinates (missed with a chance below one in a million at
-the similarity bound). Links are confirmed on full sets of 64-bit shingle hashes.
+In the second round a pair must pass bounds on the set sizes (exact) and on the share of
+equal coordinates in a wider signature, which only these classes get (missed with a
+chance of 3 in a million at the similarity bound) before it is formed, in the first band
+it shares and in no other. Links are confirmed on full sets of 64-bit shingle hashes.
 
 Cases: a document without words (or null) has the empty set and links with nothing; one
 with fewer words than a shingle has its whole sequence as one shingle; rows with a null
@@ -38,9 +39,9 @@ from bourseline.sources.storage import stage
 
 RING = 1 << 22
 BANDS, ROWS = 42, 6  # a pair at similarity 0.8 shares no band with a chance of 3 in a million
-COORDINATES = 256  # the last four are in no band
+WIDE = 1024  # coordinates in the bound that comes before the sets
+DEVIATIONS = 4.5
 SIMILARITY = 80  # per cent
-MOST_DIFFERENT = 67  # coordinates of 256 that differ in two bits: five deviations above the 38 expected at 80 per cent
 SEED = 20240229
 PART = 1 << 21  # bytes hashed at a time
 LONGEST = 64  # bytes of a word that is hashed as it is
@@ -49,12 +50,11 @@ WIDTH = 4096  # shingles whose coordinates are gathered at a time
 
 @lru_cache(maxsize=1)
 def _ring() -> tuple[np.ndarray, np.ndarray]:
-    """The first permutation, and every slice of the second as rows of a view."""
+    """The first permutation, and the second with its beginning once more at its end."""
     rng = np.random.default_rng(SEED)
     first = rng.permutation(RING).astype(np.uint32)
     second = rng.permutation(RING).astype(np.uint32)
-    wrapped = np.concatenate([second, second[:COORDINATES]])
-    return first, np.lib.stride_tricks.sliding_window_view(wrapped, COORDINATES)
+    return first, np.concatenate([second, second[:WIDE]])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -105,10 +105,13 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     """One row of coordinates for each set; sets must not be empty."""
-    first, slices = _ring()
-    out = np.full((len(sets), COORDINATES), np.uint32(0xFFFFFFFF), dtype=np.uint32)
+    out = np.full((len(sets), coordinates), np.uint32(0xFFFFFFFF), dtype=np.uint32)
+    if not sets:
+        return out
+    first, wrapped = _ring()
+    slices = np.lib.stride_tricks.sliding_window_view(wrapped, coordinates)
     sizes = np.array([len(s) for s in sets])
     slots = first[(np.concatenate(sets) >> np.uint64(42)).astype(np.int64)]
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -122,7 +125,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _bands(signature: np.ndarray) -> np.ndarray:
-    rows = signature[:, : BANDS * ROWS].reshape(len(signature), BANDS, ROWS).astype(np.uint64)
+    rows = signature.reshape(len(signature), BANDS, ROWS).astype(np.uint64)
     keys = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
     keys = np.broadcast_to(keys, rows.shape[:2])
     for r in range(ROWS):
@@ -131,7 +134,7 @@ def _bands(signature: np.ndarray) -> np.ndarray:
 
 
 def _planes(signature: np.ndarray) -> np.ndarray:
-    """Two bits of each coordinate, 64 to a number: four numbers of low bits, four of the next."""
+    """Two bits of each coordinate, 64 to a number: half of the numbers hold low bits, half the next."""
     planes = [np.packbits((signature >> np.uint32(k) & np.uint32(1)).astype(np.uint8), axis=1) for k in (0, 1)]
     return np.ascontiguousarray(np.concatenate(planes, axis=1)).view(np.int64)
 
@@ -141,68 +144,63 @@ def _set_id(own: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`key`, `n_shingles`, `set_id` (null for the empty set), `bands` and `planes`, one row per row."""
+    """`key`, `n_shingles`, `set_id` and `bands` (null for the empty set), one row per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, 1):
                 sets = [shingle_hashes(t or b"", words) for t in part.column(1).cast(pa.binary()).to_pylist()]
                 some = [i for i, s in enumerate(sets) if len(s)]
-                signed = signatures([sets[i] for i in some]) if some else np.empty((0, COORDINATES), dtype=np.uint32)
+                signed = signatures([sets[i] for i in some], BANDS * ROWS)
                 ids: list[bytes | None] = [None] * len(sets)
                 bands: list[np.ndarray | None] = [None] * len(sets)
-                planes: list[np.ndarray | None] = [None] * len(sets)
-                for i, b, p in zip(some, _bands(signed), _planes(signed)):
-                    ids[i], bands[i], planes[i] = _set_id(sets[i]), b, p
+                for i, b in zip(some, _bands(signed)):
+                    ids[i], bands[i] = _set_id(sets[i]), b
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(ids, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
-                        pa.array(planes, pa.list_(pa.int64())),
                     ],
-                    names=[key, "n_shingles", "set_id", "bands", "planes"],
+                    names=[key, "n_shingles", "set_id", "bands"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, n_shingles long, set_id binary, bands array<long>, planes array<long>"
-    )
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles long, set_id binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
-    """`set_id` and `shingles` (sorted little-endian 64-bit hashes) of each text that has words."""
+    """`set_id`, `shingles` (sorted little-endian 64-bit hashes) and `planes` (of `WIDE` coordinates) of each text that has words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, 0):
                 sets = [shingle_hashes(t or b"", words) for t in part.column(0).cast(pa.binary()).to_pylist()]
                 sets = [s for s in sets if len(s)]
+                planes = pa.array(list(_planes(signatures(sets, WIDE))), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_set_id(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["set_id", "shingles"],
+                    [pa.array([_set_id(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()), planes],
+                    names=["set_id", "shingles", "planes"],
                 )
 
-    return docs.select(text).mapInArrow(run, "set_id binary, shingles binary")
+    return docs.select(text).mapInArrow(run, "set_id binary, shingles binary, planes array<long>")
 
 
 def _near(n: str, other: str, planes: str, others: str, similarity: int):
     """Whether two sketches can belong to a link."""
-    differ = sum(
-        (F.bit_count(F.col(planes)[i].bitwiseXOR(F.col(others)[i]).bitwiseOR(F.col(planes)[i + 4].bitwiseXOR(F.col(others)[i + 4]))) for i in range(4)),
-        start=F.lit(0),
-    )
+    half = WIDE // 64
+    unlike = lambda i: F.col(planes)[i].bitwiseXOR(F.col(others)[i])
+    differ = sum((F.bit_count(unlike(i).bitwiseOR(unlike(i + half))) for i in range(half)), start=F.lit(0))
     sizes = 100 * F.least(n, other) >= similarity * F.greatest(n, other)
-    return sizes & (differ <= MOST_DIFFERENT)
+    # Two bits of unlike coordinates differ in three cases of four.
+    share = 0.75 * (1 - similarity / 100)
+    return sizes & (differ <= int(WIDE * share + DEVIATIONS * (WIDE * share * (1 - share)) ** 0.5))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Those of the pairs (a, b) of set ids whose full sets reach the similarity."""
-    a = classes.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n"), F.col("planes").alias("p"))
-    b = classes.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("m"), F.col("planes").alias("q"))
-    near = pairs.join(a, "a").join(b, "b").where(_near("n", "m", "p", "q", similarity)).select("a", "b")
-    full = near.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("s")), "a")
+    full = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("s")), "a")
     full = full.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("t")), "b").select("a", "b", "s", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,43 +223,50 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = SIMILARIT
     rows = known.where(F.col("set_id").isNotNull() & F.col(key).isNotNull())
     of_class = rows.groupBy("set_id").agg(F.min(key).alias("first"))
     classes = rows.join(of_class, "set_id").where(F.col(key) == F.col("first"))
-    classes = stage(classes.select("set_id", "first", "n_shingles", "bands", "planes").dropDuplicates(["set_id"]), "classes")
+    classes = stage(classes.select("set_id", "first", "n_shingles", "bands").dropDuplicates(["set_id"]), "classes")
 
     bucket = Window.partitionBy("band").orderBy(F.xxhash64("band", "set_id"), "set_id")
-    buckets = classes.select("set_id", F.explode("bands").alias("band"))
-    buckets = buckets.select("band", "set_id", F.lag("set_id").over(bucket).alias("before"), F.lead("set_id").over(bucket).alias("after"))
+    buckets = classes.select("set_id", F.posexplode("bands").alias("place", "band"))
+    buckets = buckets.select("band", "place", "set_id", F.lag("set_id").over(bucket).alias("before"), F.lead("set_id").over(bucket).alias("after"))
     buckets = stage(buckets.where("before IS NOT NULL OR after IS NOT NULL").drop("after"), "buckets")
 
     meeting = classes.join(buckets.select("set_id").distinct(), "set_id", "left_semi")
     needed = docs.join(meeting.select(F.col("first").alias(key)).distinct(), key, "left_semi")
-    sets = stage(shingle_sets(needed, words, text), "sets")
-    meeting = meeting.select("set_id", "n_shingles", "planes")
+    sets = stage(shingle_sets(needed, words, text).dropDuplicates(["set_id"]), "sets")
+    meeting = meeting.select("set_id", "n_shingles", "bands").join(sets.select("set_id", "planes"), "set_id")
 
     ordered = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
     chain = buckets.where("before IS NOT NULL").select(F.col("set_id").alias("x"), F.col("before").alias("y"))
     chain = stage(chain.select(*ordered).distinct(), "pairs")
     several = rows.groupBy(key).agg(F.min("set_id").alias("a"), F.max("set_id").alias("z")).where("a != z")
     several = rows.join(several, key).select("a", F.col("set_id").alias("b"))
-    links = stage(verified(chain, meeting, sets, similarity).unionByName(several), "links")
+    links = stage(verified(chain, sets, similarity).unionByName(several), "links")
 
     so_far = components(links)
     whole = Window.partitionBy("band")
     still = (
-        buckets.select("band", "set_id").join(so_far, buckets["set_id"] == so_far["node"], "left")
-        .select("band", "set_id", F.coalesce("component", "set_id").alias("component"))
+        buckets.select("band", "place", "set_id").join(so_far, buckets["set_id"] == so_far["node"], "left")
+        .select("band", "place", "set_id", F.coalesce("component", "set_id").alias("component"))
         .withColumn("lowest", F.min("component").over(whole)).withColumn("highest", F.max("component").over(whole))
         .where("lowest < highest").join(meeting, "set_id")
     )
-    still = stage(still.select("band", "set_id", "component", "lowest", "n_shingles", "planes"), "open")
-    left = still.where("component > lowest").select("band", F.col("set_id").alias("x"), F.col("component").alias("c"), F.col("n_shingles").alias("n"), F.col("planes").alias("p"))
-    right = still.select("band", F.col("set_id").alias("y"), F.col("component").alias("d"), F.col("n_shingles").alias("m"), F.col("planes").alias("q"))
-    across = left.join(right, (left["band"] == right["band"]) & (F.col("c") > F.col("d")) & _near("n", "m", "p", "q", similarity))
+    still = stage(still.select("band", "place", "set_id", "component", "lowest", "n_shingles", "planes", "bands"), "open")
+    named = lambda df, *names: df.select("band", *[F.col(c).alias(n) for c, n in zip(("set_id", "component", "n_shingles", "planes", "bands", "place"), names)])
+    left = named(still.where("component > lowest"), "x", "c", "n", "p", "e", "place")
+    right = named(still, "y", "d", "m", "q", "f")
+    first = F.forall(F.slice(F.arrays_zip("e", "f"), F.lit(1), F.col("place")), lambda z: z["e"] != z["f"])
+    across = left.join(right, (left["band"] == right["band"]) & (F.col("c") > F.col("d")) & _near("n", "m", "p", "q", similarity) & first)
     across = across.select(*ordered).distinct().join(chain, ["a", "b"], "left_anti")
-    more = verified(across, meeting, sets, similarity)
-
-    joined = components(links.unionByName(more))
-    lasting = rows.select(key, "set_id").join(joined, F.col("set_id") == F.col("node"), "left")
-    lasting = lasting.select(key, F.coalesce("component", "set_id").alias("component"))
+    more = verified(across, sets, similarity)
+
+    # The links across components join these, and leave the links inside them alone.
+    ends = [so_far.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("a", "b")]
+    between = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    merged = components(between.select(F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b")))
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    lasting = rows.select(key, "set_id").join(so_far, F.col("set_id") == F.col("node"), "left")
+    lasting = lasting.select(key, F.coalesce("component", "set_id").alias("component")).join(merged, "component", "left")
+    lasting = lasting.select(key, F.coalesce("merged", "component").alias("component"))
     ids = lasting.groupBy("component").agg(F.min(key).alias("component_id"))
     by_key = lasting.join(ids, "component").groupBy(key).agg(F.min("component_id").alias("component_id"))
     out = known.select(key, "n_shingles").join(by_key, key, "left")

@@ -78,7 +78,7 @@ def test_long_words_and_parts(monkeypatch):
 def test_share_of_equal_coordinates_estimates_the_similarity():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2**63, 3000, dtype=np.uint64)
-    a, b = minhash.signatures([np.unique(x[:2500]), np.unique(x[500:])])
+    a, b = minhash.signatures([np.unique(x[:2500]), np.unique(x[500:])], 512)
     assert abs((a == b).mean() - 2000 / 3000) < 0.1
 
 
