@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,37 +33,92 @@ from bourseline.sources.storage import stage
 
 SIZE = 2048
 END_ID = 1
-CACHED = 300_000  # words a worker keeps before it starts anew
+CACHED = 400_000  # words of a generation
 LONGEST_CACHED = 64  # bytes
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CHUNK_BITS = 14  # 16,384 stored rows of a partition make a chunk
 
 
+class Words:
+    """Ids of words, kept in two generations: words met again move to the young one, and when
+    that is full, the old one goes."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. The tokenizer drops white
+        space and never joins across it, so words are encoded one by one."""
+        if len(self.young) > CACHED:
+            self.old, self.young = self.young, {}
+        known, old = self.young, self.old
+        out, gaps = [], []
+        new: dict[bytes, bytes] = {}
+
+        def ids_of(word: bytes) -> bytes | None:
+            """What is known of a word; it is noted as new otherwise."""
+            ids = known.get(word) or old.get(word)
+            if ids is None:
+                new.setdefault(word, b"")
+            else:
+                known[word] = ids
+            return ids
+
+        for text in texts:
+            # ASCII white space only, any other is left to the tokenizer; it lowers letters, so ASCII ones may be lowered first.
+            words = text.lower().split()
+            found = list(map(known.get, words))
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                word = words[at]
+                found[at] = old.get(word)
+                if found[at] is None:
+                    cut = len(word) - len(_tail(word))
+                    head, tail = ids_of(word[:cut]), ids_of(word[cut:]) if cut < len(word) else b""
+                    if head is None or tail is None:
+                        gaps.append((found, at, word, cut))
+                    else:
+                        found[at] = known[word] = head + tail
+                else:
+                    known[word] = found[at]
+            out.append(found)
+        fresh = list(new)
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at : at + 4096]
+            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False)
+            for word, encoding in zip(some, encoded):
+                new[word] = array("I", encoding.ids).tobytes()
+        for found, at, word, cut in gaps:
+            parts = [x for x in (word[:cut], word[cut:]) if x]
+            ids = b"".join([new[x] if x in new else known[x] for x in parts])
+            found[at] = ids
+            if len(word) <= LONGEST_CACHED:
+                known[word] = ids
+        known.update((w, i) for w, i in new.items() if len(w) <= LONGEST_CACHED)
+        return [b"".join(found) for found in out]
+
+
+def _tail(word: bytes) -> bytes:
+    """The ASCII punctuation at a word's end, if a letter or an ASCII figure stands before it. There the tokenizer always
+    begins a new piece, and no piece of letters or figures reaches over it, so both parts have ids of their own."""
+    head = word.rstrip(PUNCTUATION)
+    if not head or len(head) == len(word):
+        return b""
+    last = head[-1]
+    if last < 0x80:
+        return word[len(head) :] if head[-1:].isalnum() else b""
+    return word[len(head) :] if head.decode("utf-8", "surrogatepass")[-1].isalpha() else b""
+
+
 @lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer, {}
-
-
-def word_ids(texts: list[bytes], path: str) -> Iterator[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers. The tokenizer drops white
-    space and never joins across it, so words are encoded once and kept."""
-    tokenizer, cache = _tokenizer(path)
-    words = [t.split() for t in texts]  # ASCII white space; any other is left to the tokenizer
-    if len(cache) > CACHED:
-        cache.clear()
-    new = list(set(itertools.chain.from_iterable(words)).difference(cache))
-    fresh = {}
-    for at in range(0, len(new), 4096):
-        some = new[at : at + 4096]
-        for word, found in zip(some, tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False)):
-            fresh[word] = np.array(found.ids, dtype="<u4").tobytes()
-    cache.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST_CACHED)
-    known = {**fresh, **cache} if len(fresh) * 4 > len(cache) else cache
-    for own in words:
-        yield b"".join([known[w] if w in known else fresh[w] for w in own])
+def _words(path: str) -> Words:
+    return Words(path)
 
 
 def tokenize(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -71,11 +127,12 @@ def tokenize(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID,
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _words(path)
         for batch in batches:
             for part in sliced(batch, 1):
                 rows, starts, ids, totals = [], [], [], []
                 texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-                for row, own in enumerate(word_ids(texts, path)):
+                for row, own in enumerate(words.ids(texts)):
                     own += end
                     for at in range(0, len(own), 4 * size):
                         rows.append(row)
@@ -110,7 +167,11 @@ def patterns(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, lis
         left = histogram[length]
         while left:
             if not heap or heap[0][0] + length > size:
-                heapq.heappush(heap, (length, next(serial), left, ((length, 1), None)))
+                # A new pack is the shortest there is, and so takes the same length until it is full.
+                times = size // length
+                for count, copies in ((left // times, times), (1, left % times)):
+                    if count and copies:
+                        heapq.heappush(heap, (length * copies, next(serial), count, ((length, copies), None)))
                 break
             used, _, count, chain = heapq.heappop(heap)
             if count > left:

@@ -103,3 +103,15 @@ def test_ranks_over_small_chunks(spark, monkeypatch):
     monkeypatch.setattr(packing, "CHUNK_BITS", 2)
     rows = spark.range(500).selectExpr("id doc_id", "id % 3 + 1 length").repartition(4)
     assert check_packing(packing.assign(rows, 16).collect(), 16) > 0.99
+
+
+def test_words_with_punctuation_are_encoded_like_texts():
+    rnd = random.Random(6)
+    letters = "abs'tdm1é中́²_.,!*|-"
+    words = packing.Words(WORDS)
+    texts = [" ".join("".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 7))) for _ in range(30)) for _ in range(1500)]
+    plain = Tokenizer.from_file(WORDS)
+    got = words.ids([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    words.old, words.young = words.young, {}
+    assert words.ids([t.encode() for t in texts]) == got
