@@ -11,9 +11,10 @@ in which they are to be visited. How many leaves are visited is calibrated: for
 (the lowest hashes) the true neighbours are found by scanning all vectors, and the visits
 widen until they hold the target share of them.
 
-Leaves are dealt in blocks of rows and their visitors in blocks of queries, so no task
-holds a whole leaf, however many vectors or copies share it. Within a block, copies of a
-vector are scored once.
+Neighbouring leaves are dealt together, some `BLOCK_ROWS` rows at a time, and a query goes
+once to each such group with the leaves it visits there. Groups that hold more rows are dealt
+in blocks, and their visitors in parts, so no task holds a whole leaf, however many vectors
+or copies share it. Within a block, copies of a vector are scored once.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part,
 nor do rows without an id; copies and ties are ordered by id; the rows of an id that
@@ -51,6 +52,7 @@ class Tree:
     centres: np.ndarray  # of all nodes
     children: list[list[int]]  # none: a leaf
     top: float  # the largest squared norm
+    group: np.ndarray | None = None  # of each leaf, by node
 
     def lifted(self, v: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(0, self.top - (v * v).sum(1)))
@@ -124,6 +126,22 @@ def grow(sample: np.ndarray, top: float, leaves: int) -> Tree:
     return tree
 
 
+def gather(tree: Tree, sample: np.ndarray, rows: int) -> None:
+    """Number the groups: leaves in the order of the tree, as many as are expected to hold a block's rows together."""
+    share = np.bincount(tree.leaf_of(sample), minlength=len(tree.children)) * (rows / max(1, len(sample)))
+    tree.group = np.zeros(len(tree.children), dtype=np.int64)
+    stack, number, held = [0], 0, 0.0
+    while stack:
+        node = stack.pop()
+        if tree.children[node]:
+            stack += tree.children[node][::-1]
+            continue
+        if held and held + share[node] > BLOCK_ROWS:
+            number, held = number + 1, 0.0
+        tree.group[node] = number
+        held += share[node]
+
+
 def usable(table: DataFrame, key: str, vector: str) -> DataFrame:
     """`id` and `v` of the vectors that take part."""
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
@@ -141,10 +159,12 @@ def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.einsum("qd,nd->qn", q, v, optimize=False)
 
 
-def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of q, id, score) of the k best for each query among these rows, copies scored once."""
+def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, leaves: np.ndarray | None = None, visited: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, id, score) of the k best for each query among these rows, copies scored once. With `leaves` (of the
+    rows) and `visited` (for each query), among the rows of the visited leaves."""
     order = np.argsort(ids, kind="stable")
     ids, v = ids[order], np.ascontiguousarray(v[order])
+    leaves = leaves if leaves is None else leaves[order]
     one, copy_of = np.unique(v, axis=0, return_inverse=True)
     copy_of = copy_of.reshape(-1)
     by_copy = np.argsort(copy_of, kind="stable")
@@ -155,7 +175,10 @@ def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: i
     rows, found, values = [], [], []
     for i in range(len(q)):
         s = scores[i, copy_of[some]]
-        own = np.flatnonzero(ids[some] != q_ids[i])
+        allowed = ids[some] != q_ids[i]
+        if leaves is not None:
+            allowed &= np.isin(leaves[some], visited[i])
+        own = np.flatnonzero(allowed)
         if len(own) > 4 * k:
             limit = np.partition(s[own], len(own) - k)[len(own) - k]
             own = own[s[own] >= limit]
@@ -192,14 +215,16 @@ def exact(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
 
 
 def build(vectors: DataFrame) -> tuple[Tree, DataFrame] | None:
-    """The tree, and the stored index of every vector: `id`, `leaf`, `block`, `v`."""
+    """The tree, and the stored index of every vector: `id`, `leaf`, `v`."""
     sizes = vectors.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if sizes is None:
         return None
     vectors = vectors.where(F.size("v") == sizes["d"])
     top = vectors.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
     sample = vectors.select("v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    tree = grow(np.array([r["v"] for r in sample]), top, max(1, sizes["n"] // LEAF_ROWS))
+    taken = np.array([r["v"] for r in sample])
+    tree = grow(taken, top, max(1, sizes["n"] // LEAF_ROWS))
+    gather(tree, taken, sizes["n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,9 +232,7 @@ def build(vectors: DataFrame) -> tuple[Tree, DataFrame] | None:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(leaves, pa.int64()), batch.column(1)], names=["id", "leaf", "v"])
 
     placed = vectors.select(F.col("id").cast("bigint").alias("id"), "v").mapInArrow(run, "id long, leaf long, v array<double>")
-    # Blocks of a leaf: a row's block follows from its hash and from how many blocks its leaf needs.
-    placed = stage(placed, "placed")
-    return tree, placed
+    return tree, stage(placed, "placed")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int, target: float = TARGET) -> DataFrame:
@@ -223,33 +246,42 @@ def search(vectors: DataFrame, is_query: Column, k: int, target: float = TARGET)
     queries = index.where(is_query).dropDuplicates(["id", "v"])
     visits = calibrated(tree, queries, index, k, target)
 
-    # How many blocks a leaf's rows make; one line per leaf.
-    blocks = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    rows = index.join(F.broadcast(blocks), "leaf").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    group_of = tree.group
+    leaf_groups = index.sparkSession.createDataFrame([(n, int(g)) for n, g in enumerate(group_of.tolist()) if not tree.children[n]], "leaf long, group long")
+    rows = index.join(F.broadcast(leaf_groups), "leaf")  # one line per leaf, of which the sample bounds the number
+    # How many blocks a group's rows make, and how many parts its queries.
+    blocks = rows.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaves = [tree.visits(q, visits) for q in _arrow_matrix(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], names=["id", "v", "leaves"])
-
-    asked = queries.select("id", "v").mapInArrow(walk, "id long, v array<double>, leaves array<long>")
-    asked = stage(asked.select("id", "v", F.explode("leaves").alias("leaf")), "visits")
-    askers = asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
-    both = blocks.join(askers, "leaf")
-    # A leaf's queries meet each block of its rows, in parts: each side is sent once to every block of the other.
-    left = asked.join(F.broadcast(both), "leaf").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    left = left.select("leaf", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v")
-    right = rows.drop("blocks").join(F.broadcast(both.select("leaf", "parts")), "leaf")
-    right = right.select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "id", "v")
+            of, groups, leaves = [], [], []
+            for n, q in enumerate(_arrow_matrix(batch.column(1))):
+                seen: dict[int, list[int]] = {}
+                for leaf in tree.visits(q, visits):
+                    seen.setdefault(int(group_of[leaf]), []).append(leaf)
+                of += [n] * len(seen)
+                groups += seen
+                leaves += seen.values()
+            taken = batch.take(pa.array(of, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(groups, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))], names=["id", "v", "group", "leaves"])
+
+    asked = stage(queries.select("id", "v").mapInArrow(walk, "id long, v array<double>, group long, leaves array<long>"), "visits")
+    askers = asked.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
+    both = blocks.join(askers, "group")
+    # A group's queries meet each block of its rows, in parts: each side is sent once to every block of the other.
+    left = asked.join(F.broadcast(both), "group").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    left = left.select("group", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", "leaves")
+    right = rows.join(F.broadcast(both), "group").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    right = right.select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "id", "v", "leaf")
 
     def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(v):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         ids = q["id"].to_numpy()
-        i, found, s = _best(ids, np.stack(q["v"].to_numpy()), v["id"].to_numpy(), np.stack(v["v"].to_numpy()), k)
+        i, found, s = _best(ids, np.stack(q["v"].to_numpy()), v["id"].to_numpy(), np.stack(v["v"].to_numpy()), k, v["leaf"].to_numpy(), q["leaves"].tolist())
         return pd.DataFrame({"query_id": ids[i], "vec_id": found, "score": s})
 
-    keys = ["leaf", "part", "block"]
+    keys = ["group", "part", "block"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
     return _top(met, k).select("query_id", "rank", "vec_id", "score")
 
