@@ -173,7 +173,9 @@ def fit(corpus_lines: list[str]) -> Model:
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = FIT_DOCS) -> Model:
     """Fit with lines of at most `most` documents, those with the lowest hashes of their keys."""
-    few = docs.where(F.octet_length(text) <= FIT_BYTES).select(F.xxhash64(key).alias("h"), F.col(text).alias("t")).orderBy("h", "t").limit(most).collect()
+    short = docs.where(F.octet_length(text) <= FIT_BYTES).select(key, text)
+    ids = short.where(F.col(key).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(most)  # ids first: texts of each task's own lowest stay where they are
+    few = sorted(short.join(F.broadcast(ids), key).dropDuplicates([key]).select(F.xxhash64(key).alias("h"), F.col(text).alias("t")).collect())
     return fit([line for r in few for line in r["t"].split("\n") if words(line)])
 
 
