@@ -3,8 +3,9 @@
 `records` turns pages into WARC response records, laid out in files of `FILE_RECORDS`
 records each, with the byte offset of each record in its file. `tree` hashes records into
 the ordered offset ranges of a file (`RANGE_BYTES` each; a record belongs to the range in
-which it begins), ranges into files, and files, `FANOUT` at a time, up to one root. Only
-hashes are stored, by level.
+which it begins), ranges into files, and files, `FANOUT` at a time, up to one root. A
+range's hash covers the offsets and lengths of its records too, so ranges whose records
+are the same but lie elsewhere differ. Only hashes are stored, by level.
 
 `audit` compares the roots of two replicas and goes down one level at a time, comparing
 only the children of nodes that differ, to the records that are changed, moved (the same
@@ -52,9 +53,10 @@ def leaves(written: DataFrame) -> DataFrame:
     return hashed.withColumns({"offset": F.coalesce(F.sum("length").over(before), F.lit(0)), "copy": copy})
 
 
-def _joined(children: str, order: str) -> Column:
-    """Hash of children's hashes in order."""
-    return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, children))), lambda c: c[children]), "").cast("binary"), 256)
+def _joined(*children: str) -> Column:
+    """Hash of all the named columns of the children, in their order by the first of them."""
+    text = lambda c: F.concat_ws(":", *[c[name].cast("string") for name in children])
+    return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*children))), text), "/").cast("binary"), 256)
 
 
 def tree(found: DataFrame, label: str) -> list[DataFrame]:
@@ -62,10 +64,10 @@ def tree(found: DataFrame, label: str) -> list[DataFrame]:
     place = F.concat_ws("/", F.col("file").cast("string"), F.floor(F.col("offset") / RANGE_BYTES).cast("string"))
     base = found.withColumn("parent", place).withColumn("node", F.concat_ws("/", "file", F.coalesce(F.col("key").cast("string"), F.lit("-")), "copy"))
     levels = [stage(base, f"{label}-records")]
-    ranges = levels[0].groupBy(F.col("parent").alias("node"), "file").agg(_joined("hash", "offset").alias("hash"))
+    ranges = levels[0].groupBy(F.col("parent").alias("node"), "file").agg(_joined("offset", "length", "hash").alias("hash"))
     ranges = ranges.select("node", F.col("file").cast("string").alias("parent"), F.substring_index("node", "/", -1).cast("long").alias("place"), "hash")
     levels.append(stage(ranges, f"{label}-ranges"))
-    lower = levels[1].groupBy(F.col("parent").alias("node")).agg(_joined("hash", "place").alias("hash")).withColumn("place", F.col("node").cast("long"))
+    lower = levels[1].groupBy(F.col("parent").alias("node")).agg(_joined("place", "hash").alias("hash")).withColumn("place", F.col("node").cast("long"))
     return levels + [lower]
 
 
@@ -76,7 +78,7 @@ def upward(lower: DataFrame, depth: int, label: str) -> list[DataFrame]:
         up = F.floor(F.col("place") / FANOUT)
         own = stage(lower.select(F.col("place").cast("string").alias("node"), up.cast("string").alias("parent"), "place", "hash"), label)
         out.append(own)
-        lower = own.groupBy(F.col("parent").cast("long").alias("place")).agg(_joined("hash", "place").alias("hash"))
+        lower = own.groupBy(F.col("parent").cast("long").alias("place")).agg(_joined("place", "hash").alias("hash"))
     return out
 
 

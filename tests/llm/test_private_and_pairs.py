@@ -122,6 +122,16 @@ def test_audit_finds_each_damage(spark):
     assert fixity.audit(fixity.records(pages(spark, rows)), fixity.records(pages(spark, rows[::-1]))).count() == 0
 
 
+def test_audit_finds_all_that_one_byte_moves(spark):
+    rows = [(i, f"http://h/{i}", "x" * 2000, "s") for i in range(1500)]  # some eight ranges in a file
+    shorter = [(r[0], r[1], r[2][1:] if r[0] == 3 else r[2], r[3]) for r in rows]
+    got = fixity.audit(fixity.records(pages(spark, rows)), fixity.records(pages(spark, shorter))).collect()
+    assert [r["key"] for r in got if r["state"] == "changed"] == [3]
+    moved = [r for r in got if r["state"] == "moved"]
+    assert sorted(r["key"] for r in moved) == list(range(4, 1000)) and all(r["offset"] - r["other_offset"] == 1 for r in moved)
+    assert len(got) == 1 + len(moved)
+
+
 def test_audit_of_empty_replicas(spark):
     none, one = pages(spark, []), pages(spark, [(1, "u", "h", "s"), (900000, "u", "h", "s")])
     assert fixity.audit(fixity.records(none), fixity.records(none)).count() == 0
