@@ -9,7 +9,7 @@ calibrated on a part of the data that the fit has not seen.
 
 A prediction counts if it is a family with probability `LEAST` or more, and the paragraph
 holds at least `CONTAINED` of the word triples of one of that family's templates (pairs or words,
-for shorter ones) and one of the cue words. Lines without a cue word cannot be confirmed, so they are not scored.
+for shorter ones). Every paragraph that holds so much of any template is scored; no other could be confirmed.
 
 Cases: a null or empty text has no paragraphs and no licence; rows may repeat; null keys
 stay; an empty table gives an empty result (and the model is fitted on templates alone);
@@ -20,6 +20,7 @@ are scanned.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,6 +64,15 @@ TEMPLATES = {
     "CC0": ["Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work.", "Dedicated to the public domain under CC0."],
     "Proprietary": ["All rights reserved.", "Copyright 2020 Example Company. All rights reserved.", "This material may not be published, broadcast, rewritten or redistributed without permission."],
 }
+# Short names; each is granted by each of the verbs.
+NAMES = {
+    "MIT": ["MIT"], "Apache-2.0": ["Apache 2.0", "the Apache License 2.0"], "GPL-3.0": ["GPLv3", "the GNU GPLv3", "GPL-3.0"], "GPL-2.0": ["GPLv2", "the GNU GPLv2", "GPL-2.0"],
+    "LGPL": ["LGPLv2.1", "LGPLv3"], "AGPL-3.0": ["AGPLv3", "the GNU AGPLv3"], "BSD": ["BSD-3-Clause", "BSD-2-Clause"], "MPL-2.0": ["MPL 2.0"], "CC-BY": ["CC BY 4.0"], "CC-BY-SA": ["CC BY-SA 4.0"],
+    "CC-BY-NC": ["CC BY-NC 4.0"], "CC0": ["CC0"],
+}
+for _family, _names in NAMES.items():
+    _more = [f"{verb} under {name}." for name in _names for verb in ("Released", "Licensed", "Distributed", "Available")]
+    TEMPLATES[_family] += [t for t in _more if t not in TEMPLATES[_family]]
 # Sentences that talk about licences without granting one.
 OTHERS = [
     "She renewed her driving license last week.", "The licensing board met on Monday to discuss the new rules.", "A license is a permission to do something.", "Copyright law differs from country to country.",
@@ -70,6 +80,7 @@ OTHERS = [
     "Which license should I choose for my project?", "The software was redistributed to all offices.", "We compared the MIT License with the Apache License.", "Version 2.0 of the manual was published in May.",
     "The commons were used for grazing.", "The license fee rose by two per cent.", "Reserved seats can be collected at the door.", "Fishing without a licence is not permitted here.",
 ]
+# Lines with one of these do not serve the fit as examples of the unknown class.
 CUES = ["licen", "copyright", "rights reserved", "redistribut", "permission", "public domain", "spdx", "cc0", "source code form"]
 WORD = re.compile(r"[^\W_]+(?:[.'+][^\W_]+)*")
 
@@ -91,6 +102,28 @@ class Model:
     temperature: float
     templates: dict[str, list[set[tuple[str, ...]]]]
 
+    def __post_init__(self) -> None:
+        every = [t for own in self.templates.values() for t in own]
+        self.sizes = [len(t) for t in every]
+        self.holders: dict[tuple[str, ...], list[int]] = defaultdict(list)
+        for i, t in enumerate(every):
+            for g in t:
+                self.holders[g].append(i)
+        self.holders = dict(self.holders)
+        self.widths = sorted({len(g) for g in self.holders})
+
+    def met(self, own: list[str]) -> list[tuple[int, tuple[str, ...]]]:
+        """(place, n-gram) of the words' n-grams that templates are compared by, in order of places for each length."""
+        return [(i, g) for n in self.widths for i, g in enumerate(zip(*(own[k:] for k in range(n)))) if g in self.holders]
+
+    def holds(self, found: set[tuple[str, ...]]) -> bool:
+        """Whether these n-grams are `CONTAINED` of any template."""
+        counts: dict[int, int] = defaultdict(int)
+        for g in found:
+            for t in self.holders[g]:
+                counts[t] += 1
+        return any(n / self.sizes[t] >= CONTAINED for t, n in counts.items())
+
     def logits(self, own: list[str]) -> np.ndarray:
         out = self.weights[-1].copy()
         found = {self.places[g] for g in grams(own) if g in self.places} if not self.known.isdisjoint(own) else ()
@@ -100,10 +133,11 @@ class Model:
 
     def classify(self, line: str) -> tuple[str, float, float] | None:
         """(family, probability, share of a template held) of a paragraph whose prediction is confirmed."""
-        low = line.lower()
-        if not any(cue in low for cue in CUES):
+        return self.classify_words(words(line))
+
+    def classify_words(self, own: list[str]) -> tuple[str, float, float] | None:
+        if not self.holds({g for _, g in self.met(own)}):
             return None
-        own = words(line)
         z = self.logits(own) / self.temperature
         p = np.exp(z - z.max())
         p /= p.sum()
@@ -124,7 +158,10 @@ def fit(corpus_lines: list[str]) -> Model:
     families = [*TEMPLATES, UNKNOWN]
     vocabulary = sorted(set().union(*(grams(words(t)) for own in TEMPLATES.values() for t in own)))
     places = {g: i for i, g in enumerate(vocabulary)}
+    templates = {f: [grams_of(own, min(3, len(own))) for own in map(words, TEMPLATES[f])] for f in TEMPLATES}
+    gate = Model(places, set(), np.zeros((0, 0)), families, 1.0, templates)
     plain = [words(x) for x in corpus_lines if not any(c in x.lower() for c in CUES)]
+    plain = [own for own in plain if not gate.holds({g for _, g in gate.met(own)})]
     filler = [w for x in plain[:200] for w in x] or ["and"]
     rows: list[tuple[list[str], int]] = []
     for k, family in enumerate(TEMPLATES):
@@ -152,11 +189,12 @@ def fit(corpus_lines: list[str]) -> Model:
     w = np.zeros((x.shape[1], len(families)), dtype=np.float32)
     goal = np.eye(len(families), dtype=np.float32)[y[seen]]
     speed = np.zeros_like(w)
+    fitted = x[seen]
     for _ in range(STEPS):
-        z = x[seen] @ w
+        z = fitted @ w
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        speed = 0.9 * speed - RATE * (x[seen].T @ ((p - goal) * share[:, None]) + 1e-4 * w)
+        speed = 0.9 * speed - RATE * (fitted.T @ ((p - goal) * share[:, None]) + 1e-4 * w)
         w += speed
     z = x[~seen] @ w
 
@@ -166,7 +204,6 @@ def fit(corpus_lines: list[str]) -> Model:
         return float(-(s[np.arange(len(s)), y[~seen]] - np.log(np.exp(s).sum(1))).mean())
 
     temperature = min((0.1, 0.2, 0.3, 0.5, 0.7, 1.0, 1.5, 2.0), key=loss)
-    templates = {f: [grams_of(own, min(3, len(own))) for own in map(words, TEMPLATES[f])] for f in TEMPLATES}
     known = {w for g in vocabulary for w in g}
     return Model(places, known, w.astype(np.float64), families, temperature, templates)
 

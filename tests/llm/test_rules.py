@@ -154,6 +154,14 @@ def test_licences(spark, docs, odd, empty):
     assert licences.scan(empty, licences.train(empty)).count() == 0
 
 
+def test_every_template_is_found_on_its_own(spark, docs):
+    lines = [(line, family) for family, own in licences.TEMPLATES.items() for line in own]
+    lines += [("Released under GPLv3.", "GPL-3.0"), ("Available under CC BY-SA 4.0.", "CC-BY-SA"), ("Distributed under Apache 2.0.", "Apache-2.0"), ("The report was released under the old rules.", None)]
+    rows = spark.createDataFrame([(i, line) for i, (line, _) in enumerate(lines)], "doc_id int, text string")
+    got = {r["doc_id"]: [x["family"] for x in r["licences"]] for r in licences.scan(rows, licences.train(docs)).collect()}
+    assert [(line, got[i]) for i, (line, _) in enumerate(lines)] == [(line, [family] if family else []) for line, family in lines]
+
+
 def test_licence_lines_of_the_documents(docs):
     known = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC"}
     for r in licences.scan(docs, licences.train(docs)).join(docs, "doc_id").collect():
