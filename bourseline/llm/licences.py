@@ -1,6 +1,9 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line with a word. Features are the words, pairs and triples of words that
+A paragraph is a line with a word, and `n_paragraphs` counts the lines that are not blank. A notice wrapped over
+several lines is found in the run of neighbouring lines with words (comment marks aside): where
+a stretch of at most `STRETCH` times a template's words holds enough of it, the stretch is
+scored like a paragraph, and its span is the lines that it touches. Features are the words, pairs and triples of words that
 the templates hold (a sparse vector; others weigh nothing). A multinomial logistic
 regression over licence families and an unknown class is fitted on the templates with
 words left out, cut ends and words around them, against lines of a bounded sample of the corpus
@@ -20,7 +23,7 @@ are scanned.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,9 +36,11 @@ from bourseline.llm.byte_bpe import sliced
 
 FIT_DOCS, FIT_BYTES = 300, 32_768
 LEAST, CONTAINED = 0.5, 0.6
+STRETCH = 2  # words of a wrapped notice over those of its template, at most
 COPIES, STEPS, RATE, SEED = 40, 300, 0.5, 5
 UNKNOWN = "unknown"
 
+FSF = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
 # Short notices in common use, by family.
 TEMPLATES = {
     "MIT": [
@@ -50,9 +55,9 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.", "Licensed under the GPLv3.", "Released under the GNU GPL v3 or later.", "SPDX-License-Identifier: GPL-3.0-or-later",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GPLv2.", "SPDX-License-Identifier: GPL-2.0-only"],
-    "LGPL": ["Licensed under the GNU Lesser General Public License, version 2.1.", "Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-2.1-or-later"],
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GPLv2.", "SPDX-License-Identifier: GPL-2.0-only", FSF.format("General Public License", "2")],
+    "LGPL": ["Licensed under the GNU Lesser General Public License, version 2.1.", "Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-2.1-or-later", FSF.format("Lesser General Public License", "2.1"), FSF.format("Lesser General Public License", "3")],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only", FSF.format("Affero General Public License", "3")],
     "BSD": [
         "Released under the BSD License.", "Licensed under the 3-clause BSD license.", "Licensed under the 2-clause BSD license.", "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
@@ -82,6 +87,7 @@ OTHERS = [
 ]
 # Lines with one of these do not serve the fit as examples of the unknown class.
 CUES = ["licen", "copyright", "rights reserved", "redistribut", "permission", "public domain", "spdx", "cc0", "source code form"]
+MARK = re.compile(r"^\s*(?:dnl|rem|c)\s+(?=\S)", re.IGNORECASE)  # comment marks that are words; others are none
 WORD = re.compile(r"[^\W_]+(?:[.'+][^\W_]+)*")
 
 
@@ -105,6 +111,7 @@ class Model:
     def __post_init__(self) -> None:
         every = [t for own in self.templates.values() for t in own]
         self.sizes = [len(t) for t in every]
+        self.lengths = [len(t) + len(next(iter(t))) - 1 for t in every]
         self.holders: dict[tuple[str, ...], list[int]] = defaultdict(list)
         for i, t in enumerate(every):
             for g in t:
@@ -149,6 +156,73 @@ class Model:
         return (self.families[best], float(p[best]), share) if share >= CONTAINED else None
 
 
+    def stretches(self, found: list[tuple[int, tuple[str, ...]]]) -> list[tuple[int, int]]:
+        """First and last word of the stretches that hold enough of a template, from what `met` gives."""
+        own: dict[int, list[tuple[int, tuple[str, ...]]]] = defaultdict(list)
+        for i, g in found:
+            for t in self.holders[g]:
+                own[t].append((i, g))
+        out = set()
+        for t, places in own.items():
+            if len({g for _, g in places}) / self.sizes[t] < CONTAINED:
+                continue
+            most, inside, have = STRETCH * self.lengths[t], deque(), Counter()
+            for i, g in [*places, (None, None)]:
+                far = i is None or inside and i + len(g) - inside[0][0] > most
+                if len(have) / self.sizes[t] >= CONTAINED and (far or g in have):
+                    out.add((inside[0][0], inside[-1][0] + len(inside[-1][1]) - 1))
+                    inside.clear()
+                    have.clear()
+                if i is None:
+                    break
+                inside.append((i, g))
+                have[g] += 1
+                while i + len(g) - inside[0][0] > most or have[inside[0][1]] > 1:
+                    first = inside.popleft()[1]
+                    have[first] -= 1
+                    if not have[first]:
+                        del have[first]
+        return sorted(out)
+
+    def wrapped(self, run: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, tuple[str, float, float]]]:
+        """Start, end and prediction of the notices that go over several of the neighbouring lines (start, end, words)."""
+        own = [w for _, _, line in run for w in line]
+        line_of = [n for n, (_, _, line) in enumerate(run) for _ in line]
+        out = []
+        for first, last in self.stretches(self.met(own)):
+            a, b = line_of[first], line_of[last]
+            best = self.classify_words(own[first : last + 1]) if a < b else None
+            if best:
+                out.append((run[a][0], run[b][1], best))
+        return out
+
+    def spans(self, text: str) -> tuple[int, list[dict]]:
+        """How many lines are not blank, and the confirmed notices in order; those of a family that overlap are one."""
+        at, n, run, found = 0, 0, [], []
+        for line in [*text.split("\n"), ""]:
+            n += bool(line) and not line.isspace()
+            own = words(line)
+            if own:
+                best = self.classify_words(own)
+                found += [(at, at + len(line), best)] if best else []
+                mark = MARK.match(line)
+                run.append((at, at + len(line), words(line[mark.end() :]) if mark else own))
+            else:
+                found += self.wrapped(run) if len(run) > 1 else []
+                run = []
+            at += len(line) + 1
+        out: list[dict] = []
+        last: dict[str, dict] = {}
+        for start, end, (family, p, share) in sorted(found):
+            if family in last and start < last[family]["end"]:
+                same = last[family]
+                same.update(end=max(end, same["end"]), probability=max(p, same["probability"]), contained=max(share, same["contained"]))
+            else:
+                last[family] = {"start": start, "end": end, "family": family, "probability": p, "contained": share}
+                out.append(last[family])
+        return n, out
+
+
 def grams_of(own: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(own[i : i + n]) for i in range(len(own) - n + 1)}
 
@@ -226,14 +300,7 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
             for part in sliced(batch, 1):
                 counts, spans = [], []
                 for t in part.column(1).to_pylist():
-                    at, n, own = 0, 0, []
-                    for line in (t or "").split("\n"):
-                        if line and not line.isspace():
-                            n += 1
-                            found = model.classify(line)
-                            if found:
-                                own.append({"start": at, "end": at + len(line), "family": found[0], "probability": found[1], "contained": found[2]})
-                        at += len(line) + 1
+                    n, own = model.spans(t or "")
                     counts.append(n)
                     spans.append(own)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array(spans, kind)], names=[key, "n_paragraphs", "licences"])

@@ -2,6 +2,7 @@
 
 import collections
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -162,6 +163,24 @@ def test_every_template_is_found_on_its_own(spark, docs):
     assert [(line, got[i]) for i, (line, _) in enumerate(lines)] == [(line, [family] if family else []) for line, family in lines]
 
 
+def test_wrapped_notices(spark, docs):
+    texts, wants = [], []
+    for mark in ("", "# ", " * ", "// ", "dnl "):
+        for family, own in licences.TEMPLATES.items():
+            for notice in own:
+                if len(notice) > 75:
+                    lines = [mark + x for x in textwrap.wrap(notice, 50)]
+                    texts.append("\n".join(["é some words of a first line", mark.rstrip(), *lines, mark.rstrip(), "and a last line"]))
+                    wants.append([(family, "\n".join(lines))])
+    texts.append("It was licensed under the\nold rules of the town, and nobody read the license\nof the MIT museum.")
+    wants.append([])
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r for r in licences.scan(rows, licences.train(docs)).collect()}
+    for i, (text, want) in enumerate(zip(texts, wants)):
+        assert [(x["family"], text[x["start"] : x["end"]]) for x in got[i]["licences"]] == want, text
+        assert got[i]["n_paragraphs"] == sum(bool(x.strip()) for x in text.split("\n"))
+
+
 def test_licence_lines_of_the_documents(docs):
     known = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC"}
     for r in licences.scan(docs, licences.train(docs)).join(docs, "doc_id").collect():
