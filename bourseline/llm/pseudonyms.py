@@ -4,10 +4,11 @@ Candidates are found by one pattern, validated by kind, and replaced in place:
 
 * card numbers (13 to 19 digits, Luhn): the digits before the last are permuted, the check
   digit is worked out anew;
-* IBANs (mod 97): country kept, account permuted letter by letter and digit by digit, check
+* IBANs (the length that the country fixes, mod 97): country kept, account permuted letter by letter and digit by digit, check
   digits anew;
 * telephone numbers (8 to 15 digits with their country code, or ten in North American form):
-  the country code is kept;
+  the country code is kept, and the number ends where its country's numbers do (`NATIONAL`), or
+  before a date, an address or another number of the kinds here;
 * social security numbers: permuted among the valid ones;
 * IPv4 addresses: permuted among all of them;
 * dates from 1800 to 2199 (ISO, day and month in figures with a year, English month names):
@@ -37,15 +38,53 @@ ROUNDS = 8
 # Candidates by kind. Every pattern begins and ends at a border, and none has a capturing group.
 DIGIT_BEFORE, DIGIT_AFTER = r"(?<![0-9])", r"(?![0-9])"
 MONTHS = "(?:January|February|March|April|May|June|July|August|September|October|November|December)"
+IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
+DATE = DIGIT_BEFORE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{1,2} " + MONTHS + r" [0-9]{4})" + DIGIT_AFTER + "|" + MONTHS + r" [0-9]{1,2}, [0-9]{4}" + DIGIT_AFTER
+SSN = DIGIT_BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+CARD = DIGIT_BEFORE + r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})" + DIGIT_AFTER
+# Characters of an IBAN by country.
+IBANS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+# Figures after the country code, where a country has few lengths; other codes, and other lengths, may have 8 to 15 in all.
+NATIONAL = {
+    "44": (9, 10), "33": (9, 9), "34": (9, 9), "31": (9, 9), "32": (8, 9), "30": (10, 10), "36": (8, 9), "40": (9, 9), "41": (9, 9), "45": (8, 8), "47": (8, 8), "48": (9, 9), "351": (9, 9),
+    "380": (9, 9), "420": (9, 9), "421": (9, 9), "27": (9, 9), "52": (10, 10), "55": (10, 11), "61": (9, 9), "65": (8, 8), "86": (10, 11), "90": (10, 10), "91": (10, 10), "852": (8, 8), "972": (8, 9),
+}
+
+
+def _iban_of(n: int, codes: str) -> str:
+    fours, rest = divmod(n - 4, 4)
+    last = f" [A-Za-z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:(?: [A-Za-z0-9]{{4}}){{{fours}}}{last}|[A-Za-z0-9]{{{n - 4}}})"
+
+
+# A figure with the separator before it; none of a number begins another kind, once there are eight.
+_FIGURE = r"[ .-]?\(?[0-9]\)?"
+_APART = r"(?![ .-](?:" + "|".join([DATE, SSN, CARD, IP]) + "))"
+
+
+def _figures(least: int, most: int) -> str:
+    return rf"(?:{_FIGURE}){{{least}}}(?:{_APART}{_FIGURE}){{0,{most - least}}}{DIGIT_AFTER}"
+
+
+PHONE = (
+    r"(?<![0-9+])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|"
+    + "|".join(rf"\+{code}(?: ?\(0\))?{_figures(*span)}" for code, span in NATIONAL.items())
+    + rf"|\+[2-9][0-9]{_figures(6, 13)}"
+    + r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})" + DIGIT_AFTER
+)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "secret": r"""(?<=(?:token|key|secret|password)\s{0,3}[=:]\s{0,3}["'])[A-Za-z0-9_+/-]{16,64}(?=["'])""",
-    "iban": r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?:(?: [A-Za-z0-9]{4}){2,7}(?: [A-Za-z0-9]{1,3})?|[A-Za-z0-9]{11,30})(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9+])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[2-9][0-9]{1,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})" + DIGIT_AFTER,
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
-    "date": DIGIT_BEFORE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{1,2} " + MONTHS + r" [0-9]{4})" + DIGIT_AFTER + "|" + MONTHS + r" [0-9]{1,2}, [0-9]{4}" + DIGIT_AFTER,
-    "ssn": DIGIT_BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": DIGIT_BEFORE + r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})" + DIGIT_AFTER,
+    "iban": r"(?<![A-Za-z0-9])(?:" + "|".join(_iban_of(n, codes) for n, codes in IBANS.items()) + ")(?![A-Za-z0-9])",
+    "phone": PHONE,
+    "ip": IP,
+    "date": DATE,
+    "ssn": SSN,
+    "card": CARD,
 }
 # Capitals are accepted throughout: whole documents can be in capitals.
 ANY = "(?i)(?:" + "|".join(PATTERNS.values()) + ")"

@@ -53,6 +53,19 @@ def test_values_beside_each_other(spark):
     assert kinds == [["card", "card"], ["email", "phone", "ip"]]
 
 
+def test_values_before_short_words_and_other_kinds(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "AT61 1904 3002 3457 3201", "PL61 1090 1014 0000 0712 1981 2874", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]
+    phones = ["+44 20 7946 0958", "+49 30 123456", "+1 (017) 555-7713"]
+    others = {"date": "2024-05-06", "ip": "10.0.0.255", "card": "4111 1111 1111 1111", "ssn": "123-45-6789", "iban": ibans[0]}
+    rows = [(f"{v} {after}", v, [kind]) for kind, own in (("iban", ibans), ("phone", phones)) for v in own for after in ("is mine", "a b", "", "and so on")]
+    rows += [(f"{v} {other}", v, [kind, k]) for kind, own in (("iban", ibans), ("phone", phones)) for v in own for k, other in others.items()]
+    rows += [("+44 20 7946 0958 12 items", phones[0], ["phone"]), ("ES91 2100 0418 4502 0005 1332 12 34", ibans[0], ["iban"])]
+    new, kinds = replaced(spark, [text for text, _, _ in rows])
+    alone = dict(zip(ibans + phones, replaced(spark, ibans + phones)[0]))
+    for (text, value, want), got, own in zip(rows, new, kinds):
+        assert own == want and got.startswith(alone[value]) and alone[value] != value, (text, got, own)
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_pseudonyms_on_odd_rows(table, request):
     rows = request.getfixturevalue(table)
