@@ -2,12 +2,11 @@
 trusted target and the raw corpus. DataFrame functions only.
 
 Words and pairs of words fall into buckets by a 64-bit hash. The raw multinomial counts
-every document; the target multinomial counts a bounded sample of the documents that
-labels mark as good (`TRUSTED` of them, the lowest hashes of their ids) and is smoothed
-towards the raw one, so that a bucket the sample never met is evidence of a fixed size.
-A document's score is the mean ratio over its n-grams. The threshold is set once, from
-the scores of the sample and of as many documents that labels mark as bad, and holds for
-every document.
+every document; the target multinomial counts every document that labels mark as good and
+is smoothed towards the raw one, so that a bucket those never met is evidence of a fixed
+size. A document's score is the mean ratio over its n-grams. The threshold is set once,
+from the scores of all labelled documents (approximate percentiles), and holds for every
+document.
 
 Scoring needs no shuffle: the weights (one number per bucket) reach the tasks as one
 array of fixed size.
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from bourseline.sources.storage import stage
 
 BUCKETS = 1 << 16
-TRUSTED = 10_000  # labelled documents of each kind that the fit takes at most
+RANKS = 100_000  # percentiles are right to one part in so many ranks
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
@@ -81,15 +80,22 @@ def n_grams(words: Column) -> Column:
     return F.concat(single, pairs)
 
 
+def labelled(labels: DataFrame, quality: int, key: str) -> DataFrame:
+    """All ids with that label."""
+    return labels.where((F.col("quality") == quality) & F.col(key).isNotNull()).select(key).distinct()
+
+
 def sample_of(labels: DataFrame, quality: int, most: int, key: str) -> DataFrame:
     """At most `most` ids with that label."""
-    own = labels.where((F.col("quality") == quality) & F.col(key).isNotNull()).select(key).distinct()
+    own = labelled(labels, quality, key)
     return own.orderBy(F.xxhash64(key), key).limit(most)
 
 
 def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row with `weights`: for each bucket the logarithm of target over raw probability."""
-    marked = docs.select(key, text).join(F.broadcast(trusted.withColumn("_trusted", F.lit(1))), key, "left")
+    plain, flag = docs.select(key, text), F.lit(1).alias("_trusted")
+    marked = plain.where(F.col(key).isNotNull()).join(trusted.select(key, flag), key, "left")
+    marked = marked.unionByName(plain.where(F.col(key).isNull()).withColumn("_trusted", F.lit(None).cast("int")))
     grams = marked.select("_trusted", F.explode(_one(words_of(text), n_grams)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target"))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
@@ -122,27 +128,27 @@ def threshold(docs: DataFrame, fitted: DataFrame, good: DataFrame, bad: DataFram
     """One row with `threshold`: half way from the score that only one good document in 200 stays below
     to the median of the bad ones, or just that low score if the bad ones are not below it."""
     both = good.withColumn("good", F.lit(True)).unionByName(bad.withColumn("good", F.lit(False)))
-    known = scored(docs.select(key, text).join(F.broadcast(both), key), fitted, text).where(F.col("n_words") >= LEAST_WORDS)
-    low = F.percentile(F.when(F.col("good"), F.col("score")), 0.005)
-    middle = F.percentile(F.when(~F.col("good"), F.col("score")), 0.5)
+    known = scored(docs.select(key, text).join(both, key), fitted, text).where(F.col("n_words") >= LEAST_WORDS)
+    low = F.percentile_approx(F.when(F.col("good"), F.col("score")), 0.005, RANKS)
+    middle = F.percentile_approx(F.when(~F.col("good"), F.col("score")), 0.5, RANKS)
     return known.groupBy().agg(low.alias("low"), middle.alias("middle")).select(
         F.coalesce((F.col("low") + F.least("middle", "low")) / 2, F.lit(-1e300)).alias("threshold")
     )
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = TRUSTED) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: `key`, `n_words`, the four base counts, `base_failed`, `score`, `threshold`, `kept`."""
-    return _judged(docs.select(key, text), labels, key, text, most).drop(text)
+    return _judged(docs.select(key, text), labels, key, text).drop(text)
 
 
-def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = TRUSTED) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that are kept, with all their columns."""
     whole = docs.select(key, text, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    return _judged(whole, labels, key, text, most).where("kept").select("_row.*")
+    return _judged(whole, labels, key, text).where("kept").select("_row.*")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, key: str, text: str, most: int) -> DataFrame:
-    good, bad = (sample_of(labels, q, most, key) for q in (1, 0))
+def _judged(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
+    good, bad = (labelled(labels, q, key) for q in (1, 0))
     plain = docs.select(key, text)
     fitted = stage(weights(plain, good, key, text), "weights")
     limit = stage(threshold(plain, fitted, good, bad, key, text), "threshold")

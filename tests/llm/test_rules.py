@@ -60,6 +60,20 @@ def test_rules_separate_the_labels(docs, labels):
     assert share[1] > 0.99 and share.get(0, 0) < 0.3
 
 
+def test_target_counts_every_good_label(spark):
+    rows = [(i, "old words") for i in range(10_050)] + [(-1, "rare words " * 10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = quality_rules.judge(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    texts = docs.select("text", quality_rules._one(quality_rules.words_of("text"), quality_rules.n_grams).alias("g")).collect()
+    size = quality_rules.BUCKETS
+    raw = np.bincount([g for r in texts for g in r["g"]], minlength=size)
+    p = (raw + 1) / (raw.sum() + size)
+    want = np.log((raw + size * p) / (raw.sum() + size) / p)  # all are good, so the target is the raw corpus
+    scores = dict(got.select("doc_id", "score").collect())
+    assert np.isclose(scores[0], want[texts[0]["g"]].mean(), rtol=1e-9) and np.isclose(scores[-1], want[texts[-1]["g"]].mean(), rtol=1e-9)
+
+
+
 def test_rules_without_labels(docs, labels):
     assert quality_rules.judge(docs, labels.limit(0)).where("kept = base_failed").count() == 0
 
