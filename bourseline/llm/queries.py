@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the pipeline, and the SQL of those that SQL can express."""
+"""The registered queries of the dealt operators and the pipeline, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import ann, byte_bpe, fixity, language, licences, minhash, packing, pseudonyms, quality_cnn, quality_rules
+from bourseline.llm import ann, byte_bpe, fixity, language, licences, minhash, packing, pseudonyms, quality_cnn, quality_rules, resampling
 
 
 PSEUDONYM_KEY = "a key of the test tables"  # a real corpus takes its own from where secrets are kept
@@ -85,7 +85,17 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op8_licences, op9_fixity, op10_minhash)}
+def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    found = resampling.resample(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), percent=10, seed=2024, least_words=20)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_ALL = (
+    op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op8_licences, op9_fixity, op10_minhash,
+    op13_resampling,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+
 _RECORDS = """SELECT page_id // 1000 AS file, page_id AS key, strlen(record) AS length, sha256(record) AS hash
   FROM (SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:sha256:'
     || sha256(page_id::VARCHAR || chr(10) || url) || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
@@ -103,4 +113,29 @@ SELECT coalesce(a.file, b.file) AS file, coalesce(a.key, b.key) AS key, CAST(coa
   a."offset" AS "offset", a.length AS length, a.hash AS hash, b."offset" AS other_offset, b.length AS other_length, b.hash AS other_hash
 FROM a FULL JOIN b ON a.file = b.file AND a.key = b.key AND a.copy = b.copy
 WHERE a.hash IS NULL OR b.hash IS NULL OR a.hash <> b.hash OR a."offset" <> b."offset" """,
+    "op13_resampling": r"""WITH RECURSIVE bits AS (
+  SELECT i, i::UBIGINT AS v, 0 AS round FROM range(256) AS t(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END, round + 1 FROM bits WHERE round < 8
+), crc AS (SELECT list(v ORDER BY i) AS step FROM bits WHERE round = 8),
+split AS (
+  SELECT doc_id, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM (SELECT doc_id, text, row_number() OVER () AS id FROM documents UNION ALL SELECT NULL, text, NULL FROM benchmark)
+), met AS (SELECT doc_id, id, unnest(words) AS word FROM split),
+buckets AS (
+  SELECT word, xor(list_reduce(list_transform(range(0, strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::UBIGINT),
+    lambda c, b: xor(c >> 8, step[(xor(c & 255, b) + 1)::BIGINT]), 4294967295::UBIGINT), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM met) CROSS JOIN crc
+), counted AS (
+  SELECT bucket, count(id)::DOUBLE AS s, (count(*) - count(id))::DOUBLE AS t FROM met JOIN buckets USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM counted
+), weighed AS (
+  SELECT d.doc_id, d.id, count(g.gain) AS n_features, CASE WHEN count(g.gain) = 0 THEN 0 ELSE floor(sum(g.gain) / count(g.gain)) END::BIGINT AS weight
+  FROM (SELECT doc_id, id FROM split WHERE id IS NOT NULL) d LEFT JOIN met m ON m.id = d.id LEFT JOIN buckets b ON b.word = m.word LEFT JOIN gains g ON g.bucket = b.bucket
+  GROUP BY d.doc_id, d.id
+), scored AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM weighed
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= floor(10 * n / 100) THEN place END AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)""",
 }
