@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import ann, byte_bpe, fixity, language, licences, minhash, packing, pseudonyms, quality_cnn, quality_rules, resampling
+from bourseline.llm import ann, byte_bpe, fixity, language, licences, minhash, packing, pseudonyms, quality_cnn, quality_rules, resampling, whitening
 
 
 PSEUDONYM_KEY = "a key of the test tables"  # a real corpus takes its own from where secrets are kept
@@ -85,6 +85,11 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    rows = whitening.on_grid(_table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return whitening.whiten(rows, whitening.train(rows, components=16), "vec_id")
+
+
 def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
     found = resampling.resample(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), percent=10, seed=2024, least_words=20)
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -92,7 +97,7 @@ def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
 
 _ALL = (
     op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op8_licences, op9_fixity, op10_minhash,
-    op13_resampling,
+    op12_whitening, op13_resampling,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
