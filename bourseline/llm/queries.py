@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourseline.llm import ann, byte_bpe, fixity, language, licences, minhash, packing, pseudonyms, quality_cnn, quality_rules, resampling, whitening
+from bourseline.llm import ann, byte_bpe, fixity, language, licences, minhash, packing, pseudonyms, quality_cnn, quality_rules, resampling, toxicity, whitening
 
 
 PSEUDONYM_KEY = "a key of the test tables"  # a real corpus takes its own from where secrets are kept
@@ -85,6 +85,13 @@ def op10_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
+def op11_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    scored = toxicity.score(docs, toxicity.train(docs, labels.where(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
     rows = whitening.on_grid(_table(spark, sf, "embeddings"), "vec_id", "embedding")
     return whitening.whiten(rows, whitening.train(rows, components=16), "vec_id")
@@ -97,7 +104,7 @@ def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
 
 _ALL = (
     op1_packing, op2_quality_cnn, op3_pseudonyms, op4_ann, op5_language, op6_quality_rules, op7_byte_bpe, op8_licences, op9_fixity, op10_minhash,
-    op12_whitening, op13_resampling,
+    op11_toxicity, op12_whitening, op13_resampling,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
