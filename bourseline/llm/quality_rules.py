@@ -9,11 +9,12 @@ from the scores of all labelled documents (approximate percentiles), and holds f
 document.
 
 Scoring needs no shuffle: the weights (one number per bucket) reach the tasks as one
-array of fixed size.
+array of fixed size. Texts are sent to the labels once, for the target's counts, and only
+those whose ids pass a filter of fixed size; the threshold sends ids and scores.
 
 Cases: a null or empty text has no words, null score, and fails the base rules; a text
 with fewer than eight words has no windows; rows with null or repeated keys are judged
-each for itself; without labels the target equals the raw corpus, all scores are zero and
+each for itself; a key labelled good and bad counts as both; without labels the target equals the raw corpus, all scores are zero and
 only the base rules reject; an empty table gives an empty result; only the named columns
 are read, so extra columns cannot clash; whole texts of any length are judged.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from bourseline.sources.storage import stage
 
 BUCKETS = 1 << 16
+MARKS = 1 << 18  # numbers of 64 bits that tell which ids may be trusted, 2 MB in all
 RANKS = 100_000  # percentiles are right to one part in so many ranks
 WINDOW = 8
 LEAST_WORDS = 20
@@ -91,14 +93,35 @@ def sample_of(labels: DataFrame, quality: int, most: int, key: str) -> DataFrame
     return own.orderBy(F.xxhash64(key), key).limit(most)
 
 
+def _marks(ids: DataFrame, key: str) -> DataFrame:
+    """One row with `marks`: `MARKS` numbers whose bits tell which hashes of ids occur. Its size is fixed; the more ids
+    there are, the more other ids pass, and none of the ids is ever missed."""
+    place = F.pmod(F.xxhash64(key), F.lit(64 * MARKS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    words = ids.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = ids.sparkSession.range(MARKS).withColumnRenamed("id", "word").join(words.hint("merge"), "word", "left").na.fill(0)
+    return every.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("marks"))
+
+
+def _marked(key: str, marks: DataFrame) -> Column:
+    place = F.pmod(F.xxhash64(key), F.lit(64 * MARKS))
+    word = F.get(marks.select("marks").scalar(), F.shiftright(place, 6).cast("int"))
+    return F.getbit(word, F.pmod(place, F.lit(64)).cast("int")) == 1
+
+
 def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row with `weights`: for each bucket the logarithm of target over raw probability."""
-    plain, flag = docs.select(key, text), F.lit(1).alias("_trusted")
-    marked = plain.where(F.col(key).isNotNull()).join(trusted.select(key, flag), key, "left")
-    marked = marked.unionByName(plain.where(F.col(key).isNull()).withColumn("_trusted", F.lit(None).cast("int")))
-    grams = marked.select("_trusted", F.explode(_one(words_of(text), n_grams)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target"))
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
+    """One row with `weights`: for each bucket the logarithm of target over raw probability. The raw counts need no join;
+    the join of the target sends only texts whose ids are marked."""
+    plain = docs.select(key, text)
+    marks = stage(_marks(trusted.select(key), key), "marks")
+    good = plain.where(F.col(key).isNotNull() & _marked(key, marks)).join(trusted.select(key).hint("merge"), key, "left_semi")
+
+    def counts(rows: DataFrame, name: str) -> DataFrame:
+        grams = rows.select(F.explode(_one(words_of(text), n_grams)).alias("bucket"))
+        return stage(grams.groupBy("bucket").agg(F.count("*").alias(name)), name)
+
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    every = every.join(counts(plain, "raw"), "bucket", "left").join(counts(good, "target"), "bucket", "left").na.fill(0)
     row = every.groupBy().agg(
         F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"),
         F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("all"),
@@ -110,8 +133,9 @@ def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
 
 def scored(docs: DataFrame, fitted: DataFrame, text: str = "text", **more) -> DataFrame:
     """`docs` with `n_words`, `score` (the mean weight of the n-grams, null without words) and `more`
-    (name = function of the words). The words are split once and the weights named once, inside the
-    function of the words: so they stay one shared array and no row ever holds them."""
+    (name = function of the words and of the text). The words are split once and the weights named once, inside the
+    function of the words: so they stay one shared array and no row ever holds them. The results come out of a
+    generator of one row, so that a filter on one of them does not work them out again."""
 
     def of(words: Column) -> Column:
         total = F.aggregate(n_grams(words), F.lit(0.0), lambda s, g: s + F.get("_weights", g))
@@ -121,14 +145,15 @@ def scored(docs: DataFrame, fitted: DataFrame, text: str = "text", **more) -> Da
         )
 
     weighed = docs.withColumn("_weights", fitted.select("weights").scalar()).withColumn("_of_words", _one(words_of(text), of))
-    return weighed.select(*docs.columns, "_of_words.*")
+    return weighed.select(*[F.col(f"`{c}`") for c in docs.columns], F.inline(F.array("_of_words")))
 
 
-def threshold(docs: DataFrame, fitted: DataFrame, good: DataFrame, bad: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def threshold(measured: DataFrame, good: DataFrame, bad: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row with `threshold`: half way from the score that only one good document in 200 stays below
-    to the median of the bad ones, or just that low score if the bad ones are not below it."""
+    to the median of the bad ones, or just that low score if the bad ones are not below it. `measured` has `key`,
+    `n_words` and `score`; nothing else is sent to the labels. An id with both labels counts on both sides."""
     both = good.withColumn("good", F.lit(True)).unionByName(bad.withColumn("good", F.lit(False)))
-    known = scored(docs.select(key, text).join(both, key), fitted, text).where(F.col("n_words") >= LEAST_WORDS)
+    known = measured.where((F.col("n_words") >= LEAST_WORDS) & F.col(key).isNotNull()).select(key, "score").join(both.hint("merge"), key)
     low = F.percentile_approx(F.when(F.col("good"), F.col("score")), 0.005, RANKS)
     middle = F.percentile_approx(F.when(~F.col("good"), F.col("score")), 0.5, RANKS)
     return known.groupBy().agg(low.alias("low"), middle.alias("middle")).select(
@@ -138,28 +163,30 @@ def threshold(docs: DataFrame, fitted: DataFrame, good: DataFrame, bad: DataFram
 
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: `key`, `n_words`, the four base counts, `base_failed`, `score`, `threshold`, `kept`."""
-    return _judged(docs.select(key, text), labels, key, text).drop(text)
+    return _judged(docs.select(key, text), labels, key, text, [key])
 
 
 def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that are kept, with all their columns."""
     whole = docs.select(key, text, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    return _judged(whole, labels, key, text).where("kept").select("_row.*")
+    return _judged(whole, labels, key, text, [key, "_row"]).where("kept").select("_row.*")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, key: str, text: str, columns: list[str]) -> DataFrame:
+    """The columns of `docs` named in `columns`, with the measures of the text and the verdict. Each text is measured
+    once and the measures are stored with those columns: the threshold and the verdict come from them."""
     good, bad = (labelled(labels, q, key) for q in (1, 0))
-    plain = docs.select(key, text)
-    fitted = stage(weights(plain, good, key, text), "weights")
-    limit = stage(threshold(plain, fitted, good, bad, key, text), "threshold")
+    fitted = stage(weights(docs, good, key, text), "weights")
     rows = scored(docs, fitted, text, word_chars=lambda w: F.length(F.array_join(w, "")), n_repeat_words=repeated_words)
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.select(
-        *docs.columns, "n_words", "word_chars",
+        *columns, "n_words", "word_chars",
         F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         _one(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         "n_repeat_words", "score",
-        limit.select("threshold").scalar().alias("threshold"),
     )
+    rows = stage(rows, "measured")
+    limit = stage(threshold(rows, good, bad, key), "threshold")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.col("threshold")))
+    rows = rows.withColumn("threshold", limit.select("threshold").scalar()).withColumn("base_failed", failed)
+    return rows.withColumn("kept", ~failed & (F.col("score") >= F.col("threshold")))
