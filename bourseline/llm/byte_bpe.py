@@ -36,6 +36,12 @@ WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0
 SHORT = "stmd"
 LONG = ["re", "ve", "ll"]
 
+# The letters and numbers that Unicode 16.0, the version of the published encoders, has over 15.1, the
+# version of Python 3.13's tables.
+LETTERS_OF_16 = """1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7
+    113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0"""
+NUMBERS_OF_16 = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+
 LETTER, NUMBER, OTHER, GAP = 0, 1, 2, 3
 # Symbols beyond the classes: an apostrophe before a contraction of one or two
 # letters, the last blank or other white space of a run, white space before more
@@ -93,8 +99,14 @@ def _machine() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
-    """The class of every code point."""
+    """The class of every code point, by Unicode 16.0."""
+    if unicodedata.unidata_version not in ("15.1.0", "16.0.0"):
+        raise RuntimeError(f"classes of Unicode 16.0 cannot be made from tables of {unicodedata.unidata_version}")
     out = np.full(0x110000, OTHER, dtype=np.uint8)
+    for spans, kind in ((LETTERS_OF_16, LETTER), (NUMBERS_OF_16, NUMBER)):
+        for span in spans.split():
+            first, _, last = span.partition("-")
+            out[int(first, 16) : int(last or first, 16) + 1] = kind
     for c in range(0x110000):
         kind = unicodedata.category(chr(c))[0]
         if kind == "L":
