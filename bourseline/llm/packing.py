@@ -6,8 +6,9 @@
    so far, and counts of equal packs move together as packing patterns.
 3. `assign` ranks the pieces of each length and joins the ranks back to the patterns.
 
-Ranks need no group in one task: pieces are counted per (length, chunk of the stored
-table), the counts are summed up per length, and rows are ranked inside their chunk.
+Ranks need no group in one task, and ids are never sent: each task numbers the pieces of a
+length as it writes them, the counts by (length, task) are summed up over tasks, and each
+stored row meets its own task's sums in a join on buckets by task.
 
 Cases: a null text is an empty text; every document ends with the end id, so each has a
 piece; null or repeated keys are rows like any other; an empty table gives no rows; only
@@ -19,24 +20,25 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourseline.llm.byte_bpe import sliced
-from bourseline.sources.storage import stage
+from bourseline.sources.storage import stage, stage_buckets
 
 SIZE = 2048
 END_ID = 1
-CACHED = 400_000  # words of a generation
+CACHED = 250_000  # words of a generation
 LONGEST_CACHED = 64  # bytes
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-CHUNK_BITS = 14  # 16,384 stored rows of a partition make a chunk
 
 
 class Words:
@@ -105,7 +107,8 @@ class Words:
 
 
 def _tail(word: bytes) -> bytes:
-    """The ASCII punctuation at a word's end, if a letter or an ASCII figure stands before it. There the tokenizer always
+    """The ASCII punctuation at a word's end, if a letter or an ASCII figure stands before it and is still the last character
+    there once the tokenizer has composed and lowered it (some end in a mark then). There the tokenizer always
     begins a new piece, and no piece of letters or figures reaches over it, so both parts have ids of their own."""
     head = word.rstrip(PUNCTUATION)
     if not head or len(head) == len(word):
@@ -113,7 +116,12 @@ def _tail(word: bytes) -> bytes:
     last = head[-1]
     if last < 0x80:
         return word[len(head) :] if head[-1:].isalnum() else b""
-    return word[len(head) :] if head.decode("utf-8", "surrogatepass")[-1].isalpha() else b""
+    return word[len(head) :] if _ends_in_letter(head.decode("utf-8", "surrogatepass")[-1]) else b""
+
+
+@lru_cache(maxsize=4096)
+def _ends_in_letter(character: str) -> bool:
+    return character.isalpha() and unicodedata.normalize("NFC", character).lower()[-1].isalpha()
 
 
 @lru_cache(maxsize=1)
@@ -121,13 +129,38 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
-def tokenize(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
+class Numbers:
+    """Numbers of the pieces of each length, as a task meets them."""
+
+    def __init__(self) -> None:
+        self.part = TaskContext.get().partitionId()
+        self.so_far: dict[int, int] = {}
+
+    def columns(self, lengths: np.ndarray) -> list[pa.Array]:
+        """`_pack_part`, the task, and `_pack_in`, how many pieces of the length came before in it."""
+        own = np.empty(len(lengths), dtype=np.int64)
+        order = np.argsort(lengths, kind="stable")
+        kinds, begins, counts = np.unique(lengths[order], return_index=True, return_counts=True)
+        for length, begin, count in zip(kinds.tolist(), begins.tolist(), counts.tolist()):
+            before = self.so_far.get(length, 0)
+            own[order[begin : begin + count]] = np.arange(before, before + count)
+            self.so_far[length] = before + count
+        return [pa.array(np.full(len(own), self.part, dtype=np.int64)), pa.array(own)]
+
+
+NUMBERED = ["_pack_part", "_pack_in"]
+
+
+def tokenize(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID, key: str = "doc_id", text: str = "text", numbered: bool = False) -> DataFrame:
     """Pieces of the documents: `key`, `start` (ids of the document before the piece), `length`,
-    `ids` (little-endian unsigned 32-bit) and `doc_tokens` (ids of the document with its end id)."""
+    `ids` (little-endian unsigned 32-bit) and `doc_tokens` (ids of the document with its end id); with `numbered` also
+    the numbers that `assign` needs, which it would else take in a pass of its own."""
     end = np.array([end_id], dtype="<u4").tobytes()
+    more = NUMBERED if numbered else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(path)
+        numbers = Numbers()
         for batch in batches:
             for part in sliced(batch, 1):
                 rows, starts, ids, totals = [], [], [], []
@@ -139,19 +172,21 @@ def tokenize(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID,
                         starts.append(at // 4)
                         ids.append(own[at : at + 4 * size])
                         totals.append(len(own) // 4)
+                lengths = np.array([len(i) // 4 for i in ids], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(rows, pa.int64())),
                         pa.array(starts, pa.int64()),
-                        pa.array([len(i) // 4 for i in ids], pa.int64()),
+                        pa.array(lengths),
                         pa.array(ids, pa.binary()),
                         pa.array(totals, pa.int64()),
+                        *(numbers.columns(lengths) if numbered else []),
                     ],
-                    names=[key, "start", "length", "ids", "doc_tokens"],
+                    names=[key, "start", "length", "ids", "doc_tokens", *more],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long")
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long" + "".join(f", {c} long" for c in more))
 
 
 def patterns(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -212,25 +247,40 @@ def _slots(found: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarr
     return {length: np.array(r, dtype=np.int64) for length, r in rows.items()}
 
 
-def assign(pieces: DataFrame, size: int = SIZE) -> DataFrame:
-    """`pieces` with `sequence_id` and `offset`. The rows are stored once, so that their ranks
-    stay the same when tasks run again. Uses the column `length`; names that begin with `_pack_` are reserved."""
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """`pieces` with `_pack_part` and `_pack_in`."""
     names = pieces.columns
-    stored = stage(pieces.withColumn("_pack_row", F.monotonically_increasing_id()), "pieces")
-    stored = stored.withColumn("_pack_chunk", F.shiftright("_pack_row", CHUNK_BITS))
-    histogram = {r["length"]: r["n"] for r in stored.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `size` rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
+        for batch in batches:
+            lengths = np.asarray(batch.column(names.index("length")))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *numbers.columns(lengths)], names=[*names, *NUMBERED])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    return pieces.mapInArrow(run, schema + ", _pack_part long, _pack_in long")
+
+
+def assign(pieces: DataFrame, size: int = SIZE) -> DataFrame:
+    """`pieces` with `sequence_id` and `offset`. The rows are stored once, in buckets by the task that wrote them, so that their
+    ranks stay the same when tasks run again, and meet their task's offsets without being sent anywhere. Uses the column
+    `length`; names that begin with `_pack_` are reserved. Numbered pieces must all be there."""
+    names = [c for c in pieces.columns if c not in NUMBERED]
+    stored = stage_buckets(pieces if set(NUMBERED) <= set(pieces.columns) else _numbered(pieces), "pieces", "_pack_part")
+    counted = stage(stored.groupBy("length", "_pack_part").agg(F.count("*").alias("_pack_n"), F.max("_pack_in").alias("_pack_last")), "lengths")
+    if not counted.where("_pack_n != _pack_last + 1").isEmpty():
+        raise ValueError("pieces were numbered, and then some left out or repeated")
+    histogram = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("_pack_n").alias("n")).collect()}  # at most `size` rows
     slots = _slots(patterns(histogram, size))
 
-    before = Window.partitionBy("_pack_length").orderBy("_pack_group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = stored.groupBy(F.col("length").alias("_pack_length"), F.col("_pack_chunk").alias("_pack_group")).agg(F.count("*").alias("_pack_n"))
-    groups = groups.select("_pack_length", "_pack_group", F.coalesce(F.sum("_pack_n").over(before), F.lit(0)).alias("_pack_before"))
-    inside = Window.partitionBy("length", "_pack_chunk").orderBy("_pack_row")
-    ranked = (
-        stored.withColumn("_pack_in", F.row_number().over(inside))
-        .join(groups, (F.col("length") == F.col("_pack_length")) & (F.col("_pack_chunk") == F.col("_pack_group")))
-        .withColumn("_pack_rank", F.col("_pack_before") + F.col("_pack_in") - 1)
-    )
-    ranked = ranked.select(*names, "_pack_rank")
+    # For each task the ranks that its first pieces of every length have; a length has one row for each task.
+    before = Window.partitionBy("length").orderBy("_pack_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counted.withColumn("_pack_before", F.coalesce(F.sum("_pack_n").over(before), F.lit(0)))
+    of_part = firsts.groupBy("_pack_part").agg(F.map_from_entries(F.collect_list(F.struct("length", "_pack_before"))).alias("m"))
+    of_part = of_part.select("_pack_part", F.transform(F.sequence(F.lit(0), F.lit(size)), lambda i: F.element_at("m", i.cast("long"))).alias("_pack_firsts"))
+    of_part = stage(of_part, "firsts")
+    rank = F.get("_pack_firsts", F.col("length").cast("int")) + F.col("_pack_in")
+    ranked = stored.join(of_part.hint("shuffle_hash"), "_pack_part").select(*[F.col(f"`{c}`") for c in names], rank.alias("_pack_rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -17,8 +17,8 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = packing.tokenize(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    pieces = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    pieces = packing.tokenize(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), numbered=True)
+    pieces = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", *packing.NUMBERED)
     return packing.assign(pieces)
 
 

@@ -99,12 +99,24 @@ def test_patterns_use_up_the_histogram_and_waste_little():
     assert packing.patterns({}) == [] and packing.patterns({5: 3}, 5) == [(3, [(5, 1)])]
 
 
-def test_ranks_over_small_chunks(spark, monkeypatch):
-    monkeypatch.setattr(packing, "CHUNK_BITS", 2)
-    rows = spark.range(500).selectExpr("id doc_id", "id % 3 + 1 length").repartition(4)
+def test_ranks_over_many_tasks(spark):
+    rows = spark.range(500).selectExpr("id doc_id", "id % 3 + 1 length").repartition(23)
     assert check_packing(packing.assign(rows, 16).collect(), 16) > 0.99
 
 
+def test_numbered_pieces_must_all_be_there(docs):
+    pieces = packing.tokenize(docs, WORDS, numbered=True)
+    assert check_packing(packing.assign(pieces).collect(), packing.SIZE) > 0.9
+    with pytest.raises(ValueError, match="left out"):
+        packing.assign(pieces.where("doc_id % 2 = 0"))
+
+
+def test_pieces_are_not_exchanged(spark, docs):
+    """Only the tasks' sums move; the stored pieces are read where they lie."""
+    plan = packing.assign(packing.tokenize(docs, WORDS, numbered=True))._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
 def test_words_with_punctuation_are_encoded_like_texts():
     rnd = random.Random(6)
     letters = "abs'tdm1é中́²_.,!*|-"
@@ -115,3 +127,48 @@ def test_words_with_punctuation_are_encoded_like_texts():
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
     words.old, words.young = words.young, {}
     assert words.ids([t.encode() for t in texts]) == got
+
+
+def test_every_code_point_has_the_encoders_class():
+    """A vocabulary whose only merges join a figure, a letter or a mark to the first byte after it tells which piece a character is in."""
+    ranks = {bytes([b]): b for b in range(256)}
+    for lead in b"a1!":
+        for b in range(128, 256):
+            ranks[bytes([lead, b])] = len(ranks)
+    probe = tiktoken.Encoding("probe", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    leads = {"a": byte_bpe.LETTER, "1": byte_bpe.NUMBER, "!": byte_bpe.OTHER}
+    classes = byte_bpe._classes()
+    for c in [*range(0x80, 0xD800), *range(0xE000, 0x110000)]:
+        joined = [kind for lead, kind in leads.items() if probe.encode_ordinary(lead + chr(c))[0] >= 256]
+        assert joined == [kind for kind in leads.values() if kind == classes[c]], hex(c)
+
+
+def test_characters_new_to_unicode_16(plain):
+    words = byte_bpe.vocabulary(BYTES)
+    for c in "\U000105e7Ᲊ\U00010d4a\U00010d40\U000116d0\U000143fa":
+        for text in (f"a{c}{c}a", f"1{c} {c}!", f"'s{c}  {c}"):
+            assert words.encode(byte_bpe.pieces([text])[0]).tolist() == plain.encode_ordinary(text)
+
+
+def test_punctuation_after_every_code_point():
+    """Words are encoded apart from the punctuation at their ends; the ids must be those of the whole."""
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    own = packing.Words(WORDS)
+    every = [chr(c) for c in [*range(0x21, 0xD800), *range(0xE000, 0x110000)] if not chr(c).isspace() and (chr(c).isalnum() or c % 64 == 0)]
+    for at in range(0, len(every), 20_000):
+        texts = [f"{c}. a{c}!" for c in every[at : at + 20_000]]
+        want = [np.array(e.ids, dtype="<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+        got = own.ids([t.encode() for t in texts])
+        assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
+def test_random_texts_with_letters_that_end_in_marks():
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    rnd = random.Random(9)
+    letters = "İı.,!'s aé́̇क़Σς1ǰﬁ-"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 25))) for _ in range(30_000)]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = packing.Words(WORDS).ids([t.encode() for t in texts])
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
