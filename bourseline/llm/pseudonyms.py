@@ -24,8 +24,9 @@ other half. A permutation can map a value to itself, with a chance of one over t
 of values of that format.
 
 Cases: a null text stays null, an empty one empty; rows and values may repeat; an empty
-table gives an empty result; only the named columns are read, so extra columns cannot
-clash; whole texts of any length are searched.
+table gives an empty result; extra columns pass through and cannot clash (one that has the
+name asked for the list of values must be renamed, or no list be asked for); whole texts of
+any length are searched.
 """
 
 from __future__ import annotations
@@ -217,12 +218,15 @@ def _iban(v: Column, key: str) -> Column:
 
 
 def _phone(v: Column, key: str) -> Column:
+    # A zero in brackets after the country code is dialled inside the country alone: no part of the value.
+    form = F.regexp_replace(v, r"^(\+[0-9]{2,3} ?)\(0\)", "$1\u0001")
+
     def of(bare: Column) -> Column:
         code = F.when(v.startswith("+1"), 1).when(v.startswith("+"), 2).otherwise(0)
         new = F.concat(F.substring(bare, F.lit(1), code), permuted_text(F.substring(bare, code + 1, F.length(bare)), key, "phone"))
-        return F.when(F.length(bare).between(8, 15), refilled(v, new))
+        return F.when(F.length(bare).between(8, 15), F.replace(refilled(form, new), F.lit("\u0001"), F.lit("(0)")))
 
-    return _one(_bare(v), of)
+    return _one(_bare(form), of)
 
 
 def _ssn(v: Column, key: str) -> Column:
@@ -242,7 +246,13 @@ def _ssn(v: Column, key: str) -> Column:
 def _ip(v: Column, key: str) -> Column:
     def of(parts: Column) -> Column:
         number = F.aggregate(parts, F.lit(0).cast("bigint"), lambda s, p: s * 256 + p.cast("bigint"))
-        written = lambda n: F.concat_ws(".", *[F.pmod(F.shiftright(n, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
+
+        def written(n: Column) -> Column:
+            """Zeros before a figure are written again, as many as fill the old width."""
+            fresh = [F.pmod(F.shiftright(n, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)]
+            old = [F.get(parts, F.lit(i)) for i in range(4)]
+            return F.concat_ws(".", *[F.when(o.rlike("^0."), F.lpad(f, F.greatest(F.length(f), F.length(o)), F.lit("0"))).otherwise(f) for f, o in zip(fresh, old)])
+
         return F.when(F.forall(parts, lambda p: p.cast("int") <= 255), _one(permuted_number(number, 65536, 65536, key, "ip"), written))
 
     return _one(F.split(v, r"\."), of)
@@ -299,14 +309,17 @@ def replaced(candidate: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """`docs` with its text replaced, and `pii`: the kind and pseudonym of each value, in order."""
-    found = F.when(F.col(text).rlike("[0-9@\"']"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    with_found = docs.withColumn("_found", F.coalesce(found, F.array().cast("array<string>")))
-    new = with_found.withColumn("_new", F.transform("_found", lambda c: replaced(c, key)))
-    between = F.split(F.col(text), ANY)
-    values = F.concat(F.transform("_new", lambda n: n["value"]), F.array(F.lit("")))
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", pii: str | None = "pii") -> DataFrame:
+    """`docs` with its text replaced, and the column `pii` (none if null): the kind and pseudonym of each value, in order.
+    The rows travel as one structure beside the text, so that no column of theirs meets a name used here."""
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = F.when(F.col("text").rlike("[0-9@\"']"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    rows = rows.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
+    rows = rows.withColumn("new", F.transform("found", lambda c: replaced(c, key)))
+    between = F.split("text", ANY)
+    values = F.concat(F.transform("new", lambda n: n["value"]), F.array(F.lit("")))
     whole = F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")
-    kept = F.filter("_new", lambda n: n["kind"].isNotNull())
-    columns = [F.when(F.size("_found") > 0, whole).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return new.select(*columns, kept.alias("pii"))
+    kept = F.filter("new", lambda n: n["kind"].isNotNull())
+    own = F.when(F.size("found") > 0, whole).otherwise(F.col("text"))
+    columns = [own.alias(text) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
+    return rows.select(*columns, *([kept.alias(pii)] if pii else []))

@@ -53,6 +53,14 @@ def test_values_beside_each_other(spark):
     assert kinds == [["card", "card"], ["email", "phone", "ip"]]
 
 
+def test_equal_values_in_other_forms_stay_linked(spark):
+    new, kinds = replaced(spark, ["+49 (0) 30 123456", "+49 30 123456", "+49 (0)30 123456", "010.001.001.001", "10.1.1.1", "10.01.1.1"])
+    assert kinds == [["phone"]] * 3 + [["ip"]] * 3
+    assert new[0].replace("(0) ", "") == new[1] == new[2].replace("(0)", "") and "(0)" in new[0] and new[1] != "+49 30 123456"
+    assert [int(x) for x in new[3].split(".")] == [int(x) for x in new[4].split(".")] == [int(x) for x in new[5].split(".")]
+    assert [len(x) for x in new[3].split(".")] == [3, 3, 3, 3] and not any(len(x) > 1 and x[0] == "0" for x in new[4].split("."))
+
+
 def test_values_before_short_words_and_other_kinds(spark):
     ibans = ["ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "AT61 1904 3002 3457 3201", "PL61 1090 1014 0000 0712 1981 2874", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]
     phones = ["+44 20 7946 0958", "+49 30 123456", "+1 (017) 555-7713"]
@@ -164,6 +172,22 @@ def test_stages_keep_the_columns(spark, odd):
     assert corpus_pipeline.packed(spark, docs, SF).count() >= docs.count()
 
 
+NAMES = "id hash row host text_hash other its place pii _id _hash _found _new _place found new _row _weights _of_words n_words score threshold kept band component".split()
+
+
+def test_no_column_of_the_documents_meets_an_inner_name(spark, docs):
+    mail = "write to jo.smith@example.com or +49 30 123456 "
+    rows = docs.limit(40).withColumn("text", F.concat(F.lit(mail), "text")).select("*", *[F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in NAMES])
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        kept = step(spark, rows, SF)
+        assert kept.columns == rows.columns
+        data = kept.collect()
+        assert data and all(r[n] == f"{n}-{r['doc_id']}" for r in data for n in NAMES)
+        rows = spark.createDataFrame(data, rows.schema)
+    assert not any("jo.smith" in str(v) or "30 123456" in str(v) for r in data for v in r)
+    assert corpus_pipeline.packed(spark, rows, SF).count() >= len(data)
+
+
 def test_pipeline(spark, docs):
     """Each stage against the operator's own verdict on its input, and the tokens against the texts that were left."""
     left = docs
@@ -192,5 +216,5 @@ def test_empty_corpus(spark, empty):
 def test_every_operator_has_a_query():
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
