@@ -24,17 +24,24 @@ from bourseline.sources.storage import stage
 PSEUDONYM_KEY = "a key of the test tables"  # a real corpus takes its own from where secrets are kept
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """`id`, `text`, `hash` (of the text) and `row`: all columns as one structure, so that none meets another name."""
+    return docs.select(
+        F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("hash"), F.col("source").alias("host"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    )
+
+
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the source counts as the host."""
     model = language.train(docs)
     if model is None:
         return docs
+    rows = _rows(docs)
     # The text's hash tells rows apart that share an id.
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", F.col("source").alias("host"))
-    found = language.identify(rows, model, ["doc_id", "text_hash"])
-    rejected = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return docs.join(rejected, same, "left_anti")
+    found = language.identify(rows.select("id", "hash", "text", "host"), model, ["id", "hash"])
+    rejected = found.where(~F.col("kept")).select(F.col("id").alias("other"), F.col("hash").alias("its")).distinct()
+    same = F.col("id").eqNullSafe(F.col("other")) & (F.col("hash") == F.col("its"))
+    return rows.join(rejected, same, "left_anti").select("row.*")
 
 
 def worthwhile(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,22 +51,25 @@ def worthwhile(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    named = docs.where("doc_id IS NOT NULL")
-    found = minhash.near_duplicates(named, words=5)
-    copies = found.where(~F.col("kept")).select("doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    single = named.join(copies, "doc_id", "left_anti").withColumn("_place", place).where("_place = 1").select(*[f"`{c}`" for c in docs.columns])
-    return single.unionByName(docs.where("doc_id IS NULL"))
+    rows = _rows(docs)
+    named = rows.where("id IS NOT NULL")
+    found = minhash.near_duplicates(named.select("id", "text"), words=5, key="id")
+    copies = found.where(~F.col("kept")).select("id").distinct()
+    # Of the rows that share an id one stays; the limit by rank comes before the exchange, which the join uses again.
+    content = F.to_json("row") if "map<" in docs.schema.simpleString() else F.col("row")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("hash", F.xxhash64(content)))
+    single = named.select("id", "hash", "row").withColumn("place", place).where("place = 1").join(copies, "id", "left_anti")
+    return single.select("row.*").unionByName(rows.where("id IS NULL").select("row.*"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms in place of personal data."""
-    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY).select(*[f"`{c}`" for c in docs.columns])
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, pii=None)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences: `doc_id`, `start`, `length`, `ids`, `doc_tokens`, `sequence_id`, `offset`."""
-    return packing.assign(packing.tokenize(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.assign(packing.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"), numbered=True))
 
 
 STAGES = [
