@@ -1,15 +1,8 @@
-"""Row-ordered operators: fills, rolling frames, lags and de-duplication.
-
-How skew is handled. A (stock, date) pair may hold any number of copies (the same
-day loaded from many files), and one plan serves every size:
-
-* keep-first/keep-last is ``row_number() = 1``. Spark limits each group on the map
-  side (WindowGroupLimit), so a hot key sends one row per input task.
-* `recent_copies` keeps the newest rows of a (stock, date) that a rolling frame can
-  reach, limited in the same way, and adds what older copies knew by an aggregate.
-  What is left of a stock is bounded by the trading calendar, not by the data.
-* `previous_row` orders rows by ranges that split hot keys, takes lags inside a range,
-  and orders only the edge rows of ranges over their key.
+"""Row-ordered operators on small groups: de-duplication, top rows, values of the next stock.
+
+Keep-first and keep-last are ``row_number() = 1``. Spark limits each group on the map side
+(WindowGroupLimit), so a hot key sends one row per input task. Fills, rolling frames and lags
+over keys of any size are in `ranges`.
 """
 
 from __future__ import annotations
@@ -43,53 +36,6 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def first_name(c: str) -> str:
-    return f"_first_{c}"
-
-
-def recent_copies(df: DataFrame, stock: str, date: str, load_seq: str, fill: Sequence[str], reach: int) -> DataFrame:
-    """The newest `reach` rows of each (stock, date). The oldest of them stands in for all older ones:
-    it takes the last value these knew for each column of `fill`, and `_first_<column>` the first.
-
-    Exact for frames of up to `reach` rows that end at a date's last row, and for prices carried
-    forward or backward: a frame never sees an older copy, and whatever older copies knew is filled in.
-    """
-    newest = top_per_group(df, [stock, date], [F.col(load_seq).desc()], reach)
-    cut = newest.groupBy(stock, date).agg(F.min(load_seq).alias("_cut"), F.count(F.lit(1)).alias("_n"))
-    cut = cut.filter(F.col("_n") == reach).select(F.col(stock).alias("_s"), F.col(date).alias("_d"), "_cut")
-    older = df.join(cut, F.col(stock).eqNullSafe(F.col("_s")) & F.col(date).eqNullSafe(F.col("_d")) & (F.col(load_seq) < F.col("_cut")))
-
-    def known(pick, c: str) -> Column:
-        return pick(F.when(F.col(c).isNotNull(), F.struct(load_seq, c)))[c]
-
-    sums = [known(F.max, c).alias(f"_last_{c}") for c in fill] + [known(F.min, c).alias(f"_old_{c}") for c in fill]
-    knew = older.groupBy("_s", "_d", "_cut").agg(*sums)
-    same = F.col(stock).eqNullSafe(F.col("_s")) & F.col(date).eqNullSafe(F.col("_d")) & (F.col(load_seq) == F.col("_cut"))
-    joined = newest.join(knew, same, "left")
-    firsts = [F.coalesce(f"_old_{c}", c).alias(first_name(c)) for c in fill]
-    return joined.select(*[F.coalesce(c, f"_last_{c}").alias(c) if c in fill else F.col(c) for c in df.columns], *firsts)
-
-
-def stock_window(stock: str, date: str, load_seq: str):
-    """The one window of all rolling work: a single shuffle and sort by stock."""
-    return W.partitionBy(stock).orderBy(date, load_seq)
-
-
-def carry_forward(df: DataFrame, w, stock: str, cols: Sequence[str]) -> DataFrame:
-    """Last known value per stock; leading gaps take the stock's first known value
-    (also when `recent_copies` dropped its row). Rows without a stock code stay unfilled.
-    """
-    running = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-
-    def filled(c: str) -> Column:
-        first = first_name(c) if first_name(c) in df.columns else c
-        known = F.coalesce(F.last(c, ignorenulls=True).over(running), F.first(first, ignorenulls=True).over(whole))
-        return F.when(F.col(stock).isNotNull(), known)
-
-    return df.withColumns({c: filled(c) for c in cols}).drop(*[first_name(c) for c in cols])
-
-
 def next_stock_values(df: DataFrame, stock: str, date: str, load_seq: str, cols: Sequence[str]) -> DataFrame:
     """For each stock the value an ungrouped back fill would leak into it: the
     first known value of the next stock, in code order, that has one.
@@ -127,47 +73,6 @@ def fill_from_next_stock(df: DataFrame, leaks: DataFrame, stock: str, cols: Sequ
     return joined.withColumns({c: F.coalesce(c, f"_leak_{c}") for c in cols}).drop(*[f"_leak_{c}" for c in cols])
 
 
-def rolling_sum(c: Column, w, rows: int) -> Column:
-    return F.sum(c).over(w.rowsBetween(1 - rows, W.currentRow))
-
-
-def is_last_of_date(w, date: str) -> Column:
-    """True on the last row of each date, in the order of `w`: the keep-last rule
-    without another sort."""
-    following = F.lead(date).over(w)
-    return following.isNull() | (following != F.col(date))
-
-
-def previous_row(df: DataFrame, keys: Sequence[str], date: str, load_seq: str, cols: dict[str, str]) -> DataFrame:
-    """Add the previous row's values per key (`cols`: source -> new name), in
-    (date, load position) order, copies of a date included.
-
-    Rows are dealt by ranges of (key, date, load position), which split a hot key however its
-    positions lie. Inside a range a lag does; a range's first row of a key needs the last row of the
-    range before, so only edge rows, at most two per range and key, are ordered over the whole key.
-    """
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartitionByRange(ranges, *keys, date, load_seq).withColumn("_range", F.spark_partition_id())
-    inside = W.partitionBy("_range", *keys).orderBy(date, load_seq)
-    over_key = W.partitionBy(*keys).orderBy(date, load_seq)
-    packed = F.struct(*[F.col(s).alias(n) for s, n in cols.items()])
-    rows = rows.withColumns(
-        {
-            "_head": F.row_number().over(inside) == 1,
-            "_tail": F.lead(F.lit(1)).over(inside).isNull(),
-            "_prev": F.lag(packed).over(inside),
-        }
-    )
-    heads = (
-        rows.filter(F.col("_head") | F.col("_tail"))
-        .withColumn("_prev", F.lag(packed).over(over_key))
-        .filter("_head")
-    )
-    both = rows.filter(~F.col("_head")).unionByName(heads)
-    return both.select(*df.columns, *[F.col("_prev")[n].alias(n) for n in cols.values()])
-
-
 def first_date(df: DataFrame, keys: Sequence[str], date: str, name: str) -> DataFrame:
     """Earliest date per key on every row: a partial aggregate joined back, so a
     hot key is never gathered and AQE may split its rows."""

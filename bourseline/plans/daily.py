@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bourseline import schemas
 from bourseline.functions import dates, numbers, rules, text
 from bourseline.functions.rules import DEFAULTS, Thresholds
-from bourseline.operators import windows
+from bourseline.operators import ranges, windows
 from bourseline.operators.frames import has_width, keep_existing, rename, with_date
 from bourseline.operators.joins import latest
 
@@ -21,9 +21,16 @@ HORIZONS = (1, 7, 14, 30, 90)
 # ---- intake ----------------------------------------------------------------
 
 
-def sheet_records(rows: DataFrame, headers: list[str]) -> DataFrame:
-    """Data rows of exactly the heading's width, named by the heading, as text."""
+def sheet_headings(rows: DataFrame) -> list[str]:
+    """The heading of all sheets: row 0 of the first one in load order. One row comes to the driver."""
+    first = rows.filter(F.col("row_idx") == 0).orderBy(SEQ, "file_name").select("cells").first()
+    return list(first["cells"]) if first else []
+
+
+def sheet_records(rows: DataFrame, headers: list[str] | None = None) -> DataFrame:
+    """Data rows of exactly the heading's width, named by the heading (that of the first sheet, if none is given), as text."""
     cells = F.col("cells")
+    headers = sheet_headings(rows) if headers is None else headers
     named = [F.try_element_at(cells, F.lit(i + 1)).alias(h.strip()) for i, h in enumerate(headers)]
     return (
         rows.filter((F.col("row_idx") > 0) & has_width(cells, len(headers)))
@@ -61,25 +68,37 @@ def foreign_values(df: DataFrame) -> DataFrame:
 # ---- indicators ------------------------------------------------------------
 
 
+ORDER = [DATE, SEQ]
+
+
+class Ranges:
+    """Dated rows dealt by ranges of (stock, date, load position), with what crosses the borders of ranges."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.prices = [c for c in schemas.PRICES if c in rows.columns]
+        self.rows = ranges.deal(rows, [STOCK], ORDER)
+        self.ends = ranges.ends(self.rows, STOCK)
+        self.spans = ranges.spans(self.rows, self.ends, STOCK, ORDER, self.prices)
+        self.edges = ranges.edges(self.spans, STOCK, self.prices)
+        self.all = ranges.with_edges(self.rows, self.edges)
+
+    def filled(self, rows: DataFrame, backfill: str) -> DataFrame:
+        """Some of the rows, by whole stocks of a range, with their gaps filled."""
+        out = ranges.carried(rows, STOCK, ORDER, self.prices)
+        if backfill == "next_stock":
+            leaks = windows.next_stock_values(self.rows, STOCK, DATE, SEQ, self.prices)
+            out = windows.fill_from_next_stock(out, leaks, STOCK, self.prices)
+        return out.fillna(0, subset=[c for c in schemas.VOLUMES if c in out.columns])
+
+
 def fill_gaps(rows: DataFrame, backfill: str = "own") -> DataFrame:
     """Prices carried forward per stock, then backward; missing volumes are 0. All dated rows stay.
 
     `backfill`: "own" uses the stock's own first price; "next_stock" also lets a
     stock without any price take the next stock's, as an ungrouped back fill does.
     """
-    rows = rows.na.drop(subset=[DATE])
-    return _filled(rows, rows, backfill)
-
-
-def _filled(held: DataFrame, rows: DataFrame, backfill: str) -> DataFrame:
-    """Fill the rows that are held; `rows` are all, for what stocks without a price take."""
-    prices = [c for c in schemas.PRICES if c in rows.columns]
-    volumes = [c for c in schemas.VOLUMES if c in rows.columns]
-    filled = windows.carry_forward(held, windows.stock_window(STOCK, DATE, SEQ), STOCK, prices)
-    if backfill == "next_stock":
-        leaks = windows.next_stock_values(rows, STOCK, DATE, SEQ, prices)
-        filled = windows.fill_from_next_stock(filled, leaks, STOCK, prices)
-    return filled.fillna(0, subset=volumes)
+    dealt = Ranges(rows.na.drop(subset=[DATE]))
+    return dealt.filled(dealt.all, backfill).select(*rows.columns)
 
 
 def derive(df: DataFrame) -> DataFrame:
@@ -95,26 +114,19 @@ def derive(df: DataFrame) -> DataFrame:
     ).withColumn("tpxv", c("typical_price") * c("volume"))
 
 
-def roll(df: DataFrame) -> DataFrame:
+ROLLED = {"_tpxv": ("tpxv", SHORT), "_volume": ("volume", SHORT), "_order20": ("avg_order_volume", SHORT), "_order50": ("avg_order_volume", LONG)}
+
+
+def roll(df: DataFrame, halo: DataFrame) -> DataFrame:
     """20- and 50-row frames per stock. Rows without a stock code get no averages."""
     c = F.col
-    w = windows.stock_window(STOCK, DATE, SEQ)
 
     def per_stock(value: Column) -> Column:
         return F.when(c(STOCK).isNotNull(), value)
 
-    # Volumes hold no nulls here, so a frame's mean is its sum over its row count.
-    sums = df.withColumns(
-        {
-            "_row": F.row_number().over(w),
-            "_tpxv": windows.rolling_sum(c("tpxv"), w, SHORT),
-            "_volume": windows.rolling_sum(c("volume"), w, SHORT),
-            "_order20": windows.rolling_sum(c("avg_order_volume"), w, SHORT),
-            "_order50": windows.rolling_sum(c("avg_order_volume"), w, LONG),
-            "_last": windows.is_last_of_date(w, DATE),
-        }
-    )
+    sums = ranges.rolled(df, halo, STOCK, ORDER, ROLLED)
 
+    # Volumes hold no nulls here, so a frame's mean is its sum over its row count.
     def mean(total: str, rows: int) -> Column:
         return per_stock(c(total) / F.least(c("_row"), F.lit(rows)))
 
@@ -126,7 +138,7 @@ def roll(df: DataFrame) -> DataFrame:
             "ma20_avg_order_volume": mean("_order20", SHORT),
             "ma50_avg_order_volume": mean("_order50", LONG),
         }
-    ).drop("_row", "_tpxv", "_volume", "_order20", "_order50")
+    ).drop("_row", *ROLLED)
 
 
 def flags(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
@@ -149,14 +161,17 @@ def flags(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 
 def indicators(rows: DataFrame, t: Thresholds = DEFAULTS, backfill: str = "own") -> DataFrame:
     """All rows in, one row per (stock, date) out: the last loaded copy wins, but
-    the copies before it do count inside the rolling frames, as far as these reach."""
-    rows = rows.na.drop(subset=[DATE])
-    prices = [c for c in schemas.PRICES if c in rows.columns]
-    held = windows.recent_copies(rows, STOCK, DATE, SEQ, prices, LONG)
-    df = roll(derive(_filled(held, rows, backfill)))
+    the copies before it do count inside the rolling frames."""
+    dealt = Ranges(rows.na.drop(subset=[DATE]))
+    # The rows before a border that frames beyond it reach; stocks inside a range have none.
+    near = dealt.all.where(F.col(STOCK).eqNullSafe(F.col("_tail")) & F.col("_next").isNotNull())
+    tails = ranges.reaching(derive(dealt.filled(near, backfill)), STOCK, ORDER, LONG - 1)
+    halo = ranges.halo(tails, dealt.spans, STOCK, ["tpxv", "volume", "avg_order_volume"], LONG - 1)
+    df = roll(derive(dealt.filled(dealt.all, backfill)), halo)
+    df = ranges.drop_edges(df.withColumn("_last", ranges.last_of(df, STOCK, ORDER)).filter("_last").drop("_last"))
     if "foreign_buy_value" not in df.columns:
         df = foreign_values(df)
-    return flags(df, t).filter("_last").drop("_last")
+    return flags(df, t)
 
 
 def publish(df: DataFrame) -> DataFrame:

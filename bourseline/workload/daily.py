@@ -210,25 +210,32 @@ add(
 add("pipe_daily_publish", published, f"WITH {PUBLISHED} SELECT * FROM pub", ["trading_date"])
 
 
+def sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Closes known only on days with a foreign sale; suppliers whose number divides by five have no high at all."""
+    rows = A.trades(spark, sf).withColumns({p: F.when(F.col("foreign_sell") > 0, F.col(p)) for p in ["high", "low", "close"]})
+    return rows.withColumn("high", F.when(F.substring("stock_code", 2, 9).cast("int") % 5 != 0, F.col("high")))
+
+
 def back_filled(spark: SparkSession, sf: str) -> DataFrame:
-    """Closes known only on days with a foreign sale, filled both ways."""
-    rows = A.trades(spark, sf).withColumns(
-        {p: F.when(F.col("foreign_sell") > 0, F.col(p)) for p in ["high", "low", "close"]}
-    )
-    w = windows.stock_window("stock_code", "trading_date", "load_seq")
-    filled = D.fill_gaps(rows).withColumn("_last", windows.is_last_of_date(w, "trading_date"))
-    return filled.filter("_last").select(*KEY, "high", "low", "close")
+    """Filled both ways, each stock from its own prices."""
+    return windows.keep_last(D.fill_gaps(sparse(spark, sf)), KEY, ["load_seq"]).select(*KEY, "high", "low", "close")
+
+
+def leaking(spark: SparkSession, sf: str) -> DataFrame:
+    """Filled as by an ungrouped back fill: a stock without any price takes the next stock's."""
+    return windows.keep_last(D.fill_gaps(sparse(spark, sf), "next_stock"), KEY, ["load_seq"]).select(*KEY, "high", "low", "close")
 
 
 _bfill = ", ".join(
     f"COALESCE(last_value({c} IGNORE NULLS) OVER run, first_value({c} IGNORE NULLS) OVER whole) AS {c}" for c in ["high", "low", "close"]
 )
+_SPARSE = f"""{TRADES},
+gaps AS (SELECT stock_code, trading_date, load_seq, CASE WHEN foreign_sell > 0 AND CAST(substr(stock_code, 2) AS INTEGER) % 5 <> 0 THEN high END AS high,
+                CASE WHEN foreign_sell > 0 THEN low END AS low, CASE WHEN foreign_sell > 0 THEN close END AS close FROM trades)"""
 add(
     "win_bfill",
     back_filled,
-    f"""WITH {TRADES},
-gaps AS (SELECT stock_code, trading_date, load_seq, CASE WHEN foreign_sell > 0 THEN high END AS high,
-                CASE WHEN foreign_sell > 0 THEN low END AS low, CASE WHEN foreign_sell > 0 THEN close END AS close FROM trades),
+    f"""WITH {_SPARSE},
 f AS (SELECT stock_code, trading_date, {_bfill},
              row_number() OVER (PARTITION BY stock_code, trading_date ORDER BY load_seq DESC) AS from_end
       FROM gaps
@@ -238,6 +245,19 @@ f AS (SELECT stock_code, trading_date, {_bfill},
 SELECT stock_code, trading_date, high, low, close FROM f WHERE from_end = 1""",
     ["trading_date"],
 )
+_forward = ", ".join(f"last_value({c} IGNORE NULLS) OVER (PARTITION BY stock_code ORDER BY trading_date, load_seq ROWS UNBOUNDED PRECEDING) AS {c}" for c in ["high", "low", "close"])
+_onward = ", ".join(f"first_value({c} IGNORE NULLS) OVER onward AS {c}" for c in ["high", "low", "close"])
+add(
+    "win_bfill_next_stock",
+    leaking,
+    f"""WITH {_SPARSE},
+run AS (SELECT stock_code, trading_date, load_seq, {_forward} FROM gaps),
+f AS (SELECT stock_code, trading_date, {_onward}, row_number() OVER (PARTITION BY stock_code, trading_date ORDER BY load_seq DESC) AS from_end
+      FROM run
+      WINDOW onward AS (ORDER BY stock_code, trading_date, load_seq ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT stock_code, trading_date, high, low, close FROM f WHERE from_end = 1""",
+    ["trading_date"],
+)
 
 # ---- row functions on raw trades ----------------------------------------------
 

@@ -6,11 +6,12 @@ from datetime import date, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bourseline import schemas
 from bourseline.functions.rules import Thresholds
-from bourseline.operators import windows
+from bourseline.operators import ranges
 from bourseline.plans import daily as D
 
 NUMBERS = ["high", "low", "close", "previous", "open_price", "bid", "offer", "change", "volume", "value", "bid_volume",
@@ -101,13 +102,32 @@ def test_indicators_match_the_model(spark, sparse, backfill):
     assert (rows["signal"] == rows["signal_w"]).all()
 
 
-@pytest.mark.parametrize("step", [1, 1 << 28])
-def test_copies_beyond_the_reach_leave_what_they_knew(spark, step):
-    data = [("A", date(2024, 1, 2), i * step, *[None if i > 2 else float(i)] * len(NUMBERS)) for i in range(1000)]
-    keys = ("stock_code", "trading_date", "load_seq", ["close"], 5)
-    rows = windows.recent_copies(spark.createDataFrame(data, SCHEMA), *keys).orderBy("load_seq").collect()
-    assert [r["load_seq"] for r in rows] == [i * step for i in range(995, 1000)]
-    assert [(r["close"], r["_first_close"]) for r in rows] == [(2.0, 0.0)] + [(None, None)] * 4
+def test_ranges_split_a_hot_stock(spark):
+    """A million rows of one stock, most of them of one day: no range holds more than its share, and the fill is the window's."""
+    n = 1_000_000
+    known = F.when(F.col("id") % 50_021 == 49_000, F.col("id").cast("double"))
+    rows = spark.range(n).select(
+        F.lit("A").alias("stock_code"), F.when(F.col("id") < 200_000, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int"))).otherwise(F.lit("2025-01-01").cast("date")).alias("trading_date"),
+        F.col("id").alias("load_seq"), known.alias("close"), F.lit(1.0).alias("volume"),
+    )
+    sizes = [r["count"] for r in ranges.deal(rows, ["stock_code"], D.ORDER).groupBy("_range").count().collect()]
+    assert sum(sizes) == n and max(sizes) < 3 * n / len(sizes) and len(sizes) > 16
+    w = W.partitionBy("stock_code").orderBy("trading_date", "load_seq")
+    plain = F.coalesce(F.last("close", True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.first("close", True).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    of = lambda df: df.agg(F.count("close"), F.sum(F.xxhash64("load_seq", "close").cast("decimal(38,0)"))).first()[:]
+    assert of(D.fill_gaps(rows)) == of(rows.withColumn("close", plain))
+
+
+def test_frames_reach_over_many_small_ranges(spark, monkeypatch):
+    """More ranges than a frame has rows: halos come from many ranges before."""
+    monkeypatch.setattr(ranges, "RANGES_PER_PARTITION", 60)
+    data = make(3, hot=900)
+    got = D.indicators(spark.createDataFrame(data, SCHEMA), LOW).toPandas()
+    want = model(data, leak=False)
+    both = got.merge(want, on=["stock_code", "trading_date"], how="outer", suffixes=("", "_w"))
+    assert len(got) == len(want) == len(both)
+    for a, b in {"close": "close_w", "vwma_20d": "vwma", "ma20_volume": "mav", "ma20_avg_order_volume": "ma20", "ma50_avg_order_volume": "ma50"}.items():
+        np.testing.assert_allclose(both[a].astype(float), both[b].astype(float), rtol=1e-9, err_msg=a)
 
 
 def test_fill_gaps_keeps_all_rows(spark):
@@ -120,7 +140,7 @@ def test_fill_gaps_keeps_all_rows(spark):
 def test_previous_row_of_a_hot_key(spark, step):
     data = [("A", date(2024, 1, 1 + i // 300), i * step, i) for i in range(900)] + [("B", date(2024, 1, 2), 5, 7), (None, date(2024, 1, 2), 6, 8), (None, date(2024, 1, 3), 4, 9)]
     rows = spark.createDataFrame(data, "k string, d date, s bigint, v int").repartition(7)
-    got = {(r["k"], r["v"]): r["p"] for r in windows.previous_row(rows, ["k"], "d", "s", {"v": "p"}).collect()}
+    got = {(r["k"], r["v"]): r["p"] for r in ranges.previous_row(rows, ["k"], "d", "s", {"v": "p"}).collect()}
     assert len(got) == 903 and got["A", 0] is None and all(got["A", i] == i - 1 for i in range(1, 900))
     assert (got["B", 7], got[None, 8], got[None, 9]) == (None, None, 8)
 

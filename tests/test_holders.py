@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bourseline import schemas
-from bourseline.operators import windows
+from bourseline.operators import ranges
 from bourseline.plans import holders as H
 from bourseline.plans import majors as M
 
@@ -58,7 +58,7 @@ def test_individual_changes(spark):
 def test_previous_row_over_ranges(spark):
     data = [(k % 3 if k % 7 else None, date(2024, 1, 1 + (k * 5) % 4), k, float(k)) for k in range(300)]
     df = spark.createDataFrame(data, "k int, d date, seq bigint, v double")
-    got = {r["seq"]: r["p"] for r in windows.previous_row(df, ["k"], "d", "seq", {"v": "p"}).collect()}
+    got = {r["seq"]: r["p"] for r in ranges.previous_row(df, ["k"], "d", "seq", {"v": "p"}).collect()}
     pdf = pd.DataFrame(data, columns=["k", "d", "seq", "v"]).sort_values(["d", "seq"])
     want = pdf.assign(p=pdf.groupby("k", dropna=False)["v"].shift(1)).set_index("seq")["p"]
     assert got == {s: (None if pd.isna(p) else p) for s, p in want.items()} and len(got) == 300
