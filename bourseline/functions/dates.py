@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Local month names of the daily sheets, in look-up order.
@@ -29,7 +29,13 @@ ENGLISH = ["january", "february", "march", "april", "may", "june", "july", "augu
 ENGLISH_MONTHS = {n: str(i) for i, n in enumerate(ENGLISH, 1)} | {n[:3]: str(i) for i, n in enumerate(ENGLISH, 1)}
 
 # Number-only spellings of the general parser and how each becomes year-month-day,
-# in order: month before day wherever both readings fit.
+# in order: month before day wherever both readings fit, or day before month.
+DAY_FIRST_FORMS = (
+    (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})\s*$", "$1-$2-$3"),
+    (r"^\s*(\d{4})(\d{2})(\d{2})\s*$", "$1-$2-$3"),
+    (r"^\s*(\d{1,2})[/-](0?[1-9]|1[0-2])[/-](\d{4})\s*$", "$3-$2-$1"),
+    (r"^\s*(\d{1,2})[/-](\d{1,2})[/-](\d{4})\s*$", "$3-$1-$2"),
+)
 NUMBER_FORMS = (
     (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})\s*$", "$1-$2-$3"),
     (r"^\s*(\d{4})(\d{2})(\d{2})\s*$", "$1-$2-$3"),
@@ -54,11 +60,37 @@ def _iso_date(c: Column) -> Column:
     return F.regexp_extract(c, ISO, 1).try_cast("date")
 
 
-def general_date(c: Column) -> Column:
-    """ISO, slashed, dashed, packed and English month-name dates; month first."""
-    numeric = c
-    for pattern, target in NUMBER_FORMS:
-        numeric = F.regexp_replace(numeric, pattern, target)
+def _as_iso(c: Column, forms: tuple[tuple[str, str], ...]) -> Column:
+    for pattern, target in forms:
+        c = F.regexp_replace(c, pattern, target)
+    return c
+
+
+TWO_NUMBERS = r"^\s*(\d{1,2})[/-](\d{1,2})[/-]\d{4}\s*$"
+
+
+def day_first_vote(c: Column) -> Column:
+    """An aggregate: whether the texts of a group write the day before the month. Only dates that fit one reading count; as many for
+    either, or none, is month first."""
+    first, second = (F.regexp_extract(c, TWO_NUMBERS, i).try_cast("int") for i in (1, 2))
+    day_first = first.between(13, 31) & second.between(1, 12)
+    month_first = first.between(1, 12) & second.between(13, 31)
+    return F.count_if(day_first) > F.count_if(month_first)
+
+
+def date_by_file(df: DataFrame, name: str, file_name: str) -> DataFrame:
+    """`df` with the texts of the column `name` read as dates, in each file by the order that its dates show: one aggregate
+    by file, joined back. Rows without a file name are a file of their own."""
+    votes = df.groupBy(F.col(file_name).alias("_file")).agg(day_first_vote(F.col(name)).alias("_day_first"))
+    both = df.join(votes, F.col(file_name).eqNullSafe(F.col("_file")))
+    return both.withColumn(name, general_date(F.col(name), F.col("_day_first"))).select(*df.columns)
+
+
+def general_date(c: Column, day_first: Column | None = None) -> Column:
+    """ISO, slashed, dashed, packed and English month-name dates; month first, unless the flag says that the day is."""
+    numeric = _as_iso(c, NUMBER_FORMS)
+    if day_first is not None:
+        numeric = F.when(day_first, _as_iso(c, DAY_FIRST_FORMS)).otherwise(numeric)
     named = F.regexp_replace(F.lower(c), MONTH_FIRST, "$2 $1 $3")
     day, month, year = (F.regexp_extract(named, DAY_MONTH_YEAR, i) for i in (1, 2, 3))
     spelled = F.when(c.rlike("[A-Za-z]{3}"), _date(year, _lookup(ENGLISH_MONTHS, month), day))

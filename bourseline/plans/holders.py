@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from bourseline import schemas
 from bourseline.functions import dates, numbers, rules, text
 from bourseline.functions.rules import CORPORATE, FINANCIAL, FOREIGN, FUND, INDIVIDUAL, ScreenerFlags
-from bourseline.operators import windows
+from bourseline.operators import ranges, windows
 from bourseline.operators.frames import any_cell, with_date
 from bourseline.operators.joins import latest, previous_date
+from bourseline.sources.storage import stage
 
 SCAN_ROWS = 15
 TABLE = schemas.HOLDER_TABLE.fieldNames()
@@ -54,29 +55,36 @@ def file_headings(rows: DataFrame) -> DataFrame:
         places = F.filter(every, lambda i: F.try_element_at(F.col("heading"), i) == name)
         return F.when(F.size("heading") > 0, places).otherwise(F.array().cast("array<int>"))
 
-    return named.withColumn("place", F.struct(*[of(name).alias(name) for name in schemas.HOLDER_COLUMNS]))
+    named = named.withColumn("place", F.struct(*[of(name).alias(name) for name in schemas.HOLDER_COLUMNS]))
+    return stage(named, "headings")
 
 
-def detect_headings(rows: DataFrame) -> DataFrame:
-    """Filled rows below their file's heading, with that heading."""
+def detect_headings(rows: DataFrame, headings: DataFrame | None = None) -> DataFrame:
+    """Filled rows below their file's heading, with that heading. Headings are read first and stored, so that Spark
+    knows their size and rows need not move where they are few."""
+    headings = file_headings(rows) if headings is None else headings
     filled = rows.filter(any_cell(F.col("cells")) & (F.col("row_idx") > 0))
-    return filled.join(file_headings(rows), "file_name").filter(F.col("row_idx") > F.col("heading_row"))
+    return filled.join(headings, "file_name").filter(F.col("row_idx") > F.col("heading_row"))
 
 
-def align(records: DataFrame) -> DataFrame:
+def align(rows: DataFrame) -> DataFrame:
     """The twelve expected columns as text, taken from the places their headings
     have in the file (the first that is filled in the row), with defaults for columns the file lacks. Rows need a valid
     share code if the file has codes."""
+    headings = file_headings(rows)
+    # As many places of a column as any heading has: one, but for files with several spellings.
+    most = headings.agg(*[F.coalesce(F.max(F.size(F.col("place")[n])), F.lit(0)).alias(n) for n in schemas.HOLDER_COLUMNS]).first()
 
     def value(name: str, default: str) -> Column:
-        at = F.col("place")[name]
-        found = F.transform(at, lambda i: F.try_element_at(F.col("cells"), i))
-        filled = F.filter(found, lambda c: text.strip(c) != "")
-        return F.when(F.size(at) > 0, F.coalesce(F.get(filled, F.lit(0)), F.get(found, F.lit(0)))).otherwise(F.lit(default))
+        cells = [F.try_element_at(F.col("cells"), F.get(F.col("place")[name], F.lit(k))) for k in range(most[name])]
+        if not cells:
+            return F.lit(default)
+        filled = [F.when(text.strip(c) != "", c) for c in cells] if len(cells) > 1 else []
+        return F.when(F.size(F.col("place")[name]) > 0, F.coalesce(*filled, cells[0])).otherwise(F.lit(default))
 
     texts = {name.lower(): value(name, default) for name, default in schemas.HOLDER_COLUMNS.items()}
     texts["share_code"] = F.upper(text.strip(text.text_or(texts["share_code"], "nan")))
-    named = records.select(
+    named = detect_headings(rows, headings).select(
         text.stem(F.col("file_name")).alias("data_source"),
         *[v.alias(k) for k, v in texts.items()],
         "load_seq", (F.col("heading_row") == 0).alias("plain_heading"), (F.size("place.SHARE_CODE") == 0).alias("_no_codes"),
@@ -88,8 +96,9 @@ def valid_code(code: Column) -> Column:
     return code.rlike(r"^[A-Z0-9-]{4,6}$")
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """Types, standard values, dated rows only. A missing text reads "nan", as the
+def clean(df: DataFrame, dates_by_file: bool = False) -> DataFrame:
+    """Types, standard values, dated rows only. `dates_by_file`: whether 05/04 is a day in April or in May is for each
+    file's own dates to say, not month first everywhere. A missing text reads "nan", as the
     stored table has always had it. Below a heading in row 0 counts are numeric cells, and
     their text may end in .0; elsewhere each dot is a grouping sign."""
     counts = ["holdings_scripless", "holdings_scrip", "total_holding_shares"]
@@ -98,7 +107,10 @@ def clean(df: DataFrame) -> DataFrame:
     def as_text(c: str) -> Column:
         return text.strip(text.one_line(text.text_or(F.col(c), "nan")))
 
-    dated = with_date(df, "date", dates.general_date(F.col("date")))
+    if dates_by_file:
+        dated = dates.date_by_file(df, "date", "data_source").na.drop(subset=["date"])
+    else:
+        dated = with_date(df, "date", dates.general_date(F.col("date")))
     return dated.withColumns({c: as_text(c) for c in texts}).withColumns(
         {
             "local_foreign": text.map_values(F.col("local_foreign"), schemas.LOCAL_FOREIGN),
@@ -109,9 +121,9 @@ def clean(df: DataFrame) -> DataFrame:
     )
 
 
-def ownership(rows: DataFrame) -> DataFrame:
+def ownership(rows: DataFrame, dates_by_file: bool = False) -> DataFrame:
     """Raw cells of all files in, the holder table (with load position) out."""
-    return clean(align(detect_headings(rows))).select(*TABLE, "load_seq")
+    return clean(align(rows), dates_by_file).select(*TABLE, "load_seq")
 
 
 # ---- views -----------------------------------------------------------------
@@ -119,7 +131,7 @@ def ownership(rows: DataFrame) -> DataFrame:
 
 def with_previous(df: DataFrame) -> DataFrame:
     """Previous row's percentage and shares per (share, holder)."""
-    return windows.previous_row(
+    return ranges.previous_row(
         df, ["share_code", "investor_name"], "date", "load_seq",
         {"percentage": "prev_percentage", "total_holding_shares": "prev_shares"},
     )

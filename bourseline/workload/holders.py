@@ -254,7 +254,7 @@ add(
 )
 add(
     "proj_align_defaults",
-    lambda s, sf: H.align(H.detect_headings(A.holder_sheets(s, sf))).drop("plain_heading"),
+    lambda s, sf: H.align(A.holder_sheets(s, sf)).drop("plain_heading"),
     f"WITH {SHEETS} SELECT data_source, date, share_code, * EXCLUDE (data_source, date, share_code) FROM lists",
 )
 add(
@@ -266,7 +266,7 @@ add(
 add(
     "filt_code_regex",
     lambda s, sf: (lambda t: t.filter(H.valid_code(F.col("code"))))(
-        A.holder_sheets(s, sf).filter(F.col("row_idx") >= 10).select(
+        A.holder_sheets(s, sf).select(
             "file_name", "row_idx", F.upper(text.strip(F.element_at("cells", 2))).alias("code"))),
     f"""WITH {SHEETS}, codes AS (SELECT file_name, load_seq + 10 AS row_idx, CASE WHEN layout = 'B' THEN upper(investor_name)
   WHEN c_nationkey = 7 THEN 'TOO-LONG-7' ELSE share_code END AS code FROM raw)
@@ -294,8 +294,10 @@ add(
 )
 add(
     "fn_text_clean",
-    lambda s, sf: A.holder_sheets(s, sf).filter(F.col("row_idx") >= 10).select(
+    lambda s, sf: A.holder_sheets(s, sf).select(
         "row_idx", text.stem(F.col("file_name")).alias("data_source"), text.strip(text.one_line(F.concat_ws("\n", F.lit(" "), F.element_at("cells", 3)))).alias("third")),
     f"""WITH {SHEETS} SELECT load_seq + 10 AS row_idx, 'holders_' || strftime(snap, '%Y%m%d') AS data_source,
-  CASE layout WHEN 'A' THEN replace(issuer_name, chr(10), ' ') WHEN 'B' THEN strftime(snap, '%d/%m/%Y') ELSE investor_name END AS third FROM raw""",
+  CASE layout WHEN 'A' THEN replace(issuer_name, chr(10), ' ') WHEN 'B' THEN strftime(snap, '%d/%m/%Y') ELSE investor_name END AS third FROM raw
+UNION ALL SELECT 0, 'holders_' || strftime(snap, '%Y%m%d'), CASE layout WHEN 'A' THEN 'ISSUER_NAME' WHEN 'B' THEN '' ELSE 'INVESTOR_NAME' END FROM layouts
+UNION ALL SELECT r, 'holders_' || strftime(snap, '%Y%m%d'), CASE WHEN r = 3 THEN 'Date' ELSE '' END FROM layouts, range(1, 4) AS t(r) WHERE layout = 'B'""",
 )

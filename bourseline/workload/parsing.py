@@ -104,6 +104,26 @@ _parsed("fn_cast_fill", lambda: numbers.fill_long(numbers.currency_number(c("cur
         "COALESCE(" + whole("regexp_replace(currency_text, '[,\\sRp]', '', 'g')") + ", 0)")
 _parsed("fn_bool_text", lambda: text.true_text(c("bool_text")), "COALESCE(upper(bool_text) IN ('TRUE', '1'), FALSE)")
 
+
+
+def dates_of_files(spark, sf):
+    """Ship dates in one file for each supplier, whose number tells whether the day comes first; month and day are told by each file's own dates."""
+    day = c("l_shipdate").cast("date")
+    text = F.when(c("l_suppkey") % 2 == 0, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy"))
+    rows = A.table(spark, sf, "lineitem").select(*KEYS, F.concat(F.lit("list_"), c("l_suppkey").cast("string")).alias("file_name"), text.alias("d"))
+    return dates.date_by_file(rows, "d", "file_name")
+
+
+add(
+    "fn_date_by_file",
+    dates_of_files,
+    f"""WITH texts AS (SELECT {ON}, 'list_' || l_suppkey AS file_name, CASE WHEN l_suppkey % 2 = 0 THEN strftime(l_shipdate, '%d/%m/%Y') ELSE strftime(l_shipdate, '%m/%d/%Y') END AS t FROM lineitem),
+parts AS (SELECT *, CAST(left(t, 2) AS INTEGER) AS a, CAST(substr(t, 4, 2) AS INTEGER) AS b, CAST(right(t, 4) AS INTEGER) AS y FROM texts),
+votes AS (SELECT file_name, count(*) FILTER (WHERE a > 12) > count(*) FILTER (WHERE b > 12) AS day_first FROM parts GROUP BY file_name)
+SELECT {ON}, file_name, CASE WHEN (day_first AND b <= 12) OR a > 12 THEN make_date(y, b, a) ELSE make_date(y, a, b) END AS d FROM parts JOIN votes USING (file_name)""",
+    ["d"],
+)
+
 # 14 days, not 90: the other engine holds 90 days and 3 months for equal intervals
 # and reuses the first difference for the second.
 add(
@@ -127,12 +147,12 @@ rows AS (
 )"""
 add(
     "filt_exact_width",
-    lambda s, sf: A.daily_sheets(s, sf).filter((c("row_idx") > 0) & has_width(c("cells"), len(A.SHEET_HEADINGS))).select("file_name", "row_idx", F.size("cells").alias("width")),
+    lambda s, sf: (lambda rows: rows.filter((c("row_idx") > 0) & has_width(c("cells"), len(D.sheet_headings(rows)))).select("file_name", "row_idx", F.size("cells").alias("width")))(A.daily_sheets(s, sf)),
     f"WITH {SHEET} SELECT source_file AS file_name, load_seq + 10 AS row_idx, 8 AS width FROM rows WHERE l_linenumber <> 7",
 )
 add(
     "pipe_daily_intake",
-    lambda s, sf: D.parse_sheet(D.sheet_records(A.daily_sheets(s, sf), A.SHEET_HEADINGS)).select(
+    lambda s, sf: D.parse_sheet(D.sheet_records(A.daily_sheets(s, sf))).select(
         "stock_code", "trading_date", "close", "volume", "value", "frequency", "foreign_buy", "foreign_sell", "net_foreign_value", "source_file", "load_seq"),
     f"""WITH {SHEET} SELECT stock_code, d AS trading_date, close, volume, value, frequency, foreign_buy, foreign_sell,
   foreign_buy * (value / volume) - foreign_sell * (value / volume) AS net_foreign_value, source_file, load_seq FROM rows WHERE l_linenumber <> 7""",

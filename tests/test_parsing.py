@@ -106,3 +106,14 @@ def test_holder_action(rows, prev, curr, action):
 
 def test_alert_levels(column):
     assert column(rules.alert_level, [0.3, -1.0, 2.0, -2.5, 0.999], "double") == ["LOW", "MEDIUM", "HIGH", "HIGH", "LOW"]
+
+
+def test_dates_by_file(spark):
+    """A file's own dates tell the order of day and month; without any that fit one reading alone, or with as many for each, the month comes first."""
+    rows = [("a", "05/04/2024"), ("a", "25/04/2024"), ("a", "2024-07-08"), ("b", "05/04/2024"), ("c", "05-04-2024"), ("c", "25/04/2024"), ("c", "04/25/2024"),
+            ("d", "05/04/2024"), ("d", "04/25/2024"), (None, "05/04/2024"), (None, "31/12/2024"), ("e", "n/a"), ("e", None), ("a", "04/30/2024"), ("a", "May 5, 2024"), ("a", "30/04/2024")]
+    df = spark.createDataFrame([(i, f, t) for i, (f, t) in enumerate(rows)], "i int, file string, t string")
+    got = {r["i"]: r["t"] and r["t"].isoformat() for r in dates.date_by_file(df, "t", "file").collect()}
+    assert [got[i] for i in range(len(rows))] == [
+        "2024-04-05", "2024-04-25", "2024-07-08", "2024-05-04", "2024-05-04", "2024-04-25", "2024-04-25",
+        "2024-05-04", "2024-04-25", "2024-04-05", "2024-12-31", None, None, "2024-04-30", "2024-05-05", "2024-04-30"]
