@@ -33,11 +33,12 @@ def columns(spark: SparkSession, datasets: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(lines, "dataset string, column_name string, data_type string, ordinal_position int")
 
 
-def audit(spark: SparkSession, wanted: list[str], datasets: dict[str, DataFrame]) -> DataFrame:
-    """One line per wanted dataset: present or missing, columns, rows."""
+def audit(spark: SparkSession, wanted: list[str], datasets: dict[str, DataFrame], counts: DataFrame | None = None) -> DataFrame:
+    """One line per wanted dataset: present or missing, columns, rows. `counts` (dataset, n) may come from the files'
+    footers (see `sources.footers`); without it the rows are counted."""
     names = spark.createDataFrame([(w,) for w in wanted], "dataset string")
     widths = columns(spark, datasets).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_columns"))
-    counts = named_counts(datasets).withColumnRenamed("n", "n_rows")
+    counts = (named_counts(datasets) if counts is None else counts).withColumnRenamed("n", "n_rows")
     return names.join(widths, "dataset", "left").join(counts, "dataset", "left").select(
         "dataset",
         F.when(F.col("n_rows").isNull(), "MISSING").otherwise("TABLE").alias("object_type"),

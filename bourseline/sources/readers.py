@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,54 +53,8 @@ def file_named(
     return keep
 
 
-def binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Whole files as (path, content), matched by name pattern."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-
-
 def pipe_text(spark: SparkSession, path: str) -> DataFrame:
     """Plain `|` separated files in Latin-1, all columns as text."""
     return (
         spark.read.option("header", True).option("sep", "|").option("encoding", "ISO-8859-1").csv(path)
     )
-
-
-def zip_pipe(files: DataFrame, rows_per_batch: int = 20_000) -> DataFrame:
-    """First `.txt` member of each zip in (path, content), as text columns.
-
-    The member is read as a stream, batch by batch. A file that is no zip is
-    skipped; a member without the expected columns stops the job.
-    """
-    names = [f.name for f in schemas.MONTHLY_TEXT.fields]
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    archive = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
-                    continue
-                with archive:
-                    member = next((n for n in archive.namelist() if n.lower().endswith(".txt")), None)
-                    if member is None:
-                        continue
-                    start = 0
-                    with archive.open(member) as stream:
-                        parts = pd.read_csv(
-                            stream, sep="|", encoding="latin1", dtype=str, keep_default_na=False,
-                            na_values=[""], chunksize=rows_per_batch,
-                        )
-                        for part in parts:
-                            part = part.rename(columns=schemas.MONTHLY_HEADERS)
-                            missing = [c for c in names[2:] if c not in part.columns]
-                            if missing:
-                                raise ValueError(f"{path}: missing required columns {missing}")
-                            part = part[names[2:]]
-                            part.insert(0, "file_name", path.rsplit("/", 1)[-1])
-                            part.insert(1, "row_idx", range(start, start + len(part)))
-                            start += len(part)
-                            yield part
-
-    return files.select("path", "content").mapInPandas(read, schemas.MONTHLY_TEXT)

@@ -61,3 +61,50 @@ def stage_buckets(df: DataFrame, label: str, column: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, column).option("path", stage_path(spark, label)).format("parquet").saveAsTable(name)
     return spark.table(name)
+
+
+# ---- small files of the driver ------------------------------------------------
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet. It appears whole or not at all: it is written under
+    another name and renamed, which the shared stores do in one step."""
+    files, place = _files(spark, path)
+    _, draft = _files(spark, f"{path}.draft-{uuid.uuid4().hex}")
+    out = files.create(draft)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if files.exists(place) or not files.rename(draft, place):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    files, place = _files(spark, path)
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    files, place = _files(spark, folder)
+    return sorted(x.getPath().getName() for x in files.listStatus(place)) if files.exists(place) else []
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The whole URI of a path, as Spark names the files below it."""
+    files, place = _files(spark, path)
+    return files.makeQualified(place).toString()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from bourseline import schemas
 from bourseline.operators import frames, joins
 from bourseline.plans import monthly as B
-from bourseline.sources import readers, writers
-from bourseline.sources.storage import fresh_path, land
+from bourseline.sources import archives, ledger, listing, readers, writers
+from bourseline.sources.storage import fresh_path, land, stage, stage_path
 from bourseline.streaming import intake
 from bourseline.workload import adapters as A
 from bourseline.workload.daily import TRADES
@@ -89,33 +89,47 @@ add(
 
 
 def monthly_zips(spark, sf):
-    """One zip per month and segment as (path, content); a file holds one line per
-    listed code, as the exchange's files do."""
+    """A folder with one zip for each month and segment; a file holds one line per listed code, as the exchange's
+    files do. Besides them a file that is no zip, a zip without text, and a file of another kind."""
     heads = ["Date", "Code", "Type", "Sec. Num", "Price", *[x.replace("_", " ") for x in schemas.LOCALS], "Total",
              *[x.replace("_", " ") for x in schemas.FOREIGNS], "Total"]
     text = A.monthly_text(spark, sf)
-    path = F.concat(F.lit("/landed/"), F.left("Code", F.lit(2)), F.lit("_"), F.col("file_name"))
-    lines = text.select(path.alias("path"), "row_idx", F.concat_ws("|", *schemas.MONTHLY_REQUIRED).alias("line"))
+    name = F.concat(F.left("Code", F.lit(2)), F.lit("_"), F.col("file_name"))
+    lines = text.select(name.alias("name"), "row_idx", F.concat_ws("|", *schemas.MONTHLY_REQUIRED).alias("line"))
 
-    def pack(part: pd.DataFrame) -> pd.DataFrame:
-        body = "\n".join(["|".join(heads), *part.sort_values("row_idx")["line"]])
+    def zipped(member: str, body: str) -> bytes:
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("readme.md", "x")
-            z.writestr("balance.TXT", body.encode("latin1"))
-        return pd.DataFrame({"path": [part["path"].iloc[0]], "content": [out.getvalue()]})
+            z.writestr(member, body.encode("latin1"))
+        return out.getvalue()
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        body = "\n".join(["|".join(heads), *part.sort_values("row_idx")["line"]])
+        return pd.DataFrame({"name": [part["name"].iloc[0]], "content": [zipped("balance.TXT", body)]})
 
-    return lines.groupBy("path").applyInPandas(pack, "path string, content binary")
+    folder = stage_path(spark, "zips")
+    archives.write_files(lines.groupBy("name").applyInPandas(pack, "name string, content binary"), folder)
+    others = [("broken.zip", b"no zip"), ("empty.ZIP", zipped("notes.md", "x")), ("readme.txt", b"Date|Code")]
+    archives.write_files(spark.createDataFrame(others, "name string, content binary"), folder)
+    return folder
 
 
 MONTHLY_COLUMNS = schemas.MONTHLY_REQUIRED
+_ZIPPED = "left(Code, 2) || '_balancepos' || strftime(Date, '%Y%m%d') || '.zip' AS file_name"
 add(
     "src_zip_pipe",
-    lambda s, sf: B.typed(readers.zip_pipe(monthly_zips(s, sf))).select("file_name", *MONTHLY_COLUMNS),
-    f"""WITH {RAW} SELECT left(Code, 2) || '_balancepos' || strftime(Date, '%Y%m%d') || '.zip' AS file_name, {', '.join(MONTHLY_COLUMNS)}
+    lambda s, sf: B.typed(archives.rows_of(archives.zip_pipe(s, monthly_zips(s, sf)))).select("file_name", *MONTHLY_COLUMNS),
+    f"""WITH {RAW} SELECT {_ZIPPED}, {', '.join(MONTHLY_COLUMNS)}
 FROM raw WHERE NOT (o_orderstatus = 'P' AND Code LIKE 'MA%')""",
     ["Date"],
 )
+add(
+    "src_zip_report",
+    lambda s, sf: archives.report_of(archives.zip_pipe(s, monthly_zips(s, sf))),
+    f"""WITH {RAW} SELECT {_ZIPPED}, 'rows' AS status, count(*) AS n_rows FROM raw GROUP BY 1
+UNION ALL SELECT 'broken.zip', 'bad', 0 UNION ALL SELECT 'empty.ZIP', 'no member', 0""",
+)
 
 
 def sink_sorted_export(spark, sf):
@@ -229,28 +243,68 @@ def join_anti_processed(spark, sf):
     year, name = F.left("file_name", F.lit(4)), F.col("file_name")
     key = F.when(year == "1995", F.left(name, F.lit(8))).when(year == "1996", F.replace(name, F.lit(".pdf"), F.lit(""))).when(year == "1997", name)
     done = docs.select(key.alias("source")).na.drop().distinct()
-    return joins.unprocessed(docs, done, "file_name", "source", loose=True).filter(F.col("row_idx") >= 10).select("file_name", "page_idx", "row_idx")
+    return joins.unprocessed(docs, done, "file_name", "source", loose=True).select("file_name", "page_idx", "row_idx")
 
 
 add(
     "join_anti_processed",
     join_anti_processed,
-    f"""WITH {HELD} SELECT strftime(tanggal_data, '%Y%m%d') || '_list.pdf' AS file_name, CAST(c_nationkey + 1 AS INTEGER) AS page_idx, load_seq + 10 AS row_idx
-FROM held WHERE year(tanggal_data) NOT IN (1995, 1996, 1997)""",
+    f"""WITH {HELD}, listed AS (
+  SELECT strftime(tanggal_data, '%Y%m%d') || '_list.pdf' AS file_name, CAST(c_nationkey + 1 AS INTEGER) AS page_idx, load_seq + 10 AS row_idx
+  FROM held WHERE year(tanggal_data) NOT IN (1995, 1996, 1997)
+)
+SELECT * FROM listed UNION ALL SELECT DISTINCT file_name, 0, 0 FROM listed
+UNION ALL SELECT file_name, page_idx, r FROM (SELECT DISTINCT file_name, page_idx FROM listed), range(4) AS t(r)""",
 )
 
 
-def src_file_select(spark, sf):
-    """Rows of the documents whose name holds LIST (any case), ends in .pdf and starts with a date."""
+def major_files(spark, sf):
+    """A folder with one file of JSON rows for each document, and files that no rule selects, one of them broken."""
     docs = A.major_documents(spark, sf)
-    keep = readers.file_named(F.col("file_name"), contains="LIST", extension=".pdf", dated=True)
-    return docs.filter(keep & (F.col("row_idx") >= 10)).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
+    line = F.to_json(F.struct("page_idx", "row_idx", "load_seq", "cells"))
+    whole = docs.groupBy(F.col("file_name").alias("name")).agg(F.concat_ws("\n", F.collect_list(line)).cast("binary").alias("content"))
+    folder = stage_path(spark, "documents")
+    archives.write_files(whole, folder)
+    others = [("19990101_list.doc", b"{broken"), ("list.pdf", b"{broken"), ("19990101_notes.pdf", b"{broken")]
+    archives.write_files(spark.createDataFrame(others, "name string, content binary"), folder)
+    return folder
+
+
+DOCUMENT_ROWS = schemas.struct("page_idx int, row_idx bigint, load_seq bigint, cells array<string>")
+
+
+def src_file_select(spark, sf):
+    """Rows of the documents whose name holds LIST (any case), ends in .pdf and starts with a date; the others are not opened."""
+    files = listing.select_files(listing.list_files(spark, major_files(spark, sf)), contains="LIST", extension=".pdf", dated=True)
+    return listing.read_files(files, DOCUMENT_ROWS).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"), F.sum("load_seq").alias("seq_sum"))
+
+
+_FILES = f"""WITH {HELD}, files AS (SELECT strftime(tanggal_data, '%Y%m%d') || '_list.pdf' AS file_name, tanggal_data,
+  count(*) + 4 * count(DISTINCT c_nationkey) + 1 AS n, sum(load_seq) + 6 * count(DISTINCT c_nationkey) AS seq_sum FROM held GROUP BY ALL)"""
+add("src_file_select", src_file_select, f"{_FILES} SELECT file_name, n, CAST(seq_sum AS BIGINT) AS seq_sum FROM files")
+
+
+def src_file_ledger(spark, sf):
+    """Two runs over a folder that changes in between: the second reads only files that are new or have changed. What each run read."""
+    folder, store = major_files(spark, sf), stage_path(spark, "ledger")
+    out = None
+    for run in (1, 2):
+        if run == 2:  # one file is sent again with a row more, one is new
+            late = spark.createDataFrame([("19950131_list.pdf", b'{"row_idx": 1}\n{"row_idx": 2}'), ("21000101_list.pdf", b'{"row_idx": 3}')], "name string, content binary")
+            archives.write_files(late, folder)
+        files = listing.select_files(listing.list_files(spark, folder), contains="list", extension=".pdf", dated=True)
+        fresh = listing.unprocessed_files(files, store)
+        read = stage(listing.read_files(fresh, DOCUMENT_ROWS).groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).withColumn("run", F.lit(run)), "read")
+        ledger.write(ledger.of_files(fresh), store, run)
+        ledger.commit(spark, store, run)
+        out = read if out is None else out.unionByName(read)
+    return out
 
 
 add(
-    "src_file_select",
-    src_file_select,
-    f"WITH {HELD} SELECT strftime(tanggal_data, '%Y%m%d') || '_list.pdf' AS file_name, count(*) AS n FROM held GROUP BY 1",
+    "src_file_ledger",
+    src_file_ledger,
+    f"""{_FILES} SELECT file_name, n, 1 AS run FROM files UNION ALL SELECT '19950131_list.pdf', 2, 2 UNION ALL SELECT '21000101_list.pdf', 1, 2""",
 )
 
 

@@ -9,6 +9,7 @@ from bourseline.functions.rules import DEFAULTS
 from bourseline.operators import frames
 from bourseline.operators.joins import latest
 from bourseline.plans import audit, daily as D
+from bourseline.sources import footers
 from bourseline.workload import adapters as A
 from bourseline.workload.daily import PUBLISHED, TRADES, published
 from bourseline.workload.monthly import RAW
@@ -76,10 +77,16 @@ def datasets(spark, sf):
 
 _counts = " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS n FROM {d}" for d in DATASETS)
 add("set_union_counts", lambda s, sf: frames.named_counts(datasets(s, sf)), _counts)
+
+
+def folders(sf):
+    return {d: f"{sf}/{d}.parquet" for d in DATASETS}
+
+
 WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6, "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
 add(
     "dq_dataset_audit",
-    lambda s, sf: audit.audit(s, [*DATASETS, "missing_view"], datasets(s, sf)),
+    lambda s, sf: audit.audit(s, [*DATASETS, "missing_view"], datasets(s, sf), footers.row_counts(s, folders(sf))),
     "SELECT dataset, 'TABLE' AS object_type, CAST(CASE dataset " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WIDTHS.items())
     + f" END AS BIGINT) AS n_columns, n AS n_rows FROM ({_counts}) UNION ALL SELECT 'missing_view', 'MISSING', NULL, NULL",
 )
@@ -89,6 +96,20 @@ add(
     "SELECT table_name AS dataset, column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position FROM information_schema.columns WHERE table_name IN ("
     + ", ".join(f"'{d}'" for d in DATASETS) + ")",
 )
+# Flat columns of each dataset; a nested column's footers tell of its elements.
+FLAT = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey", "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal", "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props", "documents": "doc_id text lang source n_chars", "embeddings": "vec_id label",
+    "pages": "page_id url html", "benchmark": "item_id text", "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
+add(
+    "dq_column_bounds",
+    lambda s, sf: footers.column_bounds(s, folders(sf)).select("dataset", "column", "n_values"),
+    " UNION ALL ".join(f"""SELECT '{d}' AS dataset, '{k}' AS "column", count({k}) AS n_values FROM {d}""" for d, own in FLAT.items() for k in own.split()),
+)
 
 
 def limit_sample(spark, sf):

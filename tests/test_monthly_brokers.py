@@ -1,5 +1,8 @@
 """Monthly balances, broker and insider pages, files and tables."""
 
+import io
+import os
+import threading
 import zipfile
 from datetime import date
 
@@ -11,7 +14,7 @@ from bourseline.operators import frames
 from bourseline.operators.joins import unprocessed
 from bourseline.plans import brokers as B
 from bourseline.plans import monthly as M
-from bourseline.sources import readers, writers
+from bourseline.sources import archives, footers, ledger, listing, readers, versions, writers
 from bourseline.sources.storage import fresh_path, land
 from bourseline.streaming import intake
 
@@ -79,14 +82,72 @@ def test_zip_files(spark, tmp_path):
     zipped(tmp_path / "BalancePos1.zip", HEADS, line, bond, bad)
     zipped(tmp_path / "balancepos2.zip", HEADS, line, member="other.csv")
     (tmp_path / "balancepos3.zip").write_bytes(b"no zip at all")
-    files = readers.binary_files(spark, str(tmp_path), "*.zip")
-    files = files.filter(readers.file_named(F.col("path"), contains="balancepos"))
-    got = M.typed(readers.zip_pipe(files, rows_per_batch=1)).collect()
+    (tmp_path / "notes.txt").write_bytes(b"no archive")
+    read = archives.zip_pipe(spark, str(tmp_path))
+    got = M.typed(archives.rows_of(read)).collect()
     assert [(r["Date"], r["Sec_Num"], r["Price"], r["Local_OT"], r["Total_Local"], r["file_name"]) for r in got] == [
         (date(2024, 5, 31), 1000, 12.5, 1234, 11106, "BalancePos1.zip")]
+    assert {tuple(r) for r in archives.report_of(read).collect()} == {("BalancePos1.zip", "rows", 3), ("balancepos2.zip", "no member", 0), ("balancepos3.zip", "bad", 0)}
     zipped(tmp_path / "balancepos4.zip", HEADS[:-2] + ["Total"], line[:-1])
     with pytest.raises(Exception, match="missing required columns"):
-        readers.zip_pipe(readers.binary_files(spark, str(tmp_path), "balancepos4.zip")).collect()
+        archives.zip_pipe(spark, str(tmp_path)).collect()
+
+
+def test_archives_of_any_size(spark, tmp_path):
+    """Three gigabytes of nothing before the archive (a sparse file), more rows than a batch, short and blank lines, a torn archive."""
+    line = ["31-MEI-2024", "AA", "EQUITY", "1,000", "12.5", *["1,234"] * 9, "11,106", *["0"] * 9, "0"]
+    zipped(tmp_path / "small.zip", HEADS, *[line] * 45_000, line[:5], [""])
+    whole = (tmp_path / "small.zip").read_bytes()
+    with open(tmp_path / "large.zip", "wb") as out:
+        out.truncate(3 << 30)
+        out.seek(0, 2)
+        out.write(whole)
+    stored = io.BytesIO()
+    with zipfile.ZipFile(stored, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("b.txt", "\n".join("|".join(x) for x in [HEADS, *[line] * 30_000]))
+    torn = bytearray(stored.getvalue())
+    torn[len(torn) - 2_000] ^= 1  # the check sum is wrong, which shows at the end
+    (tmp_path / "torn.zip").write_bytes(torn)
+    read = archives.zip_pipe(spark, str(tmp_path))
+    assert {tuple(r) for r in archives.report_of(read).collect()} == {("small.zip", "rows", 45_001), ("large.zip", "rows", 45_001), ("torn.zip", "bad", 20_000)}
+    rows = archives.rows_of(read.filter("file_name = 'large.zip'"))
+    assert rows.agg(F.count_distinct("row_idx"), F.max("row_idx"), F.count("Local_IS")).first()[:] == (45_001, 45_000, 45_000)
+    assert archives.zip_pipe(spark, str(tmp_path), ".rar").count() == 0
+
+
+def test_only_selected_files_are_opened(spark, tmp_path):
+    rows = schemas.struct("a int")
+    for name in ("20240101_list.json", "20240102_LIST.json"):
+        (tmp_path / name).write_text('{"a": 1}\n{"a": 2}\n')
+    os.mkfifo(tmp_path / "20240103_notes.json")  # whoever opens it waits for ever
+    files = listing.select_files(listing.list_files(spark, str(tmp_path)), contains="list", extension=".json", dated=True)
+    assert "binaryFile" in files._jdf.queryExecution().toString() and "content" not in files._jdf.queryExecution().executedPlan().toString()
+    assert {(r["file_name"], r["a"]) for r in listing.read_files(files, rows).collect()} == {(n, a) for n in ("20240101_list.json", "20240102_LIST.json") for a in (1, 2)}
+    store = str(tmp_path / "store")
+    assert listing.unprocessed_files(files, store).count() == 2
+    ledger.write(ledger.of_files(files), store, 1)
+    ledger.commit(spark, store, 1)
+    assert listing.unprocessed_files(files, store).count() == 0
+    (tmp_path / "20240102_LIST.json").write_text('{"a": 3}\n')
+    again = listing.select_files(listing.list_files(spark, str(tmp_path)), contains="list", extension=".json", dated=True)
+    assert [r["name"] for r in listing.unprocessed_files(again, store).collect()] == ["20240102_LIST.json"]
+    assert listing.read_files(again.limit(0), rows).count() == 0
+
+
+def test_footers_count_without_reading(spark, tmp_path):
+    folders = {d: f"/root/testdata/sf0.001/{d}.parquet" for d in ("orders", "documents", "embeddings")}
+    spark.range(100).selectExpr("id", "CASE WHEN id > 10 THEN id END AS some").repartition(3).write.parquet(str(tmp_path / "own"))
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    folders |= {"own": str(tmp_path / "own"), "none": str(tmp_path / "none")}
+    assert dict(footers.row_counts(spark, folders).collect()) == {d: spark.read.parquet(p).count() for d, p in folders.items()}
+    bounds = {(r["dataset"], r["column"]): (r["n_values"], r["bounded"]) for r in footers.column_bounds(spark, folders).collect()}
+    assert bounds["own", "some"] == (89, True) and bounds["own", "id"] == (100, True) and ("embeddings", "embedding") not in bounds
+    # A file whose data pages are gone still tells its rows.
+    whole = open(folders["orders"], "rb").read()
+    size = int.from_bytes(whole[-8:-4], "little") + 8
+    (tmp_path / "gone").mkdir()
+    (tmp_path / "gone" / "x.parquet").write_bytes(b"PAR1" + b"\0" * (len(whole) - size - 4) + whole[-size:])
+    assert footers.row_counts(spark, {"gone": str(tmp_path / "gone")}).first()["n"] == spark.read.parquet(folders["orders"]).count()
 
 
 def test_pipe_text(spark, tmp_path):
@@ -176,6 +237,80 @@ def test_upsert_replaces_only_given_dates(spark):
     assert sorted(r["v"] for r in writers.read_table(spark, path, schema).collect()) == [1, 8, 9]
 
 
+def test_declared_schema_is_enforced(spark, tmp_path):
+    path = str(tmp_path / "declared")
+    schema = schemas.struct("a bigint, b double, c string, date date")
+    writers.declare_table(spark, path, schema, "date")
+    writers.declare_table(spark, path, schema, "date")
+    assert writers.read_table(spark, path, schema).count() == 0 and writers.declared(spark, path) == schema
+    day = date(2024, 1, 1)
+    writers.upsert_by_date(spark.createDataFrame([(1, 2, "x", day)], "a int, b int, c string, date date"), path, "date")  # widened
+    before = sorted(os.listdir(path))
+    for wrong in ("a bigint, b double, date date", "a string, b double, c string, date date", "a double, b double, c string, date date", "a bigint, b double, c string, d int, date date", "a bigint, b double, c int, date date"):
+        rows = spark.createDataFrame([], wrong)
+        with pytest.raises(writers.SchemaMismatch):
+            writers.upsert_by_date(rows, path, "date")
+    with pytest.raises(writers.SchemaMismatch):
+        writers.declare_table(spark, path, schemas.struct("a bigint, date date"), "date")
+    with pytest.raises(writers.SchemaMismatch):
+        writers.declare_table(spark, str(tmp_path / "other"), schemas.struct("a bigint"), "date")
+    assert sorted(os.listdir(path)) == before
+    swapped = spark.createDataFrame([("y", date(2024, 1, 2), 2.5, 7)], "c string, date date, b double, a bigint")
+    writers.upsert_by_date(swapped, path, "date")
+    assert sorted(map(tuple, writers.read_table(spark, path, schema).collect())) == [(1, 2.0, "x", day), (7, 2.5, "y", date(2024, 1, 2))]
+
+
+def test_versions(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "table")
+    rows = lambda n: spark.range(n).toDF("x")
+    assert versions.version(spark, folder) is None
+    with pytest.raises(LookupError):
+        versions.read(spark, folder)
+    assert versions.replace(rows(1), folder).number == 1
+    pinned = versions.read(spark, folder)
+    # A writer that dies before the commit leaves the table as it is.
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            versions.replace(rows(5), folder)
+    assert versions.read(spark, folder).count() == 1 and versions.numbers(spark, folder) == [1]
+    # Of two writers from one version the second fails.
+    data = versions.write(rows(7), folder)
+    versions.replace(rows(2), folder)
+    with pytest.raises(versions.Conflict):
+        versions.commit(spark, folder, data, rows(7).schema, 1)
+    assert versions.read(spark, folder).count() == 2 and pinned.count() == 1 and versions.read(spark, folder, 1).count() == 1
+    versions.replace(rows(3).withColumn("y", F.lit("z")), folder)
+    assert versions.read(spark, folder).columns == ["x", "y"]
+    versions.replace(rows(4), folder)
+    assert versions.numbers(spark, folder) == [2, 3, 4] and versions.version(spark, folder, 1) is None
+
+
+def test_a_reader_always_finds_the_table(spark, monkeypatch):
+    writers.replace_table(spark.range(1).toDF("x"), "always_there")
+    seen, failed, stop = set(), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(spark.sql("SELECT count(*) AS n FROM always_there").first()["n"])
+            except Exception as e:  # noqa: BLE001
+                failed.append(str(e)[:200])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(2, 5):
+        writers.replace_table(spark.range(n).withColumn(f"c{n}", F.lit(n)), "always_there")
+    stop.set()
+    reader.join()
+    assert not failed and seen <= {1, 2, 3, 4} and spark.table("always_there").columns == ["id", "c4"]
+    with monkeypatch.context() as m:
+        m.setattr(versions, "commit", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            writers.replace_table(spark.range(9), "always_there")
+    assert spark.table("always_there").count() == 4
+
+
 def test_replace_while_reading(spark):
     first = writers.replace_table(spark.range(5).toDF("x"), "replaced_table")
     again = writers.replace_table(first.filter("x > 2"), "replaced_table")
