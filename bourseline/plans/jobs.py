@@ -1,8 +1,7 @@
-"""The jobs as they run day by day: history plus what is new, into tables stored by date.
+"""The jobs as they run day by day: what is new, into tables stored by date.
 
 A store is a folder that all executors share. Every job may be run again with the same
-input: rows of sources that are in the history are passed over, and tables are replaced
-by whole dates.
+input: tables are replaced by whole dates. Daily trading is in `daily_store`.
 """
 
 from __future__ import annotations
@@ -10,47 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bourseline import schemas
-from bourseline.functions.rules import DEFAULTS, Thresholds
-from bourseline.operators.joins import unprocessed
-from bourseline.plans import brokers, daily, majors
-from bourseline.sources.readers import processed_sources
+from bourseline.plans import brokers, majors
 from bourseline.sources.writers import declare_table, read_table, upsert_by_date
 
-SOURCE = "source_file"
-
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType, date: str) -> DataFrame:
     declare_table(spark, path, schema, date)
     return read_table(spark, path, schema)
 
 
-def daily_run(rows: DataFrame, store: str, t: Thresholds = DEFAULTS, backfill: str = "own") -> None:
-    """Add the rows of sources not seen before to the history, and publish all days anew: a late
-    day changes the averages of the days after it, and a first price the gaps before it."""
-    spark = rows.sparkSession
-    spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{store}/history")
-    history = read_table(spark, f"{store}/history", rows.schema)
-    fresh = unprocessed(rows, processed_sources(history, SOURCE), SOURCE, SOURCE)
-    fresh.write.mode("append").parquet(f"{store}/history")
-    table = daily.publish(daily.indicators(read_table(spark, f"{store}/history", rows.schema), t, backfill))
-    upsert_by_date(table, f"{store}/daily", daily.DATE)
-
-
-def stored_daily(spark: SparkSession, store: str, columns: list[str]) -> DataFrame:
-    fields = [f for f in schemas.DAILY_TABLE.fields if f.name in columns]
-    return read_table(spark, f"{store}/daily", T.StructType(fields))
-
-
-def stored_screener(table: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """The period screener over the stored table: only the folders of the last 90 days are read."""
-    newest = table.select(F.max(daily.DATE)).first()[0]  # one value, from the folders' names
-    return daily.screener_period(table, t, F.lit(newest).cast("date"))
-
-
 def by_date(pages: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, schema: T.StructType, date: str) -> DataFrame:
     """Make a table's rows from new pages and replace their dates in the store; the whole table comes back.
     Rows without a date cannot be stored by date and are left out of it."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bourseline.plans import daily, jobs
+from bourseline.plans import daily, daily_store, jobs
 from bourseline.sources.storage import stage_path
 from bourseline.workload import adapters as A
 from bourseline.workload.registry import CHECKS, add
@@ -19,14 +19,15 @@ def _same_as(key: str, query, other: str) -> None:
 _stores: dict[tuple[str, str], str] = {}
 
 
-def daily_store(spark, sf):
-    """Two runs, once per session: the odd days, then all of them, of which the odd ones are known by then."""
+def trading(spark, sf):
+    """Two runs, once per session (a second call reads what is stored): the odd days, then all of them, of which the odd
+    ones are known by then, so that every second day comes late."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _stores:
         store = stage_path(spark, "daily-store")
         rows = A.trades(spark, sf)
-        jobs.daily_run(rows.filter(F.dayofmonth("trading_date") % 2 == 1), store)
-        jobs.daily_run(rows, store)
+        daily_store.run(rows.filter(F.dayofmonth("trading_date") % 2 == 1), store)
+        daily_store.run(rows, store)
         _stores[key] = store
     return _stores[key]
 
@@ -34,11 +35,11 @@ def daily_store(spark, sf):
 def stored(spark, sf):
     """The published columns that the test rows have."""
     columns = daily.publish(daily.indicators(A.trades(spark, sf))).columns
-    return jobs.stored_daily(spark, daily_store(spark, sf), columns)
+    return daily_store.stored_daily(spark, trading(spark, sf), columns)
 
 
 _same_as("job_daily", stored, "pipe_daily_publish")
-_same_as("job_daily_screener", lambda s, sf: jobs.stored_screener(stored(s, sf)), "agg_screener_period")
+_same_as("job_daily_screener", lambda s, sf: daily_store.stored_screener(s, trading(s, sf)), "agg_screener_period")
 
 
 def in_two_runs(make, pages, dated, store):
