@@ -9,7 +9,8 @@ A query walks the tree best bin first: a priority queue holds the nodes seen so
 their distance to the query, the nearest is opened next, and leaves come out in the order
 in which they are to be visited. How many leaves are visited is calibrated: for `CALIBRATION` queries
 (the lowest hashes) the true neighbours are found by scanning all vectors, and the visits
-widen until they hold the target share of them.
+widen until they hold the target share of them. A query goes on beyond that until its leaves surely hold
+as many other vectors as it wants, by the counted ids of each leaf.
 
 Neighbouring leaves are dealt together, some `BLOCK_ROWS` rows at a time, and a query goes
 once to each such group with the leaves it visits there. Groups that hold more rows are dealt
@@ -18,8 +19,8 @@ or copies share it. Within a block, copies of a vector are scored once.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part,
 nor do rows without an id; copies and ties are ordered by id; the rows of an id that
-repeats are candidates each for itself, and a query never finds a row of its own id; if
-dimensions differ, those of the most frequent one take part; an empty table gives an empty
+repeats are candidates each for itself, and a query never finds a row of its own id; vectors of each
+dimension have a tree of their own and are searched among themselves; an empty table gives an empty
 result; only the two named columns are read, so extra columns cannot clash.
 """
 
@@ -73,15 +74,16 @@ class Tree:
                     active += kids
         return at
 
-    def visits(self, query: np.ndarray, most: int | None = None) -> list[int]:
-        """Leaves, best bin first."""
+    def visits(self, query: np.ndarray, most: int | None = None, least: int = 0, held: dict[int, int] | None = None) -> list[int]:
+        """Leaves, best bin first: `most` of them, and further ones until they hold at least `least` by `held` (of each leaf)."""
         q = np.append(query, 0.0)
-        queue, out = [(0.0, 0)], []
-        while queue and (most is None or len(out) < most):
+        queue, out, so_far = [(0.0, 0)], [], 0
+        while queue and (most is None or len(out) < most or so_far < least):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
                 out.append(node)
+                so_far += held.get(node, 0) if held else 0
                 continue
             far = ((self.centres[kids] - q) ** 2).sum(1)
             for d, kid in zip(far.tolist(), kids):
@@ -214,17 +216,13 @@ def exact(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     return _top(index.select("id", "leaf", "v").mapInArrow(run, "query_id long, vec_id long, score double, leaf long"), k)
 
 
-def build(vectors: DataFrame) -> tuple[Tree, DataFrame] | None:
-    """The tree, and the stored index of every vector: `id`, `leaf`, `v`."""
-    sizes = vectors.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    if sizes is None:
-        return None
-    vectors = vectors.where(F.size("v") == sizes["d"])
+def build(vectors: DataFrame, n: int) -> tuple[Tree, DataFrame]:
+    """The tree, and the stored index of every one of the `n` vectors, which have one dimension: `id`, `leaf`, `v`."""
     top = vectors.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
     sample = vectors.select("v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     taken = np.array([r["v"] for r in sample])
-    tree = grow(taken, top, max(1, sizes["n"] // LEAF_ROWS))
-    gather(tree, taken, sizes["n"])
+    tree = grow(taken, top, max(1, n // LEAF_ROWS))
+    gather(tree, taken, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,11 +236,19 @@ def build(vectors: DataFrame) -> tuple[Tree, DataFrame] | None:
 def search(vectors: DataFrame, is_query: Column, k: int, target: float = TARGET) -> DataFrame:
     """For each row of `vectors` (id, v) with `is_query` (a condition on id): `query_id`, `rank`, `vec_id`, `score`,
     nearest first, ties to the smaller id."""
-    built = build(vectors)
-    schema = "query_id long, rank int, vec_id long, score double"
-    if built is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    tree, index = built
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sizes = vectors.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.count_if(is_query).alias("asked"))
+    sizes = sizes.where("asked > 0").orderBy("d").collect()  # a row for each dimension
+    for r in sizes:
+        found = _search(vectors.where(F.size("v") == r["d"]), r["n"], is_query, k, target)
+        out = found if len(sizes) == 1 else out.unionByName(found)
+    return out
+
+
+def _search(vectors: DataFrame, n: int, is_query: Column, k: int, target: float) -> DataFrame:
+    tree, index = build(vectors, n)
+    # Of each leaf the ids but one, which may be the query's own.
+    held = {r["leaf"]: r["n"] - 1 for r in index.groupBy("leaf").agg(F.count_distinct("id").alias("n")).collect()}  # one line per leaf
     queries = index.where(is_query).dropDuplicates(["id", "v"])
     visits = calibrated(tree, queries, index, k, target)
 
@@ -257,7 +263,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, target: float = TARGET)
             of, groups, leaves = [], [], []
             for n, q in enumerate(_arrow_matrix(batch.column(1))):
                 seen: dict[int, list[int]] = {}
-                for leaf in tree.visits(q, visits):
+                for leaf in tree.visits(q, visits, k, held):
                     seen.setdefault(int(group_of[leaf]), []).append(leaf)
                 of += [n] * len(seen)
                 groups += seen
