@@ -43,6 +43,7 @@ WIDE = 1024  # coordinates in the bound that comes before the sets
 DEVIATIONS = 4.5
 SIMILARITY = 80  # per cent
 SEED = 20240229
+SALTS = 16  # parts in which the classes of a component are met
 PART = 1 << 21  # bytes hashed at a time
 LONGEST = 64  # bytes of a word that is hashed as it is
 WIDTH = 4096  # shingles whose coordinates are gathered at a time
@@ -264,11 +265,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = SIMILARIT
     between = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
     merged = components(between.select(F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b")))
     merged = merged.select(F.col("node").alias("component"), F.col("component").alias("merged"))
-    lasting = rows.select(key, "set_id").join(so_far, F.col("set_id") == F.col("node"), "left")
-    lasting = lasting.select(key, F.coalesce("component", "set_id").alias("component")).join(merged, "component", "left")
-    lasting = lasting.select(key, F.coalesce("merged", "component").alias("component"))
-    ids = lasting.groupBy("component").agg(F.min(key).alias("component_id"))
-    by_key = lasting.join(ids, "component").groupBy(key).agg(F.min("component_id").alias("component_id"))
+    linked = so_far.join(merged, "component", "left").select(F.col("node").alias("set_id"), F.coalesce("merged", "component").alias("component"))
+    # Classes that only the second round has linked are components of their own so far.
+    alone = merged.join(so_far, merged["component"] == so_far["node"], "left_anti").select(F.col("component").alias("set_id"), F.col("merged").alias("component"))
+    linked = stage(linked.unionByName(alone).join(classes.select("set_id", "first"), "set_id"), "linked")
+    # Classes, not rows, meet their component's smallest key, which is sent out several times: a large component is met in parts.
+    salt = F.pmod(F.xxhash64("set_id"), F.lit(SALTS))
+    least = linked.groupBy("component").agg(F.min("first").alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    joined = linked.withColumn("salt", salt).join(least, ["component", "salt"]).select("set_id", "least")
+    of_set = classes.select("set_id", "first").join(joined, "set_id", "left").select("set_id", F.coalesce("least", "first").alias("component_id"))
+    by_key = rows.select(key, "set_id").join(of_set, "set_id").groupBy(key).agg(F.min("component_id").alias("component_id"))
     out = known.select(key, "n_shingles").join(by_key, key, "left")
     found = F.coalesce("component_id", F.col(key))
     return out.select(key, "n_shingles", found.alias("component_id"), F.coalesce(F.col(key) == found, F.lit(True)).alias("kept"))
