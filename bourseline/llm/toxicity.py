@@ -22,8 +22,8 @@ the lowest hashes, drawn from its whole text). Near copies among them (32 minima
 in bands of four) count once for each label. Scoring reads every word of every text.
 
 Cases: a null text is an empty text; a text without a match has the probability of no match; rows with
-null or repeated ids are scored each for itself; an id with two texts counts as two documents of the
-fit, an id with both labels as none; without labels of both kinds the built-in words and a fixed function are
+null or repeated ids are scored each for itself; of an id with several texts the fit takes the one with the
+lowest hash, and an id with both labels has none; without labels of both kinds the built-in words and a fixed function are
 used; an empty table gives an empty result; only the named columns are read, so extra columns cannot
 clash; lines above `PIECE` characters are read in pieces at word ends, and the state goes on.
 """
@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from bourseline.llm.byte_bpe import sliced
 from bourseline.llm.minhash import shingle_hashes
+from bourseline.sources.storage import stage
 
 FIT_ROWS, FIT_WORDS = 2000, 8192
 MOST_WORDS = 5000  # learned insults: those with the highest likelihood ratio
@@ -261,13 +262,19 @@ def _minima() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 2**63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, 32, dtype=np.uint64)
 
 
-def samples(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int) -> DataFrame:
-    """At most `rows` labelled documents of each label: `h` (hash of the key), `y`, `bands` of near copies, `words` (distinct)."""
+def sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int) -> DataFrame:
+    """At most `rows` labelled documents of each label, stored: `h` (hash of the key), `y` and `text`."""
     own = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("_y"), F.max(label).alias("_z"))
     own = own.where("_y = _z").select(key, "_y")
     some = [own.where(F.col("_y") == y).orderBy(F.xxhash64(key), key).limit(rows) for y in (0, 1)]
-    # At most twice `rows` ids are sent; the texts stay where they are.
-    found = docs.select(key, text).join(F.broadcast(some[0].unionByName(some[1])), key).select(F.xxhash64(key), "_y", text)
+    # At most twice `rows` ids are sent; of the texts only theirs move.
+    found = docs.select(key, text).join(F.broadcast(some[0].unionByName(some[1])), key)
+    first = found.groupBy(key, "_y").agg(F.min(F.struct(F.xxhash64(text).alias("of"), F.col(text).alias("text"))).alias("first"))
+    return stage(first.select(F.xxhash64(key).alias("h"), F.col("_y").alias("y"), F.col("first")["text"].alias("text")), "labelled")
+
+
+def sketched(sample: DataFrame) -> DataFrame:
+    """`h`, `y`, `bands` of near copies and `words` (distinct) of the sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factor, added = _minima()
@@ -284,7 +291,7 @@ def samples(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
                     words.append(sorted(own) if len(own) <= FIT_WORDS else sorted(sorted(own, key=_order)[:FIT_WORDS]))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bands, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.string()))], names=["h", "y", "bands", "words"])
 
-    return found.mapInArrow(run, "h long, y int, bands array<long>, words array<string>")
+    return sample.select("h", "y", "text").mapInArrow(run, "h long, y int, bands array<long>, words array<string>")
 
 
 def _order(word: str) -> int:
@@ -358,7 +365,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, ...]:
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = FIT_ROWS) -> Model:
     """Learned insults and the function of the features."""
-    data = sorted(samples(docs, labels, key, text, label, rows).collect(), key=lambda r: (r["h"], r["y"], r["bands"], r["words"]))
+    sample = sampled(docs, labels, key, text, label, rows)
+    data = sorted(sketched(sample).collect(), key=lambda r: (r["h"], r["y"], r["bands"], r["words"]))
     ys = [r["y"] for r in data]
     chosen = _representatives([r["bands"] for r in data], ys)
     words, ys = [data[i]["words"] for i in chosen], [ys[i] for i in chosen]
@@ -372,7 +380,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     counted = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(label).agg(F.countDistinct(key).alias("n")).collect()
     n = {r[label]: r["n"] for r in counted}
     some = docs.sparkSession.createDataFrame([(h, y, half) for (h, y), half in half_of.items()], "h long, y int, half int")
-    rows_of = docs.select(F.xxhash64(key).alias("h"), text).where(F.col(key).isNotNull()).join(F.broadcast(some), "h").select("y", "half", text)
+    rows_of = sample.join(F.broadcast(some), ["h", "y"]).select("y", "half", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
