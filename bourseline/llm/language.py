@@ -1,7 +1,8 @@
 """Language identification by Bayesian fusion of evidence.
 
 Evidence about a row: the likelihood of its text (byte trigrams, one multinomial per
-language, fitted on a bounded sample of labelled documents), the language its markup
+language, fitted on at most `FIT_ROWS` labelled documents of each, of any length, long ones by
+excerpts spread over the whole text), the language its markup
 declares, the suffix of its address, and the prior of its host. The last three are tables
 counted over all rows by grouped aggregation, with what the text alone says as the label:
 
@@ -33,9 +34,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bourseline.llm.byte_bpe import sliced
+from bourseline.llm.quality_cnn import excerpt
 from bourseline.sources.storage import stage
 
-FIT_ROWS, FIT_BYTES = 300, 32_768  # labelled documents per language, and bytes of each, that the fit takes at most
+FIT_ROWS = 300  # labelled documents per language that the fit takes at most, by excerpts (see `excerpt`)
+SOME = 20  # trigrams of a text whose mean likelihood says something
 SLOTS = 1 << 16
 MOST_TRIGRAMS = 60
 SMOOTHING = 20.0  # rows that a prior one level up weighs
@@ -68,13 +71,17 @@ def fit(samples: dict[str, list[bytes]]) -> tuple[list[str], np.ndarray, np.ndar
             counts += np.bincount(_slots(text), minlength=SLOTS)
         table[:, k] = np.log(counts / counts.sum())
     # A tenth of the lowest are passed over: labels can be wrong.
-    lowest = np.array([np.quantile([_mean_likelihoods(t, table)[0][k] for t in samples[n]], 0.1) for k, n in enumerate(names)])
+    lowest = np.empty(len(names))
+    for k, name in enumerate(names):
+        means = [_mean_likelihoods(t, table) for t in samples[name]]
+        telling = [m for m in means if m[1] >= SOME] or means
+        lowest[k] = np.quantile([m[0][k] for m in telling], 0.1)
     return names, table, lowest
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = FIT_ROWS):
     """Fit on at most `rows` documents of each language, those with the lowest hashes of their keys."""
-    own = labelled.where(F.col(lang).isNotNull() & F.octet_length(text).between(20, FIT_BYTES)).select(F.xxhash64(key).alias("h"), F.col(text).cast("binary").alias("t"), F.col(lang).alias("y"))
+    own = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.xxhash64(key).alias("h"), excerpt(text).alias("t"), F.col(lang).alias("y"))
     place = F.row_number().over(Window.partitionBy("y").orderBy("h", "t"))
     samples: dict[str, list[bytes]] = {}
     for r in own.withColumn("place", place).where(F.col("place") <= rows).orderBy("y", "h", "t").collect():  # bounded: languages x rows

@@ -5,12 +5,14 @@ largest response is taken in blocks of `STRIDE` bytes; two neighbouring blocks m
 chunk, so chunks overlap by half and cover the whole text. The pooled responses of a
 chunk give its logit, and the mean logit of all chunks one probability per document.
 
-The fit takes at most `FIT_ROWS` labelled documents of each label and at most `FIT_BYTES`
-bytes of any of them (longer ones are passed over); scoring reads every byte of every text.
+The fit takes at most `FIT_ROWS` labelled documents of each label, those with the lowest hashes of
+their ids, whatever their length; of a text above `FIT_BYTES` bytes it takes `EXCERPTS` pieces of as many bytes in all, spread
+evenly over the whole of it. Scoring reads every byte of every text.
 The bias is shifted to the share of the labels among all labelled rows given.
 
 Cases: a null text is an empty text, which is scored by the bias alone; rows may repeat;
-null keys stay; without labels of both kinds every score is one half; an empty table gives
+null keys stay; of an id with several texts the fit takes the one with the lowest hash, and an id
+with both labels has none; without labels of both kinds every score is one half; an empty table gives
 an empty result; only the named columns are read, so extra columns cannot clash.
 """
 
@@ -22,13 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourseline.llm.byte_bpe import sliced
 
 TAPS, FILTERS, STRIDE = 8, 16, 128
-FIT_ROWS, FIT_BYTES = 400, 32_768
+FIT_ROWS, FIT_BYTES, EXCERPTS = 400, 32_768, 8
 EPOCHS, BATCH, RATE, SEED = 12, 32, 0.02, 7
 PART = 1 << 16  # bytes whose responses are held at a time
 NOWHERE = np.float32(-1e30)
@@ -148,17 +150,33 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(mean, -500, 500)))
 
 
+def excerpt(text: str, most: int = FIT_BYTES, pieces: int = EXCERPTS) -> Column:
+    """The bytes of a text, or of a longer one `pieces` of `most` bytes in all, spread evenly from its beginning to its end."""
+    raw, size = F.coalesce(F.col(text), F.lit("")).cast("binary"), F.octet_length(F.coalesce(F.col(text), F.lit("")))
+    part = most // pieces
+    begins = [F.floor((size - part) * k / (pieces - 1)).cast("int") + 1 for k in range(pieces)]
+    return F.when(size <= most, raw).otherwise(F.concat(*[F.substring(raw, b, F.lit(part)) for b in begins]))
+
+
+def sampled(docs: DataFrame, chosen: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """`h` (hash of the key), `t` (excerpt) and `y`, one row for each chosen key that has a document: the one whose text has the lowest
+    hash. The chosen keys are few and are sent to the documents."""
+    found = docs.select(key, text).join(F.broadcast(chosen), key)
+    first = found.groupBy(key, label).agg(F.min(F.struct(F.xxhash64(text).alias("of"), excerpt(text).alias("t"))).alias("first"))
+    return first.select(F.xxhash64(key).alias("h"), F.col("first")["t"].alias("t"), F.col(label).alias("y"))
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = FIT_ROWS) -> Network | None:
     """A network from at most `rows` labelled documents of each label, those with the lowest hashes of their keys."""
-    own = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).select(key, label).dropDuplicates([key])
+    own = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias(label), F.max(label).alias("_other"))
+    own = own.where(F.col(label) == F.col("_other")).select(key, label)
     counts = {r[label]: r["n"] for r in own.groupBy(label).agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return None
-    # Three times as many ids as are fitted, for those whose text is too long.
-    some = [own.where(F.col(label) == y).orderBy(F.xxhash64(key), key).limit(3 * rows) for y in (0, 1)]
-    found = docs.select(key, text).join(F.broadcast(some[0].unionByName(some[1])), key).where(F.octet_length(text) <= FIT_BYTES)
-    found = found.dropDuplicates([key]).select(F.xxhash64(key).alias("h"), F.col(text).cast("binary").alias("t"), F.col(label).alias("y"))
-    data = [r for y in (0, 1) for r in found.where(F.col("y") == y).orderBy("h").limit(rows).collect()]
+    known = docs.select(key).where(F.col(key).isNotNull()).distinct()  # a label may have no document
+    some = [own.where(F.col(label) == y).join(known, key, "left_semi").orderBy(F.xxhash64(key), key).limit(rows) for y in (0, 1)]
+    chosen = some[0].unionByName(some[1])
+    data = sampled(docs, chosen, key, text, label).orderBy("y", "h", "t").collect()  # at most twice `rows`, of FIT_BYTES each
     if len({r["y"] for r in data}) < 2:
         return None
     return fit([bytes(r["t"]) for r in data], np.array([r["y"] for r in data], dtype=np.float64), counts[1] / (counts[0] + counts[1]))

@@ -116,6 +116,23 @@ def test_neighbours_with_copies_and_odd_vectors(spark, monkeypatch):
     assert ann.search(few, F.col("id") == 0, 20).count() == 2
 
 
+def test_tight_clusters_and_other_dimensions(spark, monkeypatch):
+    """Leaves of a few vectors each, where the calibrated visits would not hold k others; and vectors of two more dimensions."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(ann, "LEAF_ROWS", 4)
+    monkeypatch.setattr(ann, "LEAST_OF_SAMPLE", 2)
+    monkeypatch.setattr(ann, "calibrated", lambda *a: 1)
+    rows = [(i, (rng.normal(size=6) * 0.01 + 10 * np.eye(6)[i % 6] * (1 + i % 5)).tolist()) for i in range(400)]
+    rows += [(1000 + 20 * i, rng.normal(size=3).tolist()) for i in range(30)] + [(5000, [1.0]), (5020, [2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(ann.usable(table, "vec_id", "embedding"), F.col("id") % 20 == 0, 20).collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    sizes = {i: len(v) for i, v in rows}
+    assert {i: len(x) for i, x in found.items()} == {i: 1 if i >= 5000 else 20 for i, _ in rows if i % 20 == 0}
+    assert all(sizes[q] == sizes[v] for q, own in found.items() for v in own)
+
+
 def test_recall(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet")
     got = queries.op4_ann(spark, SF).collect()

@@ -116,6 +116,30 @@ def test_classifier_on_held_out_rows(spark):
     assert (good >= 0.3).mean() > 0.97
 
 
+def test_fits_take_texts_of_any_length(spark):
+    """One label, and one language, only in long texts; ids that repeat with other texts or labels; the order of rows does not matter."""
+    rnd = np.random.default_rng(1)
+    good = [(i, "calm words of a quiet day " * int(rnd.integers(3, 9)), "en", 1) for i in range(60)]
+    bad = [(100 + i, "### $$$ %%% &&& " * 6000 + "x" * int(rnd.integers(1, 99)), "xx", 0) for i in range(60)]
+    more = [(1, "another text of the first id", "en", 1), (500, "both labels", "en", 0), (500, "both labels", "en", 1)] + [(2, "copied", "en", 1)] * 50
+    frame = spark.createDataFrame(good + bad + more, "doc_id bigint, text string, lang string, quality int")
+    docs, labels = frame.drop("quality"), frame.select("doc_id", "quality")
+    network = quality_cnn.train(docs, labels)
+    again = quality_cnn.train(docs.repartition(5), labels.orderBy(F.rand(3)))
+    assert all(np.array_equal(getattr(network, f), getattr(again, f)) for f in ("filters", "bias", "weights")) and network.shift == again.shift
+    scores = {r["doc_id"]: r["score"] for r in quality_cnn.score(docs.where("doc_id IN (3, 4, 103, 104)"), network).collect()}
+    assert min(scores[3], scores[4]) > 0.5 > max(scores[103], scores[104])
+    assert language.train(docs)[0] == ["en", "xx"]
+    known = language.identify(docs.where("doc_id IN (3, 104)").withColumn("host", F.lit(None).cast("string")), language.train(docs), ["doc_id"])
+    assert {r["doc_id"]: r["language"] for r in known.collect()}[3] == "en"
+
+
+def test_excerpts_reach_from_end_to_end(spark):
+    text = "".join(chr(97 + i * 26 // 100_000) for i in range(100_000))
+    got = [bytes(r["e"]).decode() for r in spark.createDataFrame([(text,), ("short é",), (None,)], "t string").select(quality_cnn.excerpt("t", 2600, 13).alias("e")).collect()]
+    assert len(got[0]) == 2600 and got[0][0] == "a" and got[0][-1] == "z" and len(set(got[0])) >= 13 and got[1:] == ["short é", ""]
+
+
 @pytest.mark.parametrize("table", ["odd", "empty"])
 def test_language_of_odd_rows(table, request, docs):
     rows = request.getfixturevalue(table).withColumn("host", F.col("source"))
