@@ -7,7 +7,8 @@ scored like a paragraph, and its span is the lines that it touches. Features are
 the templates hold (a sparse vector; others weigh nothing). A multinomial logistic
 regression over licence families and an unknown class is fitted on the templates with
 words left out, cut ends and words around them, against lines of a bounded sample of the corpus
-(`FIT_DOCS` documents) and sentences that only talk about licences. Its temperature is
+(at most `FIT_LINES` lines, evenly from all lines of `FIT_DOCS` documents with the lowest hashes of their ids, of any length, long ones by
+excerpts spread over the whole text; of an id with several texts the one with the lowest hash) and sentences that only talk about licences. Its temperature is
 calibrated on a part of the data that the fit has not seen.
 
 A prediction counts if it is a family with probability `LEAST` or more, and the paragraph
@@ -33,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bourseline.llm.byte_bpe import sliced
+from bourseline.llm.quality_cnn import sampled
 
-FIT_DOCS, FIT_BYTES = 300, 32_768
+FIT_DOCS, FIT_LINES = 300, 1500
 LEAST, CONTAINED = 0.5, 0.6
 STRETCH = 2  # words of a wrapped notice over those of its template, at most
 COPIES, STEPS, RATE, SEED = 40, 300, 0.5, 5
@@ -250,7 +252,7 @@ def fit(corpus_lines: list[str]) -> Model:
                 cut = int(rng.integers(0, len(around) + 1))
                 rows.append((around[:cut] + some + around[cut:], k))
     unknown = len(families) - 1
-    rows += [(x, unknown) for x in plain[:1500]] + [(words(x), unknown) for x in OTHERS for _ in range(COPIES)]
+    rows += [(x, unknown) for x in plain[:: max(1, -(-len(plain) // FIT_LINES))]] + [(words(x), unknown) for x in OTHERS for _ in range(COPIES)]
     x = np.zeros((len(rows), len(vocabulary) + 1), dtype=np.float32)
     x[:, -1] = 1
     for i, (own, _) in enumerate(rows):
@@ -284,10 +286,9 @@ def fit(corpus_lines: list[str]) -> Model:
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = FIT_DOCS) -> Model:
     """Fit with lines of at most `most` documents, those with the lowest hashes of their keys."""
-    short = docs.where(F.octet_length(text) <= FIT_BYTES).select(key, text)
-    ids = short.where(F.col(key).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(most)  # ids first: texts of each task's own lowest stay where they are
-    few = sorted(short.join(F.broadcast(ids), key).dropDuplicates([key]).select(F.xxhash64(key).alias("h"), F.col(text).alias("t")).collect())
-    return fit([line for r in few for line in r["t"].split("\n") if words(line)])
+    ids = docs.where(F.col(key).isNotNull()).select(key).distinct().orderBy(F.xxhash64(key), key).limit(most)  # ids first: other texts stay where they are
+    few = sampled(docs, ids.withColumn("_one", F.lit(1)), key, text, "_one").orderBy("h", "t").collect()  # at most `most`, of bounded size
+    return fit([line for r in few for line in bytes(r["t"]).decode("utf-8", "ignore").split("\n") if words(line)])
 
 
 def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
