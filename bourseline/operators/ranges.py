@@ -82,7 +82,7 @@ def inside(key: str, order: Sequence[str]):
 
 def carried(rows: DataFrame, key: str, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Last known values per key; leading gaps take the key's first known value. Rows without a key get nulls, as in a grouped fill.
-    `rows` have their edges."""
+    `rows` have their edges, and lose the values among them."""
     w = inside(key, order)
     running = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
@@ -94,7 +94,7 @@ def carried(rows: DataFrame, key: str, order: Sequence[str], cols: Sequence[str]
         )
         return F.when(F.col(key).isNotNull(), known)
 
-    return rows.withColumns({c: filled(c) for c in cols})
+    return rows.withColumns({c: filled(c) for c in cols}).drop("_carry", "_after")
 
 
 def reaching(rows: DataFrame, key: str, order: Sequence[str], reach: int) -> DataFrame:
@@ -126,20 +126,23 @@ def halo(tails: DataFrame, found: DataFrame, key: str, cols: Sequence[str], reac
     return stage(rows.select(RANGE, F.transform(F.sequence(F.lit(0), last), sums).alias("_halo")), "halo")
 
 
-def rolled(rows: DataFrame, of: DataFrame, key: str, order: Sequence[str], frames: dict[str, tuple[str, int]]) -> DataFrame:
-    """`rows` (with their edges) with a sum for each frame (new name -> column, rows) and `_row`, the place in the key.
-    Nulls are left out of a sum; a sum of nulls alone is null."""
+def rolled(rows: DataFrame, of: DataFrame, key: str, order: Sequence[str], frames: dict[str, tuple[str, int]], only: Column | None = None) -> DataFrame:
+    """`rows` (with their edges) with a sum for each frame (new name -> column, rows) and `_row`, the place in the key; of these the
+    rows where `only` holds. Nulls are left out of a sum; a sum of nulls alone is null. Halos come to the rows after all
+    sorting, so that no sort carries them."""
     w = inside(key, order)
-    rows = rows.join(F.broadcast(of), RANGE, "left").withColumn("_own_row", F.row_number().over(w))
+    sums = {name: F.sum(c).over(w.rowsBetween(1 - n, W.currentRow)) for name, (c, n) in frames.items()}
+    rows = rows.withColumns(sums | {"_own_row": F.row_number().over(w), "_only": F.lit(True) if only is None else only})
+    rows = rows.filter("_only").drop("_only").join(F.broadcast(of), RANGE, "left")
 
-    def total(c: str, n: int) -> Column:
-        own = F.sum(c).over(w.rowsBetween(1 - n, W.currentRow))
+    def total(name: str, c: str, n: int) -> Column:
+        own = F.col(name)
         missing = F.least(F.lit(n) - F.col("_own_row"), F.size("_halo") - 1)
         extra = F.when(_same(key, "_head") & (missing > 0), F.get("_halo", missing)[c])
         return F.coalesce(own + extra, own, extra)
 
     row = F.col("_own_row") + F.when(_same(key, "_head"), F.col("_start")).otherwise(F.lit(0))
-    return rows.withColumns({name: total(c, n) for name, (c, n) in frames.items()} | {"_row": row}).drop("_own_row", "_halo")
+    return rows.withColumns({name: total(name, c, n) for name, (c, n) in frames.items()} | {"_row": row}).drop("_own_row", "_halo")
 
 
 def last_of(rows: DataFrame, key: str, order: Sequence[str]) -> Column:

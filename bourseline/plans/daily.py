@@ -118,13 +118,13 @@ ROLLED = {"_tpxv": ("tpxv", SHORT), "_volume": ("volume", SHORT), "_order20": ("
 
 
 def roll(df: DataFrame, halo: DataFrame) -> DataFrame:
-    """20- and 50-row frames per stock. Rows without a stock code get no averages."""
+    """20- and 50-row frames per stock, at the last row of each day. Rows without a stock code get no averages."""
     c = F.col
 
     def per_stock(value: Column) -> Column:
         return F.when(c(STOCK).isNotNull(), value)
 
-    sums = ranges.rolled(df, halo, STOCK, ORDER, ROLLED)
+    sums = ranges.rolled(df, halo, STOCK, ORDER, ROLLED, ranges.last_of(df, STOCK, ORDER))
 
     # Volumes hold no nulls here, so a frame's mean is its sum over its row count.
     def mean(total: str, rows: int) -> Column:
@@ -168,7 +168,7 @@ def indicators(rows: DataFrame, t: Thresholds = DEFAULTS, backfill: str = "own")
     tails = ranges.reaching(derive(dealt.filled(near, backfill)), STOCK, ORDER, LONG - 1)
     halo = ranges.halo(tails, dealt.spans, STOCK, ["tpxv", "volume", "avg_order_volume"], LONG - 1)
     df = roll(derive(dealt.filled(dealt.all, backfill)), halo)
-    df = ranges.drop_edges(df.withColumn("_last", ranges.last_of(df, STOCK, ORDER)).filter("_last").drop("_last"))
+    df = ranges.drop_edges(df)
     if "foreign_buy_value" not in df.columns:
         df = foreign_values(df)
     return flags(df, t)
