@@ -34,7 +34,7 @@ from bourseline.operators.frames import union_by_name
 from bourseline.plans import daily
 from bourseline.plans.daily import DATE, LONG, SEQ, STOCK
 from bourseline.sources import ledger
-from bourseline.sources.storage import names_in, remove, stage
+from bourseline.sources.storage import drop_landed, landed, names_in, remove, stage
 from bourseline.sources.writers import read_table, upsert_by_date
 
 SOURCE = "source_file"
@@ -208,10 +208,12 @@ def anew(table: DataFrame, begins: DataFrame) -> DataFrame:
 def replace_days(fresh: DataFrame, stored: DataFrame, begins: DataFrame, path: str) -> None:
     """Put the days made anew in place of the stored ones of their stocks; other stocks' rows of their months, and other days, stay."""
     spark = fresh.sparkSession
+    mark = landed()
     fresh = stage(_in_months(fresh).select(*stored.columns), "fresh-days")
     gone = anew(_folders_from(stored, begins, "_day"), begins).select(MONTH)
     months = [r[MONTH] for r in fresh.select(MONTH).unionByName(gone).distinct().collect()]  # bounded by the calendar
     if not months:
+        drop_landed(spark, mark)
         return
     days = begins.select("_stock", "_day")
     same = _stock_is("_stock") & (F.col("_day").isNull() | (F.col(DATE) >= F.col("_day")))
@@ -222,6 +224,7 @@ def replace_days(fresh: DataFrame, stored: DataFrame, begins: DataFrame, path: s
     left = {r[MONTH] for r in whole.select(MONTH).distinct().collect()}
     for month in set(months) - left:
         remove(spark, f"{path}/{MONTH}={month}")
+    drop_landed(spark, mark)
 
 
 def horizon(table: DataFrame, t: Thresholds) -> DataFrame:
@@ -236,6 +239,16 @@ def run(rows: DataFrame, path: str, t: Thresholds = DEFAULTS, backfill: str = "o
     """Take in the sources of `rows` that are new or have changed, each as a whole, and make anew what they touch. The number of
     the run comes back, or 0 if there was nothing to do. With `backfill="next_stock"` a price may
     fill another stock's gaps, so all stocks are made anew."""
+    spark = rows.sparkSession
+    mark = landed()
+    try:
+        return _run(rows, path, t, backfill)
+    finally:
+        # The run's stages are read by nothing after it; a store of many runs would otherwise hold them all.
+        drop_landed(spark, mark)
+
+
+def _run(rows: DataFrame, path: str, t: Thresholds, backfill: str) -> int:
     spark = rows.sparkSession
     rows = rows.na.drop(subset=[DATE])
     store = Store(spark, path, rows.schema)

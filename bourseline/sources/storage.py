@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _marked: set[str] = set()
+_landed: list[str] = []
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -43,9 +44,22 @@ def land(df: DataFrame, label: str) -> str:
     """Write `df` as a new Parquet dataset of this application and return its path."""
     path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
+    _landed.append(path)
     return path
 
 
+def landed() -> int:
+    """A mark: how many datasets `land` has written so far."""
+    return len(_landed)
+
+
+def drop_landed(spark: SparkSession, mark: int) -> None:
+    """Remove the datasets landed since a mark, once nothing reads them any more: a job in steps keeps only its own."""
+    for path in _landed[mark:]:
+        remove(spark, path)
+    del _landed[mark:]
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and go on from the written table: later steps read only the
     columns they need, and a lost executor costs no recomputation of the steps before.
@@ -59,7 +73,9 @@ def stage_buckets(df: DataFrame, label: str, column: str) -> DataFrame:
     spark = df.sparkSession
     name = f"stage_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, column).option("path", stage_path(spark, label)).format("parquet").saveAsTable(name)
+    path = stage_path(spark, label)
+    df.write.bucketBy(buckets, column).option("path", path).format("parquet").saveAsTable(name)
+    _landed.append(path)
     return spark.table(name)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bourseline.plans import daily, daily_store, jobs
-from bourseline.sources.storage import stage_path
+from bourseline.sources.storage import drop_landed, landed, stage_path
 from bourseline.workload import adapters as A
 from bourseline.workload.registry import CHECKS, add
 
@@ -33,8 +33,10 @@ def trading(spark, sf):
 
 
 def stored(spark, sf):
-    """The published columns that the test rows have."""
+    """The published columns that the test rows have. Only the columns are wanted: what building the plan stages goes."""
+    mark = landed()
     columns = daily.publish(daily.indicators(A.trades(spark, sf))).columns
+    drop_landed(spark, mark)
     return daily_store.stored_daily(spark, trading(spark, sf), columns)
 
 

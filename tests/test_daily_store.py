@@ -1,5 +1,6 @@
 """The daily store against a full run over all rows: first, late, re-sent and corrected days, crashes, and what is read."""
 
+import os
 import random
 from datetime import date, timedelta
 
@@ -150,3 +151,17 @@ def test_ledger(spark, tmp_path):
     assert ledger.unseen(ledger.of_rows(rows.repartition(3).orderBy(F.desc("x")), "source_file"), known).count() == 0
     other = spark.createDataFrame([("a", 1), ("a", 5), ("b", 3), ("c", 1)], "source_file string, x int")
     assert {(r["name"], r["before"]) for r in ledger.unseen(ledger.of_rows(other, "source_file"), known).collect()} == {("a", 1), ("c", None)}
+
+
+def test_runs_leave_no_stages(spark, frame, tmp_path):
+    """A run's stages go when it ends; runs of a store held all of theirs until the application ended."""
+    from bourseline.sources.storage import shared_base
+
+    path, data = str(tmp_path / "store"), make(3)
+    names = sorted(data)
+    folder = f"{shared_base(spark)}/bourseline/stages-{spark.sparkContext.applicationId}".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert S.run(frame(rows_of(data, names[:40])), path, LOW) == 1
+    assert S.run(frame(rows_of(data, names)), path, LOW) == 2
+    assert set(os.listdir(folder)) <= before
+    check(spark, path, frame(rows_of(data, names)))
