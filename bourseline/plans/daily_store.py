@@ -185,15 +185,12 @@ def states(rows: DataFrame, begins: DataFrame, prices: list[str]) -> DataFrame:
     days = days.withColumns({_known(c): F.coalesce(F.last(c, True).over(through), F.col(_base(c))) for c in prices})
     before = {f"_before_{c}": F.coalesce(F.lag(_known(c)).over(so_far), F.col(_base(c))) for c in prices}
     days = days.withColumns(before)
-    # The last REACH days hold REACH rows at least; going back from the newest, the first day that fills up the count is the one.
-    near = F.collect_list(F.struct(DATE, "n", *[F.col(f"_before_{c}").alias(_base(c)) for c in prices])).over(so_far.rowsBetween(1 - REACH, 0))
-    days = days.withColumn("_near", F.reverse(near))
-    place = F.aggregate(
-        F.col("_near"), F.struct(F.lit(0).cast("bigint").alias("rows"), F.lit(0).alias("days")),
-        lambda s, d: F.when(s["rows"] >= REACH, s).otherwise(F.struct((s["rows"] + d["n"]).alias("rows"), (s["days"] + 1).alias("days"))),
-        lambda s: s["days"],
-    )
-    days = days.withColumn("_at", F.get("_near", place - 1))
+    # Counted from a stock's first row, a day's last REACH rows begin on the day after the last one whose count lies REACH or more
+    # below its own; if there is none, on the first day.
+    here = F.struct(DATE, *[F.col(f"_before_{c}").alias(_base(c)) for c in prices])
+    days = days.withColumns({"_rows": F.sum("n").over(through), "_first": F.first(here).over(through), "_next": F.lead(here).over(so_far)})
+    passed = W.partitionBy(STOCK).orderBy("_rows").rangeBetween(W.unboundedPreceding, -REACH)
+    days = days.withColumn("_at", F.coalesce(F.last("_next").over(passed), F.col("_first")))
     return days.select(
         STOCK, "n", F.col("_at")[DATE].alias("reach"), *[x for c in prices for x in (F.col(_known(c)), F.col("_at")[_base(c)].alias(_base(c)))], DATE
     )
@@ -206,23 +203,24 @@ def anew(table: DataFrame, begins: DataFrame) -> DataFrame:
 
 
 def replace_days(fresh: DataFrame, stored: DataFrame, begins: DataFrame, path: str) -> None:
-    """Put the days made anew in place of the stored ones of their stocks; other stocks' rows of their months, and other days, stay."""
+    """Put the days made anew in place of the stored ones of their stocks; other stocks' rows of their months, and other days, stay.
+    `fresh` is read several times, so it comes from a stage."""
     spark = fresh.sparkSession
     mark = landed()
-    fresh = stage(_in_months(fresh).select(*stored.columns), "fresh-days")
+    fresh = _in_months(fresh).select(*stored.columns)
     gone = anew(_folders_from(stored, begins, "_day"), begins).select(MONTH)
-    months = [r[MONTH] for r in fresh.select(MONTH).unionByName(gone).distinct().collect()]  # bounded by the calendar
+    made = {r[MONTH] for r in fresh.select(MONTH).distinct().collect()}  # bounded by the calendar
+    months = made | {r[MONTH] for r in gone.distinct().collect()}
     if not months:
         drop_landed(spark, mark)
         return
     days = begins.select("_stock", "_day")
     same = _stock_is("_stock") & (F.col("_day").isNull() | (F.col(DATE) >= F.col("_day")))
-    others = stored.filter(F.col(MONTH).isin(months)).join(days, same, "left_anti")
-    # Stored first: the months are written over while the others of them would be read.
-    whole = stage(others.unionByName(fresh), "days")
-    upsert_by_date(whole, path, MONTH)
-    left = {r[MONTH] for r in whole.select(MONTH).distinct().collect()}
-    for month in set(months) - left:
+    # Stored first: the months are written over while these rows of them would be read.
+    others = stage(stored.filter(F.col(MONTH).isin(sorted(months))).join(days, same, "left_anti"), "others")
+    upsert_by_date(others.unionByName(fresh), path, MONTH)
+    left = made | {r[MONTH] for r in others.select(MONTH).distinct().collect()}
+    for month in months - left:
         remove(spark, f"{path}/{MONTH}={month}")
     drop_landed(spark, mark)
 
@@ -293,9 +291,10 @@ def _run(rows: DataFrame, path: str, t: Thresholds, backfill: str) -> int:
 
     columns = T.StructType([f for f in schemas.DAILY_TABLE.fields if f.name in table.columns])
     replace_days(table, store.table("daily", columns), begins, f"{path}/daily")
-    replace_days(anew(states(read, begins, store.prices), begins), store.table("state", state_schema(store.prices)), begins, f"{path}/state")
+    ended = stage(anew(states(read, begins, store.prices), begins), "states")
+    replace_days(ended, store.table("state", state_schema(store.prices)), begins, f"{path}/state")
     if {"aov_ratio_ma20", "value", "net_foreign_value"} <= set(table.columns):
-        replace_days(horizon(table, t), store.table("horizon", HORIZON), begins, f"{path}/horizon")
+        replace_days(stage(horizon(table, t), "horizon"), store.table("horizon", HORIZON), begins, f"{path}/horizon")
     ledger.commit(spark, path, number)
     return number
 

@@ -165,3 +165,50 @@ def test_runs_leave_no_stages(spark, frame, tmp_path):
     assert S.run(frame(rows_of(data, names)), path, LOW) == 2
     assert set(os.listdir(folder)) <= before
     check(spark, path, frame(rows_of(data, names)))
+
+
+def test_rows_made_anew_are_stored_once_before_they_are_published(spark, frame, tmp_path, monkeypatch):
+    """Each table's days made anew are staged once, and besides them only other stocks' rows of their months."""
+    path, data = str(tmp_path / "store"), make(5)
+    names = sorted(data)
+    S.run(frame(rows_of(data, names[1::2])), path, LOW)
+    staged = []
+
+    def noted(df, label):
+        out = real(df, label)
+        staged.append((label, out.count()))
+        return out
+
+    real = S.stage
+    monkeypatch.setattr(S, "stage", noted)
+    rows = frame(rows_of(data, names))
+    S.run(rows, path, LOW)
+    check(spark, path, rows)
+    after = staged[[label for label, _ in staged].index("published"):]
+    columns = D.publish(D.indicators(rows, LOW)).columns
+    tables = {"daily": S.stored_daily(spark, path, columns), "state": spark.read.parquet(f"{path}/state"), "horizon": spark.read.parquet(f"{path}/horizon")}
+    assert sum(n for _, n in after) == sum(t.count() for t in tables.values())
+
+
+def test_states_are_counted_without_lists(spark, frame, tmp_path):
+    """The day on which a day's last 49 rows begin, and the prices before it, from running counts; no day gathers those before it."""
+    path, data = str(tmp_path / "store"), make(6)
+    rows = frame([r for r in rows_of(data, sorted(data)) if r[0] is not None])
+    prices = S.Store(spark, path, rows.schema).prices
+    begins = S.starts(S.touched_by(rows, rows.limit(0), prices), S.Store(spark, path, rows.schema).table("state", S.state_schema(prices)), prices)
+    found = S.states(rows, begins, prices)
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["stock_code"], r["trading_date"]): r for r in found.collect()}
+    at = {n: i for i, n in enumerate(rows.columns)}
+    for stock in "ABCDE":
+        own = sorted((r for n in data for r in data[n] if r[0] == stock), key=lambda r: (r[1], r[2]))
+        for day in {r[1] for r in own}:
+            upto = [r for r in own if r[1] <= day]
+            reach = upto[-min(len(upto), 49)][1]
+            r = got.pop((stock, day))
+            assert (r["n"], r["reach"]) == (sum(x[1] == day for x in own), reach)
+            for c in ("high", "low", "close"):
+                known = [x[at[c]] for x in upto if x[at[c]] is not None]
+                before = [x[at[c]] for x in upto if x[1] < reach and x[at[c]] is not None]
+                assert (r[f"known_{c}"], r[f"base_{c}"]) == (known[-1] if known else None, before[-1] if before else None)
+    assert not got
