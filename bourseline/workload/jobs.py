@@ -33,9 +33,10 @@ def trading(spark, sf):
 
 
 def stored(spark, sf):
-    """The published columns that the test rows have. Only the columns are wanted: what building the plan stages goes."""
+    """The published columns that the test rows have. Only the columns are wanted, so the plan that tells them is built over no
+    rows, and what it stages goes."""
     mark = landed()
-    columns = daily.publish(daily.indicators(A.trades(spark, sf))).columns
+    columns = daily.publish(daily.indicators(spark.createDataFrame([], A.trades(spark, sf).schema))).columns
     drop_landed(spark, mark)
     return daily_store.stored_daily(spark, trading(spark, sf), columns)
 

@@ -212,3 +212,23 @@ def test_states_are_counted_without_lists(spark, frame, tmp_path):
                 before = [x[at[c]] for x in upto if x[1] < reach and x[at[c]] is not None]
                 assert (r[f"known_{c}"], r[f"base_{c}"]) == (known[-1] if known else None, before[-1] if before else None)
     assert not got
+
+
+def test_columns_of_the_stored_table_cost_no_rows(spark, frame, tmp_path, monkeypatch):
+    """The query over the store asks the plan for its columns only; no row is dealt for that."""
+    from bourseline.workload import load
+
+    load()
+    from bourseline.workload import jobs
+
+    path, data = str(tmp_path / "store"), make(7)
+    rows = frame(rows_of(data, sorted(data)[:30]))
+    S.run(rows, path, LOW)
+    columns, want = plain(rows)
+    seen, real = [], D.indicators
+    monkeypatch.setattr(jobs, "trading", lambda spark, sf: path)
+    monkeypatch.setattr(jobs.A, "trades", lambda spark, sf: rows)
+    monkeypatch.setattr(D, "indicators", lambda df, *a: (seen.append(df.count()), real(df, *a))[1])
+    found = jobs.stored(spark, "none")
+    assert found.columns == columns and texts(found) == want
+    assert seen == [0]
