@@ -35,7 +35,7 @@ def sheet_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def json_pages(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Landed JSON documents, one per line."""
+    """Landed JSON documents, one per line, in plain or packed files."""
     return spark.read.schema(schema).json(path)
 
 

@@ -21,6 +21,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+JSON_ROWS = 500_000  # rows of a file: packed files are not split by readers
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """One JSON document per row, packed (names are repeated in each), in files of a bounded number of rows."""
+    df.write.option("compression", "gzip").option("maxRecordsPerFile", JSON_ROWS).json(path)
+
+
 def sorted_export(df: DataFrame, path: str, keys: list[str]) -> None:
     """Export in key order across part files (range partitioned, sorted inside)."""
     df.orderBy(*keys).write.mode("overwrite").option("header", True).csv(path)

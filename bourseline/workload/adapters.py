@@ -435,8 +435,7 @@ def monthly_text(spark: SparkSession, sf: str) -> DataFrame:
 # ---- broker and insider pages ----------------------------------------------------
 
 
-@landed
-def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
+def broker_rows(spark: SparkSession, sf: str) -> DataFrame:
     """A page per line item; its transaction comes twice, the second with another value."""
     day, ln = c("l_shipdate").cast("date"), c("l_linenumber")
     cents = F.round(c("l_extendedprice") * 100).cast("bigint")
@@ -464,6 +463,12 @@ def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
+def broker_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages, landed."""
+    return broker_rows(spark, sf)
+
+
 @landed
 def insider_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A page per order; its movement comes twice, the second under another name."""

@@ -72,8 +72,8 @@ UNION ALL SELECT DISTINCT source_file, 0, 8, 'Stock Code' FROM rows""",
 
 
 def src_json_pages(spark, sf):
-    path = fresh_path(spark, "pages")
-    A.broker_pages(spark, sf).write.json(path)
+    path = stage_path(spark, "pages")
+    writers.write_json(A.broker_rows(spark, sf), path)
     pages = readers.json_pages(spark, path, schemas.BROKER_PAGE)
     tx = F.col("data.broker_activity_transaction")
     return pages.select("broker_code", "target_date", "load_seq", F.size(tx["brokers_buy"]).alias("buys"), F.size(tx["brokers_sell"]).alias("sells"))

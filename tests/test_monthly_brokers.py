@@ -350,3 +350,33 @@ def test_frames(spark):
 
 def test_land_uses_the_shared_folder(spark):
     assert land(spark.range(1), "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_json_pages_lie_packed(spark, tmp_path, monkeypatch):
+    """The query's pages lie on the disk once, packed, in files of a bounded number of rows; none is landed in another form besides."""
+    from bourseline.sources.storage import shared_base
+    from bourseline.workload import load
+
+    load()
+    from bourseline.workload import adapters, files
+
+    columns = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp"
+    items = spark.range(3000).selectExpr(
+        "id DIV 7", "id % 50", "id % 11", "int(id % 7 + 1)", "double(id % 40 + 1)", "id * 7.25D", "element_at(array('R', 'A', 'N'), int(id % 3 + 1))",
+        "timestamp'1997-03-01' + make_interval(0, 0, 0, int(id % 300))").toDF(*[x.split()[0] for x in columns.split(", ")])
+    items.repartition(2).write.parquet(str(tmp_path / "lineitem.parquet"))
+    read, real = [], readers.json_pages
+    monkeypatch.setattr(readers, "json_pages", lambda s, path, schema: (read.append(path), real(s, path, schema))[1])
+    monkeypatch.setattr(writers, "JSON_ROWS", 1000, raising=False)
+    stages = f"{shared_base(spark)}/bourseline/stages-{spark.sparkContext.applicationId}".removeprefix("file:")
+    before = set(os.listdir(stages)) if os.path.isdir(stages) else set()
+    got = files.src_json_pages(spark, str(tmp_path)).collect()
+    want = items.selectExpr(
+        "concat('B', l_suppkey)", "date(l_shipdate)", "l_orderkey * 256 + l_linenumber * 32 + l_partkey % 32", "if(l_returnflag = 'R', 0, 2)", "if(l_returnflag = 'R', 2, 0)")
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
+    folder = read[0].removeprefix("file:")
+    parts = [x for x in os.listdir(folder) if x.startswith("part-")]
+    assert not {x.rsplit("-", 1)[0] for x in set(os.listdir(stages)) - before} - {"pages"}
+    text = adapters.broker_pages(spark, str(tmp_path)).agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    assert sum(os.path.getsize(f"{folder}/{x}") for x in parts) < text / 4
+    assert max(spark.read.text(f"{folder}/{x}").count() for x in parts) <= 1000
