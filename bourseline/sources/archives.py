@@ -18,7 +18,9 @@ import csv
 import io
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,3 +160,35 @@ def write_files(files: DataFrame, folder: str) -> int:
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
     return files.select("name", "content").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_lines(lines: DataFrame, folder: str, order: Sequence[str] = ()) -> int:
+    """Write each row (name, line) as a line of the text file of that name below the folder, in the given order; how many were
+    written. The lines of a file meet in one task, which writes them as they come, some thousands at a time: no file is ever
+    held as a whole, so its size does not matter. Rows without a line are passed over."""
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        system, place = file_system(folder)
+        system.create_dir(place, recursive=True)
+        out, last = None, None
+        try:
+            for batch in batches:
+                pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for name, group in groupby(pairs, itemgetter(0)):
+                    body = "\n".join(line for _, line in group).encode()
+                    if out is None or name != last:
+                        if out is not None:
+                            out.close()
+                        out, last = system.open_output_stream(f"{place}/{name}"), name
+                    else:
+                        body = b"\n" + body
+                    out.write(body)
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+        finally:
+            if out is not None:
+                out.close()
+
+    met = lines.filter(F.col("line").isNotNull()).repartition("name").sortWithinPartitions("name", *order)
+    return met.select("name", "line").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -262,9 +262,8 @@ def major_files(spark, sf):
     """A folder with one file of JSON rows for each document, and files that no rule selects, one of them broken."""
     docs = A.major_documents(spark, sf)
     line = F.to_json(F.struct("page_idx", "row_idx", "load_seq", "cells"))
-    whole = docs.groupBy(F.col("file_name").alias("name")).agg(F.concat_ws("\n", F.collect_list(line)).cast("binary").alias("content"))
     folder = stage_path(spark, "documents")
-    archives.write_files(whole, folder)
+    archives.write_lines(docs.select(F.col("file_name").alias("name"), line.alias("line"), "page_idx", "row_idx"), folder, ["page_idx", "row_idx"])
     others = [("19990101_list.doc", b"{broken"), ("list.pdf", b"{broken"), ("19990101_notes.pdf", b"{broken")]
     archives.write_files(spark.createDataFrame(others, "name string, content binary"), folder)
     return folder

@@ -1,6 +1,7 @@
 """Monthly balances, broker and insider pages, files and tables."""
 
 import io
+import json
 import os
 import threading
 import zipfile
@@ -380,3 +381,29 @@ def test_json_pages_lie_packed(spark, tmp_path, monkeypatch):
     text = adapters.broker_pages(spark, str(tmp_path)).agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
     assert sum(os.path.getsize(f"{folder}/{x}") for x in parts) < text / 4
     assert max(spark.read.text(f"{folder}/{x}").count() for x in parts) <= 1000
+
+
+def test_documents_are_written_as_they_come(spark, tmp_path, monkeypatch):
+    """No value holds a document: its lines go to its file some at a time, in their order, whatever lies between them in the rows."""
+    from bourseline.workload import load
+
+    load()
+    from bourseline.workload import files
+
+    names = ["20240101_list.pdf", "20240102_LIST.pdf", None]
+    docs = spark.createDataFrame([(n, p, r, p * 1000 + r, [f"c{r}", None]) for n in names for r in range(700, 0, -1) for p in (2, 1)], schemas.struct("file_name string, page_idx int, row_idx bigint, load_seq bigint, cells array<string>"))
+    longest, real = [], archives.write_files
+    monkeypatch.setattr(archives, "write_files", lambda some, folder: (longest.append(some.agg(F.max(F.length("content"))).first()[0]), real(some, folder))[1])
+    monkeypatch.setattr(files.A, "major_documents", lambda spark, sf: docs)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        folder = files.major_files(spark, "none").removeprefix("file:")
+        assert max(longest) < 100
+        for name in ("20240101_list.pdf", "20240102_LIST.pdf", "None"):
+            lines = [json.loads(x) for x in open(f"{folder}/{name}").read().split("\n")]
+            assert [(x["page_idx"], x["row_idx"], x["load_seq"], x["cells"]) for x in lines] == [(p, r, p * 1000 + r, [f"c{r}", None]) for p in (1, 2) for r in range(1, 701)]
+        assert {tuple(r) for r in files.src_file_select(spark, "none").collect()} == {(n, 1400, sum(p * 1000 + r for p in (1, 2) for r in range(1, 701))) for n in names[:2]}
+        assert archives.write_lines(docs.limit(0).selectExpr("file_name AS name", "'' AS line"), folder) == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
